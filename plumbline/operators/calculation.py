@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions.formulas import formula_column, formula_variables
-from plumbline.functions.ordered import same_key
+from plumbline.functions.joins import key_join
 from plumbline.functions.text import to_number
 from plumbline.operators.contract import with_zero_rows
 
@@ -74,7 +74,7 @@ def expected_value(formulas) -> Column:
 
 def rounded(value: Column, rounding: Column) -> Column:
     """K5: half-even rounding by name; whole-number rounding of a non-finite value has no result."""
-    finite = F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
+    finite = F.when(F.abs(value) < F.lit(float("inf")), value)
     out = F.when(F.lit(False), value)
     for name, scale in fixed.ROUNDING_SCALES.items():
         out = out.when(rounding == name, F.bround(finite, 0) if scale == 0 else
@@ -90,14 +90,16 @@ def results(export: DataFrame, instances: DataFrame, formulas: DataFrame, mappin
     stored = numeric.filter(F.col("source_value_numeric").isNotNull()).join(
         active.withColumn("source_id", F.col("score_source_id")), "source_id")
     inputs = input_values(numeric, mappings)
-    cases = stored.join(inputs, same_key(stored, inputs, _CASE, null_safe=("episode_date",))).select(
-        *[stored[c] for c in stored.columns], inputs["n_found"], inputs["input_values"])
+    cases = key_join(stored, inputs, _CASE, null_safe=("episode_date",))
     difference = F.abs(F.col("stored_value") - F.col("expected_value"))
     broken = ~F.isnan("difference") & (F.col("difference") > F.col("tolerance"))
     return (
         cases.filter("n_found = n_inputs")
         .withColumn("stored_value", F.col("source_value_numeric"))
-        .withColumn("expected_value", rounded(expected_value(formula_rows), F.col("rounding")))
+        # Exploding a one-element array computes the formula once per row; as a plain column it would be copied
+        # into every expression that uses it, and the generated code would outgrow the JVM's method limit.
+        .withColumn("_raw", F.explode(F.array(expected_value(formula_rows))))
+        .withColumn("expected_value", rounded(F.col("_raw"), F.col("rounding")))
         .filter("expected_value is not null")
         .withColumn("difference", difference)
         .withColumn("violation", broken)

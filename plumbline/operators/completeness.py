@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions.measures import percent
-from plumbline.functions.ordered import same_key
+from plumbline.functions.joins import key_join
 from plumbline.functions.text import has_value, strip
 
 
@@ -24,15 +24,10 @@ def completeness_rows(expected: DataFrame, export: DataFrame) -> DataFrame:
     expected = expected.join(patients, "PID", "left_semi")
     is_filled = F.coalesce("_filled", F.lit(False)).alias("is_filled")
 
-    basic = expected.filter("form_type = 'basic'")
-    basic = basic.join(per_patient, ["PID", "source_id"], "left").select(
-        *[basic[c] for c in expected.columns], is_filled)
-    longitudinal = expected.filter("form_type = 'longitudinal'")
-    longitudinal = longitudinal.join(
-        per_episode,
-        same_key(longitudinal, per_episode, ["PID", "episode_date", "source_id"], null_safe=("episode_date",)),
-        "left",
-    ).select(*[longitudinal[c] for c in expected.columns], is_filled)
+    basic = key_join(expected.filter("form_type = 'basic'"), per_patient, ["PID", "source_id"], "left")
+    longitudinal = key_join(expected.filter("form_type = 'longitudinal'"), per_episode,
+                            ["PID", "episode_date", "source_id"], "left", null_safe=("episode_date",))
+    basic, longitudinal = [df.select(*expected.columns, is_filled) for df in (basic, longitudinal)]
     return basic.unionByName(longitudinal)
 
 

@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
-from plumbline.functions.ordered import same_key
+from plumbline.functions.joins import key_join
 from plumbline.functions.text import has_value, is_true, strip, to_date_any, to_date_in
 from plumbline.operators.contract import make_summary, make_violation
 
@@ -118,10 +118,8 @@ def variable_outcomes(export: DataFrame, prepared: DataFrame, date_rules: DataFr
     known = reference_dates(export, references)
     value, reference = F.col("source_value_parsed"), F.col("comparison_date_parsed")
     return (
-        targets.join(known, same_key(targets, known, ["comparison_source_id", "PID", "_episode"],
-                                     null_safe=("PID", "_episode")))
-        .select(*[targets[c] for c in prepared.columns], targets["rule_id"],
-                targets["comparison_source_id"], "comparison_date_parsed")
+        key_join(targets, known, ["comparison_source_id", "PID", "_episode"], null_safe=("PID", "_episode"))
+        .select(*prepared.columns, "rule_id", "comparison_source_id", "comparison_date_parsed")
         .withColumn("violated", F.when(F.col("rule_id") == "not_before_variable", value < reference)
                     .otherwise(value > reference))
     )

@@ -27,8 +27,7 @@ def add_source_ids(elements: DataFrame) -> DataFrame:
 def first_per_source_id(elements: DataFrame) -> DataFrame:
     """The first row of each id in file order. An aggregate keeps one row per key and task."""
     rest = [c for c in elements.columns if c != "source_id"]
-    return elements.groupBy("source_id").agg(
-        F.min_by(F.struct(*rest), "row_ord").alias("_row")).select("_row.*", "source_id")
+    return elements.groupBy("source_id").agg(*[F.min_by(c, "row_ord").alias(c) for c in rest])
 
 
 def add_slots(elements: DataFrame, element_details: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.functions.measures import percent
-from plumbline.functions.ordered import same_key
+from plumbline.functions.joins import key_join
 from plumbline.functions.text import strip
 
 
@@ -26,15 +26,16 @@ def counts(dictionary: DataFrame, export: DataFrame) -> DataFrame:
 def repeated_urns(dictionary: DataFrame) -> DataFrame:
     """Ids of elements that occur more than once. Counted first, joined back after."""
     repeated = dictionary.groupBy("dataelement_urn").agg(F.count("*").alias("_n")).filter("_n > 1")
-    return dictionary.select("dataelement_urn", "source_id").join(
-        repeated, dictionary["dataelement_urn"].eqNullSafe(repeated["dataelement_urn"]), "left_semi",
+    return key_join(
+        dictionary.select("dataelement_urn", "source_id"), repeated, ["dataelement_urn"], "left_semi",
+        null_safe=["dataelement_urn"],
     ).orderBy("dataelement_urn", "source_id")
 
 
 def _once(dictionary: DataFrame, key: str, columns) -> DataFrame:
     """One row per key: the first in file order where one is recorded."""
-    first = F.min_by(F.struct(*columns), "row_ord") if "row_ord" in dictionary.columns else F.min(F.struct(*columns))
-    return dictionary.groupBy(key).agg(first.alias("_row")).select(key, "_row.*")
+    order = F.col("row_ord") if "row_ord" in dictionary.columns else F.struct(*columns)
+    return dictionary.groupBy(key).agg(*[F.min_by(c, order).alias(c) for c in columns])
 
 
 def type_distribution(dictionary: DataFrame, key: str = "dataelement_urn") -> DataFrame:
@@ -133,8 +134,8 @@ def records_per_form(dictionary: DataFrame) -> DataFrame:
     found = dictionary.filter("record_urn is not null").groupBy(*keys).agg(
         F.count_distinct("record_urn").alias("n_records"))
     known = forms(dictionary)
-    return known.join(found, same_key(known, found, keys, null_safe=keys), "left").select(
-        *[known[k] for k in keys], F.coalesce("n_records", F.lit(0)).alias("n_records"),
+    return key_join(known, found, keys, "left", null_safe=keys).select(
+        *keys, F.coalesce("n_records", F.lit(0)).alias("n_records"),
     ).orderBy(F.desc("n_records"), "form_id")
 
 

@@ -7,7 +7,7 @@ A row's logical type decides which one of the first five rules applies, so all f
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
-from plumbline.functions.ordered import same_key
+from plumbline.functions.joins import key_join
 from plumbline.functions.text import (
     VALUE_DATE_FORMATS, has_value, is_integer_text, is_true, strip, to_date_in, to_number,
 )
@@ -101,8 +101,7 @@ def single_choice_violations(enriched: DataFrame) -> DataFrame:
     rows = _single_choice_rows(enriched)
     bad = _single_choice_groups(rows).filter("n_values > 1")
     keys = ["PID", "Episode", "source_id"]
-    failed = rows.join(bad, same_key(rows, bad, keys, null_safe=("PID", "Episode"))).select(
-        *[rows[c] for c in rows.columns], bad["n_values"])
+    failed = key_join(rows, bad, keys, null_safe=("PID", "Episode"))
     rule_id, rule_type, expected = fixed.SINGLE_CHOICE_RULE
     return make_violation(failed, rule_id, rule_type, expected, F.col("n_values"), VIOLATION_COLUMNS)
 

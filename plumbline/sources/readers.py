@@ -21,10 +21,11 @@ def file_order() -> Column:
     )
 
 
-def read_text_table(spark: SparkSession, path: str, columns, sep: str = ";") -> DataFrame:
+def read_text_table(spark: SparkSession, path: str, columns, sep: str = ";", multiline: bool = False) -> DataFrame:
     """Delimited file with a header, as text with missing tokens as null and ``row_ord``.
 
     Columns are found by name, so a file may have more of them or another order. A byte-order mark is skipped.
+    ``multiline`` reads texts that hold line breaks, at the price of one task per file: for metadata only.
     """
     header = spark.read.option("sep", sep).option("header", True).csv(path).columns
     names = [h.lstrip("﻿").strip() for h in header]
@@ -33,6 +34,7 @@ def read_text_table(spark: SparkSession, path: str, columns, sep: str = ";") ->
         raise ValueError(f"{path} lacks the columns {absent}")
     rows = (
         spark.read.option("sep", sep).option("header", True).option("enforceSchema", True)
+        .option("multiLine", multiline)
         .option("escape", '"').schema(text_schema(names)).csv(path)
         .select(*[F.col(f"`{c}`") for c in columns], file_order().alias("row_ord"))
     )
@@ -67,15 +69,15 @@ def _ddl(names) -> str:
 
 def read_element_list(spark: SparkSession, path: str) -> DataFrame:
     """S3: the fifteen named columns of the element list."""
-    return read_text_table(spark, path, list(fixed.ELEMENT_LIST_RENAMES), sep=",")
+    return read_text_table(spark, path, list(fixed.ELEMENT_LIST_RENAMES), sep=",", multiline=True)
 
 
 def read_rule_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """One of the rule tables, by the name it has in ``RULE_TABLE_COLUMNS``."""
-    return read_text_table(spark, path, fixed.RULE_TABLE_COLUMNS[name]).drop("row_ord")
+    return read_text_table(spark, path, fixed.RULE_TABLE_COLUMNS[name], multiline=True).drop("row_ord")
 
 
 def read_table(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """Any other delimited table, such as the dictionary, the codebook or patient-form versions."""
     header = spark.read.option("sep", sep).option("header", True).csv(path).columns
-    return read_text_table(spark, path, [h.lstrip("﻿").strip() for h in header], sep)
+    return read_text_table(spark, path, [h.lstrip("﻿").strip() for h in header], sep, multiline=True)

@@ -22,8 +22,8 @@ def write_long_parquet(long: DataFrame, path: str) -> None:
     Most checks read a few elements only; clustering lets the scan skip the rest by file and row-group
     statistics. Range partitioning also cuts an element with very many rows into several files.
     """
-    long.repartitionByRange("source_id", "PID").sortWithinPartitions("source_id", "PID").write.mode(
-        "overwrite").parquet(path)
+    keys = ["source_id", "PID", *(["row_ord"] if "row_ord" in long.columns else [])]
+    long.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
