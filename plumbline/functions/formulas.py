@@ -9,6 +9,8 @@ import ast
 
 from pyspark.sql import Column, functions as F
 
+from plumbline.functions.measures import round_exact
+
 # Functions a formula may call.
 FUNCTION_NAMES = ("ln", "log", "sqrt", "exp", "min", "max", "round", "abs")
 
@@ -54,7 +56,8 @@ def _call(function):
 
 
 def _rounded(value, digits=0):
-    return _Term(F.bround(_column(value), int(digits)))
+    column, digits = _column(value), int(digits)
+    return _Term(F.rint(column) if digits == 0 else round_exact(column, digits))
 
 
 _FUNCTIONS = {
@@ -87,6 +90,12 @@ def formula_variables(expression: str) -> list[str]:
     return sorted({n.id for n in ast.walk(tree) if isinstance(n, ast.Name)} - called)
 
 
+def uses_array_functions(expression: str) -> bool:
+    """Whether a formula's result is an array-library number, which rounds by scaling."""
+    return any(isinstance(n, ast.Name) and n.id in ("ln", "log", "sqrt", "exp") for n in ast.walk(ast.parse(
+        expression.strip(), mode="eval")))
+
+
 def formula_column(expression: str, variable) -> Column:
     """Column for a formula; ``variable`` maps a name to its double Column."""
     names = formula_variables(expression)

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
-from plumbline.functions.formulas import formula_column, formula_variables
+from plumbline.functions.formulas import formula_column, formula_variables, uses_array_functions
+from plumbline.functions.measures import round_exact, round_scaled
 from plumbline.functions.joins import key_join
 from plumbline.functions.text import to_number
 from plumbline.operators.contract import with_zero_rows
@@ -72,13 +73,17 @@ def expected_value(formulas) -> Column:
     return value
 
 
-def rounded(value: Column, rounding: Column) -> Column:
-    """K5: half-even rounding by name; whole-number rounding of a non-finite value has no result."""
-    finite = F.when(F.abs(value) < F.lit(float("inf")), value)
+def rounded(value: Column, rounding: Column, scaled: Column) -> Column:
+    """K5: half-even rounding by name; whole-number rounding of a non-finite value has no result.
+
+    ``scaled`` marks the rows whose formula yields a number that rounds by scaling.
+    """
     out = F.when(F.lit(False), value)
     for name, scale in fixed.ROUNDING_SCALES.items():
-        out = out.when(rounding == name, F.bround(finite, 0) if scale == 0 else
-                       F.coalesce(F.bround(finite, scale), value))
+        out = out.when(
+            rounding == name,
+            F.when(F.abs(value) < F.lit(float("inf")), F.rint(value)) if scale == 0 else
+            F.when(scaled, round_scaled(value, scale)).otherwise(round_exact(value, scale)))
     return out.otherwise(value)
 
 
@@ -91,6 +96,8 @@ def results(export: DataFrame, instances: DataFrame, formulas: DataFrame, mappin
         active.withColumn("source_id", F.col("score_source_id")), "source_id")
     inputs = input_values(numeric, mappings)
     cases = key_join(stored, inputs, _CASE, null_safe=("episode_date",))
+    scaled = F.col("calculation_type").isin(
+        [r.calculation_type for r in formula_rows if uses_array_functions(r.formula_expression)])
     difference = F.abs(F.col("stored_value") - F.col("expected_value"))
     broken = ~F.isnan("difference") & (F.col("difference") > F.col("tolerance"))
     return (
@@ -99,7 +106,7 @@ def results(export: DataFrame, instances: DataFrame, formulas: DataFrame, mappin
         # Exploding a one-element array computes the formula once per row; as a plain column it would be copied
         # into every expression that uses it, and the generated code would outgrow the JVM's method limit.
         .withColumn("_raw", F.explode(F.array(expected_value(formula_rows))))
-        .withColumn("expected_value", rounded(F.col("_raw"), F.col("rounding")))
+        .withColumn("expected_value", rounded(F.col("_raw"), F.col("rounding"), scaled))
         .filter("expected_value is not null")
         .withColumn("difference", difference)
         .withColumn("violation", broken)

@@ -247,7 +247,7 @@ inputs AS (
  FROM calc_values GROUP BY PID, Episode_Date, IX),
 cases AS (
  SELECT v.PID, v.Episode_Date, v.IX, v.n AS stored, 'NET_line' AS id, 'NET' AS type, 'Net' AS label, v.source_id,
-  0.1::DOUBLE AS tolerance, round_even(price * (1 - discount) * (1 + tax), 2) AS expected,
+  0.1::DOUBLE AS tolerance, CAST(format('{{:.2f}}', price * (1 - discount) * (1 + tax)) AS DOUBLE) AS expected,
   concat('discount=', discount::DECIMAL(18,2), ';price=', price::DECIMAL(18,2), ';tax=', tax::DECIMAL(18,2)) AS used
  FROM calc_values v JOIN inputs i ON v.PID = i.PID AND v.Episode_Date IS NOT DISTINCT FROM i.Episode_Date AND v.IX = i.IX
  WHERE v.source_id = 'X_3_31_48' AND v.n IS NOT NULL AND np = 1 AND nd = 1 AND nt = 1
@@ -572,10 +572,10 @@ ORACLES["dictionary_build"] = PARTS + """
 SELECT d.*, CASE WHEN CAST(split_part(dataelement_urn, ':', 4) AS INTEGER) % 3 = 0 THEN 'SELECT_ONE_RADIO' END AS slots
 FROM part_dict d"""
 ORACLES["rule_validation"] = PARTS + f"""
-SELECT 'longitudinal_rules' AS rule_table, concat('P_', source_id) AS rule_id, source_id,
+SELECT 'longitudinal_rules' AS rule_table, concat('P_P', source_id) AS rule_id, concat('P', source_id) AS source_id,
  CASE WHEN record_urn IS NOT NULL THEN 'allowed variation is no number' ELSE 'unknown value type' END AS reason
 FROM part_dict WHERE record_urn IS NOT NULL OR data_type NOT IN ('INTEGER', 'FLOAT', 'DATE', 'enumerated')
-UNION ALL SELECT 'import_rules', concat('C_', source_id), CASE WHEN data_type = 'DATE' THEN 'X_0' ELSE source_id END,
+UNION ALL SELECT 'import_rules', concat('C_P', source_id), CASE WHEN data_type = 'DATE' THEN 'X_0' ELSE concat('P', source_id) END,
  CASE WHEN data_type = 'DATE' THEN 'id missing from the dictionary' ELSE 'unsupported form types' END
 FROM part_dict WHERE data_type = 'DATE' OR form_type <> 'Longitudinal'
 UNION ALL SELECT 'import_rules', 'IMPORT_004', 'X_9_0_99', 'id missing from the dictionary'

@@ -570,7 +570,7 @@ def dictionary_build(spark, sf_dir):
 @query
 def rule_validation(spark, sf_dir):
     """S9 with rules taken from the part table's elements next to the registry's own."""
-    parts = _part_dictionary(spark, sf_dir)
+    parts = _part_dictionary(spark, sf_dir).withColumn("source_id", F.concat(F.lit("P"), "source_id"))
     limits = parts.select(
         F.concat(F.lit("P_"), "source_id").alias("rule_id"), "source_id",
         F.col("dataelement_designation").alias("variable_label"),
