@@ -17,9 +17,12 @@ RESULT_COLUMNS = (
 _CASE = ["calculation_id", "PID", "episode_date", "IX"]
 
 
-def numeric_export(export: DataFrame) -> DataFrame:
-    """K1: ``source_value_numeric``, null where the text is no number."""
-    return export.withColumnRenamed("Episode_Date", "episode_date").withColumn(
+def numeric_values(rows: DataFrame) -> DataFrame:
+    """K1: ``source_value_numeric``, null where the text is no number.
+
+    Used after the join with the rules, so only the values that some calculation needs are read as numbers.
+    """
+    return rows.withColumnRenamed("Episode_Date", "episode_date").withColumn(
         "source_value_numeric", to_number(F.col("source_value")))
 
 
@@ -45,10 +48,9 @@ def input_values(export: DataFrame, mappings: DataFrame) -> DataFrame:
 
     Ambiguity is seen from the smallest and largest value, so a hot key is reduced before the shuffle.
     """
+    wanted = mappings.select("calculation_id", "variable_alias", F.col("variable_source_id").alias("source_id"))
     per_input = (
-        export.filter(F.col("source_value_numeric").isNotNull())
-        .join(mappings.select("calculation_id", "variable_alias",
-                              F.col("variable_source_id").alias("source_id")), "source_id")
+        numeric_values(export.join(wanted, "source_id"))
         .groupBy(*_CASE, "variable_alias")
         .agg(F.min("source_value_numeric").alias("low"), F.max("source_value_numeric").alias("high"))
     )
@@ -89,12 +91,11 @@ def rounded(value: Column, rounding: Column, scaled: Column) -> Column:
 
 def results(export: DataFrame, instances: DataFrame, formulas: DataFrame, mappings: DataFrame) -> DataFrame:
     """K6, K7: every evaluated case with stored and expected value, inputs and verdict."""
-    numeric = numeric_export(export)
     formula_rows = formulas.select("calculation_type", "formula_expression").distinct().collect()  # rule rows only
     active = resolved_instances(instances, formulas, mappings).filter("evaluated")
-    stored = numeric.filter(F.col("source_value_numeric").isNotNull()).join(
-        active.withColumn("source_id", F.col("score_source_id")), "source_id")
-    inputs = input_values(numeric, mappings)
+    stored = numeric_values(export.join(active.withColumn("source_id", F.col("score_source_id")), "source_id")).filter(
+        F.col("source_value_numeric").isNotNull())
+    inputs = input_values(export, mappings)
     cases = key_join(stored, inputs, _CASE, null_safe=("episode_date",))
     scaled = F.col("calculation_type").isin(
         [r.calculation_type for r in formula_rows if uses_array_functions(r.formula_expression)])

@@ -6,6 +6,7 @@ from plumbline import fixed_values as fixed
 from plumbline.functions.measures import percent
 from plumbline.functions.joins import key_join
 from plumbline.functions.text import has_value, strip
+from plumbline.sources.local import text_frame
 
 
 def completeness_rows(expected: DataFrame, export: DataFrame) -> DataFrame:
@@ -77,7 +78,7 @@ def completeness_summary(present: DataFrame) -> DataFrame:
         )
         .withColumn("tier", F.when(F.col("_all") == 1, "all").otherwise(F.col("form_type")))
     )
-    names = present.sparkSession.createDataFrame(list(fixed.COMPLETENESS_METRICS), "tier string, metric string")
+    names = text_frame(present.sparkSession, fixed.COMPLETENESS_METRICS, ("tier", "metric"))
     return names.join(tiers, "tier", "left").select(
         "metric",
         percent(F.col("n_filled"), F.col("n")).alias("general_completeness_percent"),

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline.functions.measures import count_where
+from plumbline.sources.local import text_frame
 
 SUMMARY_SCHEMA = "rule_type string, rule_id string, assessed_elements bigint, total_violations bigint"
 
@@ -41,7 +42,7 @@ def make_summary(flags: DataFrame, rules) -> DataFrame:
 
 
 def rule_frame(spark: SparkSession, rules) -> DataFrame:
-    return spark.createDataFrame([tuple(r) for r in rules], "rule_id string, rule_type string")
+    return text_frame(spark, rules, ("rule_id", "rule_type"))
 
 
 def with_zero_rows(rules: DataFrame, found: DataFrame, key: str) -> DataFrame:

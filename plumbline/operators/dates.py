@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions.joins import key_join
-from plumbline.functions.text import has_value, is_true, strip, to_date_any, to_date_in
+from plumbline.functions.text import is_true, strip, to_date_any, to_date_in
 from plumbline.operators.contract import make_summary, make_violation
 
 _EXPECTED = dict(fixed.TEMPORAL_RULES)
+_FLAGS = ("notBeforeDOB", "notAfterDeath", "notFuture", "notAfterEpisode")
 SIMPLE_RULES = ("not_before_dob", "not_after_death", "not_in_future", "not_after_episode")
 VARIABLE_RULES = ("not_before_variable", "not_after_variable")
 # Death is off unless asked for: its flag column and source id are optional.
@@ -18,10 +19,11 @@ DEFAULT_RULES = ("not_before_dob", "not_in_future", "not_after_episode", *VARIAB
 
 def prepare(export: DataFrame, rules: DataFrame, episode_formats=("DD/MM/YYYY",)) -> DataFrame:
     """Values of ruled variables with their rule, their parsed date and the episode's date."""
-    rules = rules.withColumn("data_format", strip(F.col("data_format")))
+    rules = rules.withColumn("data_format", strip(F.col("data_format"))).withColumns(
+        {f"_{flag}": is_true(F.col(flag)) for flag in _FLAGS if flag in rules.columns})
     text = F.col("source_value")
     return export.join(rules, "source_id").withColumns({
-        "source_value_parsed": F.when(has_value(text), to_date_in(text, F.col("data_format"))),
+        "source_value_parsed": to_date_in(text, F.col("data_format")),
         "episode_date_parsed": to_date_any(F.col("Episode_Date"), episode_formats),
     })
 
@@ -50,7 +52,7 @@ def variable_references(rules: DataFrame) -> DataFrame:
     known = rules.dropDuplicates(["source_id"]).select(
         F.col("source_id").alias("comparison_source_id"),
         F.lower(strip(F.col("form_type"))).alias("_reference_type"),
-        F.col("data_format").alias("_reference_format"))
+        strip(F.col("data_format")).alias("_reference_format"))
     return (
         active.join(known, "comparison_source_id")
         .withColumn("_by_episode", F.when(F.col("_reference_type") == "basic", F.lit(False)).when(
@@ -67,7 +69,7 @@ def reference_dates(export: DataFrame, references: DataFrame) -> DataFrame:
     text = F.col("source_value")
     return (
         export.join(wanted, "source_id")
-        .withColumn("_date", F.when(has_value(text), to_date_in(text, F.col("_reference_format"))))
+        .withColumn("_date", to_date_in(text, F.col("_reference_format")))
         .filter("_date is not null")
         .groupBy(
             F.col("source_id").alias("comparison_source_id"), "PID",
@@ -88,13 +90,13 @@ def simple_outcomes(prepared: DataFrame, rules, birth_id=None, death_id=None, as
             known = first_date_per_patient(prepared, source_id, name)
             rows = rows.join(known, "PID", "left")
             broken = value < F.col(name) if rule_id == "not_before_dob" else value > F.col(name)
-            checks.append((rule_id, is_true(F.col(flag)) & F.col(name).isNotNull(), broken))
+            checks.append((rule_id, F.col(f"_{flag}") & F.col(name).isNotNull(), broken))
     if "not_in_future" in rules:
         today = F.current_date() if as_of is None else as_of
-        checks.append(("not_in_future", is_true(F.col("notFuture")), value > today))
+        checks.append(("not_in_future", F.col("_notFuture"), value > today))
     if "not_after_episode" in rules:
         checks.append(("not_after_episode",
-                       is_true(F.col("notAfterEpisode")) & F.col("episode_date_parsed").isNotNull(),
+                       F.col("_notAfterEpisode") & F.col("episode_date_parsed").isNotNull(),
                        value > F.col("episode_date_parsed")))
     outcomes = F.array_compact(F.array(*[
         F.when(assessed, F.struct(F.lit(rule_id).alias("rule_id"), broken.alias("violated")))
@@ -141,7 +143,8 @@ def outcomes(export: DataFrame, date_rules: DataFrame, birth_id=None, death_id=N
 
 def violations(export: DataFrame, date_rules: DataFrame, **options) -> DataFrame:
     """All working columns of the failed rows plus the rule columns."""
-    failed = outcomes(export, date_rules, **options).filter("violated").drop("violated")
+    failed = outcomes(export, date_rules, **options).filter("violated").drop(
+        "violated", *[f"_{flag}" for flag in _FLAGS])
     expected = F.create_map(*[F.lit(x) for pair in fixed.TEMPORAL_RULES for x in pair])
     return make_violation(failed, F.col("rule_id"), fixed.TEMPORAL_RULE_TYPE, expected[F.col("rule_id")],
                           F.col("source_value_parsed"))

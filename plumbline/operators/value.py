@@ -4,12 +4,12 @@ A row's logical type decides which one of the first five rules applies, so all f
 ``CASE`` and no explode. Single choice needs one count per patient, episode and element.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions.joins import key_join
 from plumbline.functions.text import (
-    VALUE_DATE_FORMATS, has_value, is_integer_text, is_true, strip, to_date_in, to_number,
+    VALUE_DATE_FORMATS, has_value, is_integer_text, is_number_text, is_true, strip, to_date_in,
 )
 from plumbline.operators.contract import make_summary, make_violation
 
@@ -30,12 +30,20 @@ _FALLBACK_FORMATS = ("DD.MM.YYYY", "YYYY-MM-DD", "DD/MM/YYYY", "MM-DD-YYYY", "MM
 
 
 def enrich(export: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """V1: attach the dictionary's rule columns. No hint: Spark broadcasts the dictionary if its size allows."""
-    return export.join(dictionary.select(*DICTIONARY_COLUMNS), "source_id", "left")
+    """V1: attach the dictionary's rule columns. No hint: Spark broadcasts the dictionary if its size allows.
 
-
-def _kind() -> Column:
-    return F.upper(strip(F.col("data_type")))
+    What follows from the dictionary alone is worked out here, once per element: the logical type ``_kind``,
+    the clean date format ``_format`` and whether the element is assessed for ``_single_choice``.
+    """
+    one_choice = strip(F.coalesce("slots", F.lit(""))).isin(list(fixed.SINGLE_CHOICE_SLOTS))
+    repeats = is_true(F.col("record_repeatable")) | is_true(F.col("dataelement_repeatable"))
+    kind = F.upper(strip(F.col("data_type")))
+    elements = dictionary.select(
+        *DICTIONARY_COLUMNS,
+        kind.alias("_kind"),
+        strip(F.col("data_format")).alias("_format"),
+        F.coalesce((kind == "ENUMERATED") & one_choice & ~repeats, F.lit(False)).alias("_single_choice"))
+    return export.join(elements, "source_id", "left")
 
 
 def _allowed(codebook: DataFrame) -> DataFrame:
@@ -46,18 +54,17 @@ def _allowed(codebook: DataFrame) -> DataFrame:
 def value_outcomes(enriched: DataFrame, codebook: DataFrame, kinds=tuple(_RULES)) -> DataFrame:
     """V2-V6: every assessed row with its ``rule_id`` and ``violated`` flag."""
     text = F.col("source_value")
-    rows = enriched.withColumn("_kind", _kind()).filter(F.col("_kind").isin(list(kinds)) & has_value(text))
+    rows = enriched.filter(F.col("_kind").isin(list(kinds)) & has_value(text))
     if "ENUMERATED" in kinds:
         rows = rows.withColumn("_clean", F.when(F.col("_kind") == "ENUMERATED", strip(text)))
         rows = rows.join(_allowed(codebook), ["dataelement_urn", "_clean"], "left").drop("_clean")
     else:
         rows = rows.withColumn("_known", F.lit(None).cast("boolean"))
-    number = to_number(text)
     conforms = {
         "INTEGER": is_integer_text(text),
-        "FLOAT": number.isNotNull(),
+        "FLOAT": is_number_text(text),
         "BOOLEAN": F.upper(strip(text)).isin("TRUE", "FALSE"),
-        "DATE": to_date_in(text, F.col("data_format"), VALUE_DATE_FORMATS, otherwise=_FALLBACK_FORMATS).isNotNull(),
+        "DATE": to_date_in(text, F.col("_format"), VALUE_DATE_FORMATS, otherwise=_FALLBACK_FORMATS).isNotNull(),
         "ENUMERATED": F.coalesce("_known", F.lit(False)),
     }
     ok, rule = F.when(F.lit(False), F.lit(True)), F.when(F.lit(False), F.lit(""))
@@ -82,11 +89,7 @@ def value_violations(enriched: DataFrame, codebook: DataFrame, kinds=tuple(_RULE
 
 
 def _single_choice_rows(enriched: DataFrame) -> DataFrame:
-    one_choice = strip(F.coalesce("slots", F.lit(""))).isin(list(fixed.SINGLE_CHOICE_SLOTS))
-    return enriched.filter(
-        (_kind() == "ENUMERATED") & has_value(F.col("source_value")) & one_choice
-        & ~is_true(F.col("record_repeatable")) & ~is_true(F.col("dataelement_repeatable"))
-    )
+    return enriched.filter(F.col("_single_choice") & has_value(F.col("source_value")))
 
 
 def _single_choice_groups(rows: DataFrame) -> DataFrame:
