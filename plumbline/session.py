@@ -1,6 +1,6 @@
 """Session settings and the shared folder for cut lineage."""
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,19 +22,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the cluster's shared folder, so later stages survive lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; only where none is named
-    (a local test) a temporary one is used.
+    Where a session names none, a folder in its warehouse is taken, which Spark itself requires to be shared.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_shared").rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder, so later stages survive lost executors and nothing is computed again."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("name a shared folder in spark.checkpoint.dir")
-            folder = tempfile.mkdtemp(prefix="plumbline-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write as Parquet to a new folder below the shared one and read it back: like ``cut_lineage``, but compressed."""
+    path = f"{shared_folder(df.sparkSession)}/plumbline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
