@@ -23,11 +23,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the one set on the context.
 
     Where a session names none, a folder in its warehouse is taken, which Spark itself requires to be shared.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    named = named or context.getCheckpointDir()
     return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_shared").rstrip("/")
 
 
