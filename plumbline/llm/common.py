@@ -1,6 +1,6 @@
 """Small helpers that several operators share."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,3 +53,13 @@ def running_total(df: DataFrame, order: list[str], value: str, name: str) -> tup
     # One row per partition: the number of shuffle partitions bounds this broadcast.
     placed = placed.join(F.broadcast(shift), "_part")
     return placed.withColumn(name, F.col("_inside") + F.col("_shift")).drop("_inside", "_shift", "_part"), int(total)
+
+
+def kept(docs: DataFrame, judge: Callable[[], Callable[[list[str | None]], list[bool]]]) -> DataFrame:
+    """The rows of ``docs`` whose texts a worker's judge keeps, with all their columns."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = judge()
+        for part in pieces_of(batches, "text"):
+            yield part.filter(pa.array(own(part.column("text").to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

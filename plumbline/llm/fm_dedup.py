@@ -328,3 +328,26 @@ def op5_fm_dedup(spark, sf_dir: str) -> DataFrame:
     """What is left of every document, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return removed(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM win)
+  WHERE n > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS p FROM later),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS p FROM d),
+left_over AS (
+  SELECT word.doc_id, count(gone.p) AS n_removed,
+         coalesce(string_agg(CASE WHEN gone.p IS NULL THEN x END, ' ' ORDER BY word.p), '') AS t
+  FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.p = word.p GROUP BY word.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)
+"""

@@ -7,9 +7,11 @@ row, so equal or similar vectors do not gather in one tile.
 Rows: a vector that is null, or holds null or non-finite components, takes no part, nor does a row without an id; a
 vector of another length than the query's takes no part in its list. Rows of one id are one row's copies: each counts
 as a candidate unless its id is the query's own, and a repeated query id is searched once, with its smallest vector.
+Scores beyond what a long holds are ranked exactly and reported as the largest (or smallest) long.
 """
 
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -32,14 +34,23 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def integers(matrix: np.ndarray, scale: int) -> np.ndarray:
-    return np.floor(scale * matrix)
+    """floor(scale * x), as doubles where these hold it exactly, else as whole numbers of any size."""
+    if np.abs(matrix).max(initial=0) * scale < 2.0 ** 53:
+        return np.floor(scale * matrix)
+    return np.frompyfunc(lambda x: int(x) * scale if abs(x) >= 2.0 ** 53 else math.floor(scale * x), 1, 1)(matrix)
+
+
+def bounded(score) -> int:
+    return max(-(1 << 63) + 1, min((1 << 63) - 1, int(score)))
 
 
 def tile(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int):
     """Positions (query, row) and scores of the k best rows of each query, ties to the smaller id."""
-    exact = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * queries.shape[1] < 2.0 ** 53
+    exact = queries.dtype != object and rows.dtype != object and (
+        np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * queries.shape[1] < 2.0 ** 53)
     if not exact:  # beyond what doubles hold exactly: whole numbers of any size
-        queries, rows = queries.astype(object), rows.astype(object)
+        whole = np.frompyfunc(int, 1, 1)
+        queries, rows = whole(queries), whole(rows)
     for start in range(0, len(queries), STRIP):
         part = slice(start, start + STRIP)
         scores = queries[part] @ rows.T
@@ -51,10 +62,10 @@ def tile(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids:
                     least = -np.partition(-line, k - 1)[k - 1]
                 else:
                     least = sorted(line, reverse=True)[k - 1]
-                keep = np.flatnonzero(line >= least)
+                keep = np.flatnonzero((line >= least).astype(bool))
                 at, line = at[keep], line[keep]
             order = sorted(range(len(at)), key=lambda j: (-line[j], row_ids[at[j]]))[:k]
-            yield i, [int(row_ids[at[j]]) for j in order], [int(line[j]) for j in order]
+            yield i, [int(row_ids[at[j]]) for j in order], [bounded(line[j]) for j in order]
 
 
 def tile_lists(k: int, prepare: Callable[[np.ndarray], np.ndarray]):
