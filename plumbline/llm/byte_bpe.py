@@ -9,6 +9,8 @@ Rows: a null text counts as empty and has no ids. Every row is encoded by itself
 """
 
 import base64
+import gc
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -26,7 +28,7 @@ NONE = np.int64(1) << 60  # no pair starts here
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ROWS = 2048               # pieces that are merged together
 WIDE = 64                 # pieces longer than this are merged one by one
-KEPT, KEPT_LENGTH = 800_000, 40  # strings in a worker's cache, and their longest length
+KEPT, KEPT_LENGTH = 400_000, 40  # strings in a worker's cache, and their longest length
 MARKS = frozenset(".,;:!?")
 
 
@@ -57,8 +59,9 @@ class Encoder:
                 slot += 1
             self.keys[slot], self.values[slot] = key, pairs[key]
         self.find = regex.compile(pattern).findall
-        self.crossing = regex.compile(r"\s \s|\s \Z").search
-        self.known: dict[str, bytes] = {}  # ids of pieces, and of chunks of several pieces
+        self.crossing = re.compile(r"\s \s|\s \Z").search
+        self.known: dict[str, bytes] = {}  # ids of chunks with a space before them
+        self.fresh: dict[str, bytes] = {}
 
     def slots(self, keys):
         return (keys.view(np.uint64) * MIX >> self.shift).astype(np.int64)
@@ -184,12 +187,10 @@ class Encoder:
         return done
 
     def chunks_of(self, text: str) -> list[str]:
-        """Cut before single spaces. No match of the pattern crosses such a cut unless white space stands on both sides
-        of the space, or before it at the end of the text; a text that has this is one chunk."""
-        if self.crossing(text):
-            return [text]
-        head, *rest = text.split(" ")
-        return ([head] if head else []) + [" " + x for x in rest]
+        """Cut at single spaces: a chunk, then chunks that stand for themselves with a space before. No match of the
+        pattern crosses such a cut unless white space stands on both sides of the space, or before it at the end of the
+        text; a text that has this is one chunk."""
+        return [text] if self.crossing(text) else text.split(" ")
 
     def split(self, chunk: str) -> list[str]:
         """The pattern's matches in a chunk. A word of letters after at most one space, and such a word with one mark
@@ -202,24 +203,41 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as an array's bytes."""
-        known = self.known
+        gc.disable()  # many lists and no cycles
+        try:
+            return self.encoded(texts)
+        finally:
+            gc.enable()
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
         cut = [self.chunks_of(t) for t in texts]
+        heads = {chunks[0] for chunks in cut}
+        found = {h: self.split(h) if h else [] for h in heads}
+        known = self.known
         got = [list(map(known.get, chunks)) for chunks in cut]
         new = {c for chunks, ids in zip(cut, got) if None in ids for c, i in zip(chunks, ids) if i is None}
-        if new:
-            found = {c: self.split(c) for c in new}
-            fresh = self.encode_pieces({p for pieces in found.values() for p in pieces if p not in known})
-            for chunk, pieces in found.items():
-                if chunk not in fresh:
-                    fresh[chunk] = b"".join([fresh[p] if p in fresh else known[p] for p in pieces])
-            for chunks, ids in zip(cut, got):
-                if None in ids:
-                    ids[:] = [fresh[c] if i is None else i for c, i in zip(chunks, ids)]
-            if len(known) > KEPT:
-                self.known = known = {c: i for chunks, ids in zip(cut, got) for c, i in zip(chunks, ids)
-                                      if len(c) <= KEPT_LENGTH}
-            else:
-                known.update((c, i) for c, i in fresh.items() if len(c) <= KEPT_LENGTH)
+        spaced = {c: self.split(" " + c) for c in new}
+        fresh, missing = self.fresh, []
+        for piece in {p for cuts in (found, spaced) for ps in cuts.values() for p in ps}:
+            if piece not in fresh:
+                ids = known.get(piece[1:]) if piece[0] == " " else None
+                if ids is None:
+                    missing.append(piece)
+                else:
+                    fresh[piece] = ids
+        fresh.update(self.encode_pieces(missing))
+        join = lambda ps: b"".join([fresh[p] for p in ps])
+        of_new = {c: join(ps) for c, ps in spaced.items()}
+        for chunks, ids in zip(cut, got):
+            if None in ids:
+                ids[:] = [of_new[c] if i is None else i for c, i in zip(chunks, ids)]
+            ids[0] = join(found[chunks[0]])
+        if len(known) > KEPT:
+            self.known = {c: i for chunks, ids in zip(cut, got) for c, i in zip(chunks[1:], ids[1:])
+                          if len(c) <= KEPT_LENGTH}
+        else:
+            known.update((c, i) for c, i in of_new.items() if len(c) <= KEPT_LENGTH)
+        self.fresh = {p: i for p, i in fresh.items() if len(p) < 4}  # marks and the like, which words end in
         return [b"".join(ids) for ids in got]
 
     def decode(self, ids: list[int]) -> bytes:

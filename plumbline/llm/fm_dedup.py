@@ -22,15 +22,17 @@ shorter than a window are kept whole.
 """
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import pieces_of, running_total, table
+from plumbline.llm.common import BLOCK_BYTES, pieces_of, running_total, table
 from plumbline.session import cut_lineage
 
 WINDOW, GRAM = 20, 8
@@ -73,23 +75,47 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     n = max(0, len(hashes) - size + 1)
     out = np.zeros(n, dtype=np.uint64)
     for i in range(size):
-        out = mixed(out + hashes[i:i + n])
-    return out
-
-
-def stretches(hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: the anchors (as signed numbers), first windows, and numbers of windows."""
-    if len(hashes) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least = grams(hashes, gram)
-    span, width = window - gram + 1, 1
-    while 2 * width <= span:  # least of 2, 4, 8, ... neighbours
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < span:
-        least = np.minimum(least[:len(least) - (span - width)], least[span - width:])
-    first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    return least[first].view(np.int64), first, np.diff(np.r_[first, len(least)])
+        out = out * MIX + hashes[i:i + n]
+    return mixed(out)
+
+
+class Stretches:
+    """Of texts laid end to end: the runs of windows with one anchor."""
+
+    def __init__(self, words: list[list[bytes]], own: Words, window: int, gram: int):
+        self.sizes = np.array([len(w) for w in words], dtype=np.int64)
+        self.start = np.cumsum(self.sizes) - self.sizes
+        self.hashes = own.hashes([w for ws in words for w in ws])
+        self.windows = np.maximum(self.sizes - window + 1, 0)
+        self.doc = np.repeat(np.arange(len(words)), self.windows)
+        # Where windows that lie in one text begin.
+        self.at = self.start[self.doc] + np.arange(len(self.doc)) - (np.cumsum(self.windows) - self.windows)[self.doc]
+        self.gram = grams(self.hashes, gram)
+        least, self.span, width = self.gram, window - gram + 1, 1
+        while 2 * width <= self.span:  # least of 2, 4, 8, ... neighbours
+            least, width = np.minimum(least[:-width], least[width:]), 2 * width
+        if width < self.span:
+            more = self.span - width
+            least = np.minimum(least[:len(least) - more], least[more:])
+        least = least[self.at] if len(self.at) else self.gram[:0]
+        new = np.r_[True, (least[1:] != least[:-1]) | (self.doc[1:] != self.doc[:-1])] if len(least) else []
+        self.first = np.flatnonzero(new)  # among the windows
+        self.anchor = least[self.first]
+        self.count = np.diff(np.r_[self.first, len(least)])
+
+    def times(self) -> np.ndarray:
+        """In how many places of its stretch an anchor stands: periodic text may repeat a window within a stretch."""
+        width = self.count + self.span - 1
+        if not len(width):
+            return width
+        begin = np.cumsum(width) - width
+        place = np.repeat(self.at[self.first] - begin, width) + np.arange(width.sum())
+        return np.add.reduceat((self.gram[place] == np.repeat(self.anchor, width)).astype(np.int64), begin)
+
+    def repeated(self, alone: pa.ListArray) -> np.ndarray:
+        """Which stretches have an anchor that is none of those that stand once (in any text: they stand once)."""
+        once = alone.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        return ~np.isin(self.anchor.view(np.int64), once)
 
 
 class WaveletMatrix:
@@ -195,6 +221,28 @@ def first_windows(window: int):
     return run
 
 
+def squeezed(rows: DataFrame) -> DataFrame:
+    """The same rows with ``text`` as compressed bytes, so that a shuffle of whole texts moves and stores less."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for part in pieces_of(batches, "text"):
+            small = pa.array([None if t is None else squeeze(t.encode("utf-8", "surrogatepass"))
+                              for t in part.column("text").to_pylist()], pa.binary())
+            yield part.set_column(part.schema.get_field_index("text"), "text", small)
+
+    kinds = ", ".join(f"{f.name} {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, kinds)
+
+
+def unsqueezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Undo ``squeezed``, some rows at a time."""
+    expand = zstandard.ZstdDecompressor().decompress
+    for part in pieces_of(batches, "text", BLOCK_BYTES // 3):
+        full = [None if t is None else expand(t).decode("utf-8", "surrogatepass")
+                for t in part.column("text").to_pylist()]
+        yield part.set_column(part.schema.get_field_index("text"), "text", pa.array(full, pa.string()))
+
+
 SHIFT = 31  # a position is the document's number and, below this bit, the word's number
 
 
@@ -212,19 +260,10 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Words()
         for part in pieces_of(batches, "text"):
-            rows, keys, counts = [], [], []
-            for row, text in zip(part.column("_row").to_pylist(), part.column("text").to_pylist()):
-                words = words_of(text)
-                hashes = own.hashes(words)
-                found = np.unique(stretches(hashes, window, gram)[0])
-                # Of all places of the anchor, since a stretch of periodic text repeats windows within itself.
-                every, times = np.unique(grams(hashes, gram), return_counts=True) if len(found) else (found, found)
-                n = times[np.searchsorted(every, found.view(np.uint64))]
-                rows.append(np.full(len(found), row))
-                keys.append(found)
-                counts.append(n)
+            found = Stretches([words_of(t) for t in part.column("text").to_pylist()], own, window, gram)
+            rows = part.column("_row").to_numpy()[found.doc[found.first]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(rows)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(counts))],
+                [pa.array(rows), pa.array(found.anchor.view(np.int64)), pa.array(found.times())],
                 ["_row", "anchor", "n"])
 
     once = texts.mapInArrow(anchors, "_row bigint, anchor bigint, n bigint").groupBy("anchor").agg(
@@ -234,23 +273,24 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Words()
-        for part in pieces_of(batches, "text"):
+        for part in unsqueezed(batches):
             seen: dict[bytes, tuple[int, int]] = {}
-            for number, text, single in zip(part.column("_ord").to_pylist(), part.column("text").to_pylist(),
-                                            part.column("anchors")):
-                hashes = own.hashes(words_of(text))
-                keys, first, count = stretches(hashes, window, gram)
-                single = np.array(single.values) if single.is_valid else np.zeros(0, np.int64)
-                for i in np.flatnonzero(~np.isin(keys, single)):
-                    content = hashes[first[i]:first[i] + count[i] + window - 1].tobytes()
-                    pos = (number << SHIFT) + int(first[i])
-                    if content not in seen or pos < seen[content][1]:
-                        seen[content] = int(keys[i]), pos
+            found = Stretches([words_of(t) for t in part.column("text").to_pylist()], own, window, gram)
+            number = part.column("_ord").to_numpy()
+            some = np.flatnonzero(found.repeated(part.column("anchors")))
+            at = found.at[found.first[some]]
+            doc = found.doc[found.first[some]]
+            pos = (number[doc] << SHIFT) + at - found.start[doc]
+            for anchor, a, b, place in zip(found.anchor.view(np.int64)[some].tolist(), at.tolist(),
+                                           (at + found.count[some] + window - 1).tolist(), pos.tolist()):
+                content = found.hashes[a:b].tobytes()
+                if content not in seen or place < seen[content][1]:
+                    seen[content] = anchor, place
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in seen.values()], pa.int64()), pa.array(list(seen), pa.binary()),
                  pa.array([p for _, p in seen.values()], pa.int64())], ["anchor", "content", "pos"])
 
-    parts = texts.join(alone, "_row").select("_ord", "text", "anchors").mapInArrow(
+    parts = squeezed(texts).join(alone, "_row").select("_ord", "text", "anchors").mapInArrow(
         repeated, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(
         F.min("pos").alias("pos"))
     parts = cut_lineage(parts)
@@ -293,34 +333,36 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Words()
-        for part in pieces_of(batches, "text"):
-            totals, losses, texts, kept = [], [], [], []
-            for text, single, firsts in zip(part.column("text").to_pylist(), part.column("anchors"),
-                                            part.column("firsts").to_pylist()):
-                words = words_of(text)
-                keys, first, count = stretches(own.hashes(words), window, gram)
-                single = np.array(single.values) if single.is_valid else np.zeros(0, np.int64)
-                covered = np.repeat(~np.isin(keys, single), count)
-                for span in firsts or ():
-                    covered[span["at"]:span["at"] + span["n"]] = False
-                at = np.flatnonzero(covered)
-                edges = np.zeros(len(words) + 1, dtype=np.int64)
-                np.add.at(edges, at, 1)
-                np.add.at(edges, at + window, -1)
-                gone = np.cumsum(edges[:-1]) > 0
-                totals.append(len(words))
-                losses.append(int(gone.sum()))
-                if losses[-1]:
-                    words = [w for w, g in zip(words, gone.tolist()) if not g]
-                kept.append(b" ".join(words))
-                texts.append(kept[-1] if losses[-1] else None if text is None else text.encode("utf-8", "surrogatepass"))
+        for part in unsqueezed(batches):
+            given = part.column("text").to_pylist()
+            words = [words_of(t) for t in given]
+            found = Stretches(words, own, window, gram)
+            covered = np.repeat(found.repeated(part.column("anchors")), found.count)
+            base = np.cumsum(found.windows) - found.windows
+            firsts = part.column("firsts")
+            runs = firsts.flatten()
+            if len(runs):
+                doc = np.repeat(np.arange(len(given)), firsts.value_lengths().fill_null(0).to_numpy())
+                begin, n = base[doc] + runs.field("at").to_numpy(), runs.field("n").to_numpy()
+                covered[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())] = False
+            edges = np.zeros(len(found.hashes) + window + 1, dtype=np.int32)
+            edges[found.at[covered]] += 1
+            edges[found.at[covered] + window] -= 1
+            gone = np.cumsum(edges[:len(found.hashes)]) > 0
+            before = np.r_[0, np.cumsum(gone)]
+            losses = before[found.start + found.sizes] - before[found.start]
+            texts, kept = [], []
+            for text, ws, a, loss in zip(given, words, found.start.tolist(), losses.tolist()):
+                if loss:
+                    ws = list(compress(ws, (~gone[a:a + len(ws)]).tolist()))
+                kept.append(b" ".join(ws))
+                texts.append(kept[-1] if loss else None if text is None else text.encode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
-                [part.column("row"), pa.array(totals, pa.int64()), pa.array(losses, pa.int64()),
-                 pa.array(texts, pa.binary()), pa.array(kept, pa.binary())],
-                ["row", "n_words", "n_removed", "kept", "kept_words"])
+                [part.column("row"), pa.array(found.sizes), pa.array(losses), pa.array(texts, pa.binary()),
+                 pa.array(kept, pa.binary())], ["row", "n_words", "n_removed", "kept", "kept_words"])
 
     texts = docs.select(F.monotonically_increasing_id().alias("_row"), row.alias("row"), "text")
-    return texts.join(found, "_row").select("row", "text", "anchors", "firsts").mapInArrow(
+    return squeezed(texts).join(found, "_row").select("row", "text", "anchors", "firsts").mapInArrow(
         run, f"row {kind}, n_words bigint, n_removed bigint, kept binary, kept_words binary")
 
 

@@ -27,7 +27,7 @@ from plumbline.llm.components import components
 from plumbline.session import cut_lineage
 
 WORDS, SEED, DISTANCE = 3, 42, 2
-FAN, QUERIES, TASK_ROWS, GROUP_ROWS = 16, 4096, 200_000, 100_000
+FAN, QUERIES, PAIRS, TASK_ROWS, GROUP_ROWS = 16, 4096, 1 << 16, 200_000, 100_000
 
 
 def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
@@ -100,7 +100,7 @@ class GrayIndex:
             waiting = [(len(self.levels) - 1, query, self.group[query])]
             while waiting:
                 level, query, node = waiting.pop()
-                if len(query) > 1 << 20:
+                if len(query) > PAIRS:
                     half = len(query) // 2
                     waiting += [(level, query[:half], node[:half]), (level, query[half:], node[half:])]
                     continue

@@ -10,6 +10,7 @@ the key are ordered by document id, then by row); an empty table gives no pieces
 """
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +29,17 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 BUCKETS, DIMENSIONS, BITS, SEED = 256, 4, 12, 7
 
 
+def byte_letters() -> dict[int, int]:
+    """The letters that byte-level vocabularies write bytes as: printable ones stand for themselves, the others for
+    letters from 256 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = byte_letters()
+
+
 class Tokens(Encoder):
     """A tokenizer file's ids, each distinct piece of text being tokenized once per worker."""
 
@@ -40,13 +52,16 @@ class Tokens(Encoder):
         self.tokenizer.encode_special_tokens = True
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.find = regex.compile(public_tokenizers.PATTERN).findall
-        self.crossing = regex.compile(r"\s \s|\s \Z").search
-        self.known = {}
+        self.crossing = re.compile(r"\s \s|\s \Z").search
+        self.known, self.fresh = {}, {}
 
     def encode_pieces(self, pieces):
-        pieces = list(pieces)
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return {p: np.array(x.ids, dtype=self.type).tobytes() for p, x in zip(pieces, found)}
+        """Pieces are what the pre-tokenizer cuts, so the library's model takes them as they are, byte by byte."""
+        tokenize, kind, done = self.tokenizer.model.tokenize, self.type, {}
+        for piece in pieces:
+            raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_LETTERS)
+            done[piece] = np.array([t.id for t in tokenize(raw)], dtype=kind).tobytes()
+        return done
 
 
 @lru_cache(2)
