@@ -28,7 +28,7 @@ NONE = np.int64(1) << 60  # no pair starts here
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ROWS = 2048               # pieces that are merged together
 WIDE = 64                 # pieces longer than this are merged one by one
-KEPT, KEPT_LENGTH = 400_000, 40  # strings in a worker's cache, and their longest length
+KEPT, KEPT_LENGTH = 600_000, 40  # strings in a worker's cache, and their longest length
 MARKS = frozenset(".,;:!?")
 
 

@@ -11,6 +11,7 @@ the key are ordered by document id, then by row); an empty table gives no pieces
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -57,10 +58,10 @@ class Tokens(Encoder):
 
     def encode_pieces(self, pieces):
         """Pieces are what the pre-tokenizer cuts, so the library's model takes them as they are, byte by byte."""
-        tokenize, kind, done = self.tokenizer.model.tokenize, self.type, {}
+        tokenize, code, done = self.tokenizer.model.tokenize, "H" if self.type.itemsize == 2 else "I", {}
         for piece in pieces:
             raw = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_LETTERS)
-            done[piece] = np.array([t.id for t in tokenize(raw)], dtype=kind).tobytes()
+            done[piece] = array(code, [t.id for t in tokenize(raw)]).tobytes()
         return done
 
 
