@@ -1,5 +1,6 @@
 """Session settings and the shared folder for cut lineage."""
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,3 +47,13 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/plumbline-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Have shuffle files removed that only finished, cut plans needed.
+
+    Spark removes a shuffle's files when the driver's garbage collection finds that no plan refers to it. A driver that
+    makes little garbage may not get there for half an hour, and all shuffles of a long job would share the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
