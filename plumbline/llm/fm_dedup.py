@@ -16,7 +16,8 @@ A window is WINDOW consecutive words of a document; words covered by a window wh
    it is the window's first.
 4. Windows found to be first are sent back to their documents; all other windows of repeated anchors are covered.
 
-Words are compared by 64-bit hashes. Rows: a null text has no words; a repeated or null doc_id makes separate documents
+Anchors are 64-bit hashes of words' 64-bit hashes; within a shard words are compared by 32 bits of theirs, so two
+windows are taken for equal if these 20 pairs and the anchor are. Rows: a null text has no words; a repeated or null doc_id makes separate documents
 (null first; rows of one id in the order read, so ``docs`` must be a table that is read the same way each time); texts
 shorter than a window are kept whole.
 """
@@ -33,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import BLOCK_BYTES, pieces_of, running_total, table
-from plumbline.session import cut_lineage
+from plumbline.session import cut_lineage, release, stored
 
-WINDOW, GRAM = 20, 8
+WINDOW, GRAM = 20, 6
 SHARD_WORDS, VARIANTS = 600_000, 5_000
 KEPT = 300_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -194,7 +195,7 @@ def first_windows(window: int):
     """Of a shard's stretches: the windows that stand first, as runs (document, first window, number)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos", kind="stable")
-        parts = [np.frombuffer(b, dtype="<u8") for b in pdf["content"]]
+        parts = [np.frombuffer(b, dtype="<u4") for b in pdf["content"]]
         sizes = np.array([len(p) for p in parts])
         index = FmIndex(np.concatenate(parts), sizes, window)
         count = sizes - window + 1
@@ -270,20 +271,21 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
         F.sum("n").alias("n"), F.min("_row").alias("_row")).where("n = 1")
     alone = once.groupBy("_row").agg(F.collect_list("anchor").alias("anchors"))
     alone = cut_lineage(numbered(docs).join(alone, "_row", "left"))
+    release(docs.sparkSession)
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Words()
         for part in unsqueezed(batches):
             seen: dict[bytes, tuple[int, int]] = {}
             found = Stretches([words_of(t) for t in part.column("text").to_pylist()], own, window, gram)
-            number = part.column("_ord").to_numpy()
+            number, short = part.column("_ord").to_numpy(), found.hashes.astype("<u4")
             some = np.flatnonzero(found.repeated(part.column("anchors")))
             at = found.at[found.first[some]]
             doc = found.doc[found.first[some]]
             pos = (number[doc] << SHIFT) + at - found.start[doc]
             for anchor, a, b, place in zip(found.anchor.view(np.int64)[some].tolist(), at.tolist(),
                                            (at + found.count[some] + window - 1).tolist(), pos.tolist()):
-                content = found.hashes[a:b].tobytes()
+                content = short[a:b].tobytes()
                 if content not in seen or place < seen[content][1]:
                     seen[content] = anchor, place
             yield pa.RecordBatch.from_arrays(
@@ -293,7 +295,8 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     parts = squeezed(texts).join(alone, "_row").select("_ord", "text", "anchors").mapInArrow(
         repeated, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(
         F.min("pos").alias("pos"))
-    parts = cut_lineage(parts)
+    parts = stored(parts)
+    release(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,9 +304,9 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
                 keys, contents, places = [], [], []
                 part = batch.slice(i, 200)
                 for content, pos in zip(part.column("content").to_pylist(), part.column("pos").to_pylist()):
-                    hashes = np.frombuffer(content, dtype="<u8")
+                    hashes = np.frombuffer(content, dtype="<u4").astype(np.uint64)
                     keys.append(grams(hashes, window).view(np.int64))
-                    contents += [content[8 * k:8 * (k + window)] for k in range(len(hashes) - window + 1)]
+                    contents += [content[4 * k:4 * (k + window)] for k in range(len(hashes) - window + 1)]
                     places.append(pos + np.arange(len(hashes) - window + 1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), pa.array(contents, pa.binary()), pa.array(np.concatenate(places))],
@@ -313,8 +316,8 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     if not many.isEmpty():
         single = parts.join(many, "anchor", "left_semi").select("anchor", "content", "pos").mapInArrow(
             cut, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(F.min("pos").alias("pos"))
-        parts = cut_lineage(parts.join(many, "anchor", "left_anti").select("anchor", "content", "pos").unionByName(single))
-    total = parts.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0] // 8
+        parts = stored(parts.join(many, "anchor", "left_anti").select("anchor", "content", "pos").unionByName(single))
+    total = parts.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0] // 4
     shards = max(1, -(-total // SHARD_WORDS))
     found = parts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(
         first_windows(window), "pos bigint, n bigint")
