@@ -27,15 +27,21 @@ def numeric_values(rows: DataFrame) -> DataFrame:
 
 
 def resolved_instances(instances: DataFrame, formulas: DataFrame, mappings: DataFrame) -> DataFrame:
-    """K2: instances with their formula and number of inputs; ``evaluated`` is false where either is missing."""
-    formulas = formulas.withColumns({
-        c: F.lit(None).cast("string") for c in ("tolerance", "rounding") if c not in formulas.columns})
+    """K2: instances with their formula and number of inputs; ``evaluated`` is false where either is missing.
+
+    The default tolerance stands in for a missing column only: a blank cell means no check, other text stops the job.
+    """
+    missing = {"tolerance": F.lit(str(fixed.DEFAULT_TOLERANCE)), "rounding": F.lit(None).cast("string")}
+    formulas = formulas.withColumns({c: v for c, v in missing.items() if c not in formulas.columns})
+    tolerance = F.col("tolerance").try_cast("double")
+    blank = F.col("tolerance").isNull() | (F.trim("tolerance") == "")
     counts = mappings.groupBy("calculation_id").agg(F.count("*").alias("n_inputs"))
     return (
         instances.join(formulas, "calculation_type", "left")
         .join(counts, "calculation_id", "left")
         .withColumns({
-            "tolerance": F.coalesce(F.col("tolerance").try_cast("double"), F.lit(fixed.DEFAULT_TOLERANCE)),
+            "tolerance": F.when(blank | tolerance.isNotNull(), tolerance).otherwise(
+                F.raise_error(F.concat(F.lit("invalid tolerance: "), F.col("calculation_type"))).cast("double")),
             "rounding": F.coalesce("rounding", F.lit("none")),
             "score_label": F.coalesce("score_label", "calculation_id"),
             "evaluated": F.col("formula_expression").isNotNull() & F.col("n_inputs").isNotNull(),
@@ -91,7 +97,10 @@ def rounded(value: Column, rounding: Column, scaled: Column) -> Column:
 
 def results(export: DataFrame, instances: DataFrame, formulas: DataFrame, mappings: DataFrame) -> DataFrame:
     """K6, K7: every evaluated case with stored and expected value, inputs and verdict."""
-    formula_rows = formulas.select("calculation_type", "formula_expression").distinct().collect()  # rule rows only
+    formula_rows = formulas.select("calculation_type", "formula_expression").collect()  # rule rows only
+    types = [r.calculation_type for r in formula_rows]
+    if len(set(types)) < len(types):
+        raise ValueError(f"repeated calculation_type: {sorted(t for t in set(types) if types.count(t) > 1)}")
     active = resolved_instances(instances, formulas, mappings).filter("evaluated")
     stored = numeric_values(export.join(active.withColumn("source_id", F.col("score_source_id")), "source_id")).filter(
         F.col("source_value_numeric").isNotNull())
@@ -100,7 +109,7 @@ def results(export: DataFrame, instances: DataFrame, formulas: DataFrame, mappin
     scaled = F.col("calculation_type").isin(
         [r.calculation_type for r in formula_rows if uses_array_functions(r.formula_expression)])
     difference = F.abs(F.col("stored_value") - F.col("expected_value"))
-    broken = ~F.isnan("difference") & (F.col("difference") > F.col("tolerance"))
+    broken = F.coalesce(~F.isnan("difference") & (F.col("difference") > F.col("tolerance")), F.lit(False))
     return (
         cases.filter("n_found = n_inputs")
         .withColumn("stored_value", F.col("source_value_numeric"))

@@ -369,7 +369,7 @@ def _longitudinal_rows(groups, listed, number=False):
     return LONGITUDINAL + f"""SELECT r.rule_id, g.PID, g.source_id, r.variable_label, r.value_type,
  CAST(r.allowed_variation_percent AS DOUBLE) AS allowed_variation_percent,
  CAST(g.variation AS DECIMAL(18,4)) AS observed_variation, {cell.format('lo')} AS min_value, {cell.format('hi')} AS max_value,
- t.text AS values_observed, s.first_d AS first_episode_date, s.last_d AS last_episode_date, s.n_d AS n_episode_dates,
+ s.first_d AS first_episode_date, s.last_d AS last_episode_date, s.n_d AS n_episode_dates,
  g.n_rows AS n_rows_checked
 FROM {groups} g JOIN spans s USING (PID, source_id) JOIN long_rules r USING (source_id)
 JOIN ({listed}) t USING (PID, source_id)

@@ -90,19 +90,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the input is too small to be cut into as many splits.
-
-    A file of one row group is one task, and all that follows the scan would run there. Inputs with at least
-    one full split per core, which is any large table, are left as they are.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split else df
-
-
 def long_export(spark: SparkSession, sf_dir: str, ids=None) -> DataFrame:
     """Long export of all values, or only of the given source ids: tables and columns not needed stay unread."""
     parts = []
@@ -111,10 +98,10 @@ def long_export(spark: SparkSession, sf_dir: str, ids=None) -> DataFrame:
         if not wanted:
             continue
         needed = [c for c in table(spark, sf_dir, name).columns if any(c in e for e in (*KEYS[name], *wanted.values()))]
-        rows = spread(table(spark, sf_dir, name).select(
-            *needed, *(["o_orderdate"] if name == "orders" and "o_orderdate" not in needed else [])))
+        rows = table(spark, sf_dir, name).select(
+            *needed, *(["o_orderdate"] if name == "orders" and "o_orderdate" not in needed else []))
         if name == "lineitem":
-            orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+            orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
             rows = rows.join(orders, rows["l_orderkey"] == orders["o_orderkey"])
         keys = [k.format(slash=SPARK["slash"]("to_date(o_orderdate)")) for k in KEYS[name]]
         wide = rows.selectExpr(*[f"{k} AS {n}" for k, n in zip(keys, KEY_NAMES)],
@@ -190,7 +177,7 @@ def basic_versions(spark, sf_dir):
 
 def longitudinal_versions(spark, sf_dir):
     """Episodes with forms 2 and 3; some refer to a version that does not exist."""
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")).filter(
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate").filter(
         "o_custkey % 29 <> 0")
     slash = SPARK["slash"]("to_date(o_orderdate)")
     return orders.selectExpr(
@@ -201,7 +188,7 @@ def longitudinal_versions(spark, sf_dir):
 
 def wide_export(spark, sf_dir):
     """Order lines as rows of a wide export: one basic column, three longitudinal ones, with gaps."""
-    lines, orders = spread(table(spark, sf_dir, "lineitem")), spread(table(spark, sf_dir, "orders"))
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return as_columns(lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]), {
         "PID": "CAST(o_custkey AS STRING)",
         "Episode": "CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(o_orderkey AS STRING) END",
@@ -219,7 +206,7 @@ WIDE_BASIC, WIDE_LONGITUDINAL = ("X_2_0_22",), ("X_3_31_46", "X_3_31_41", "X_3_3
 
 def sparse_events(spark, sf_dir):
     """Events as rows of a patient, episode fields given on some event types only."""
-    return spread(table(spark, sf_dir, "events")).selectExpr(
+    return table(spark, sf_dir, "events").selectExpr(
         "CAST(user_id AS STRING) AS PID",
         "CASE WHEN event_type = 'signup' THEN CAST(event_id AS STRING) WHEN event_type = 'click' THEN '' END AS Episode",
         f"CASE WHEN event_type = 'purchase' THEN {SPARK['iso']('to_date(ts)')} END AS Episode_Date",

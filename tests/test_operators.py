@@ -105,7 +105,7 @@ def test_dates(frame, rows):
 
 def test_calculations(frame, rows):
     formulas = frame("calculation_type formula_expression tolerance rounding", [
-        ("BMI", "weight / ((height / 100) ** 2)", "0.1", "one_decimal"), ("LOG", "ln(weight)", "0", "integer")])
+        ("BMI", "weight * 10000 / height ** 2", "0.1", "one_decimal"), ("LOG", "ln(weight)", "0", "integer")])
     instances = frame("calculation_id calculation_type score_label score_source_id", [
         ("bmi", "BMI", "BMI", "BMI"), ("log", "LOG", None, "LOG"), ("none", "NOPE", "x", "BMI"), ("bare", "BMI", "x", "BMI")])
     mappings = frame("calculation_id variable_alias variable_source_id", [
@@ -126,6 +126,23 @@ def test_calculations(frame, rows):
         ("computational_conformance", "none", 0, 0), ("computational_conformance", "bare", 0, 0)], key=str)
 
 
+def test_tolerances_and_repeated_formulas(frame, rows):
+    instances = frame("calculation_id calculation_type score_label score_source_id", [("c", "T", "t", "S")])
+    mappings = frame("calculation_id variable_alias variable_source_id", [("c", "a", "A")])
+    export = frame(LONG, long_rows(("1", "1", "d", "1", "S", "9"), ("1", "1", "d", "1", "A", "5")))
+    formulas = lambda *more: frame("calculation_type formula_expression tolerance", [("T", "a", *more)])
+    assert rows(calculation.results(export, instances, formulas("1"), mappings), "violation") == [(True,)]
+    assert rows(calculation.results(export, instances, formulas(None), mappings), "violation") == [(False,)]
+    assert rows(calculation.results(export, instances, formulas(" "), mappings), "violation") == [(False,)]
+    without = formulas("1").drop("tolerance")
+    assert rows(calculation.results(export, instances, without, mappings), "tolerance", "violation") == [(0.01, True)]
+    with pytest.raises(Exception, match="invalid tolerance"):
+        calculation.results(export, instances, formulas("abc"), mappings).collect()
+    twice = frame("calculation_type formula_expression tolerance", [("T", "a", "1"), ("T", "a*2", "1")])
+    with pytest.raises(ValueError, match="repeated calculation_type"):
+        calculation.results(export, instances, twice, mappings)
+
+
 def test_imports(frame, elements, rows):
     rules = frame("rule_id target_label target_source_id source_label source_source_id", [
         ("R1", "t", "I", "s", "F"), ("R2", "t", "G", "s", "S"), ("R3", "t", "NEVER", "s", "F")])
@@ -159,16 +176,18 @@ def test_longitudinal(frame, rows):
         cell("3", "01.02.2026", "W", "75"), cell("4", "01.01.2026", "W", "50"), cell("4", "bad", "W", "500"),
         cell("1", "01.02.2026", "SEEN", "01.01.2026"), cell("1", "01.01.2026", "SEEN", "05.01.2026"),
         cell("1", "01.03.2026", "SEEN", "06.01.2026"), cell("1", "01.03.2026", "SEEN", "02.01.2026")))
-    got = rows(longitudinal.violations(export, rules), "rule_id", "PID", "observed_variation", "values_observed",
+    got = rows(longitudinal.violations(export, rules), "rule_id", "PID", "observed_variation",
                "n_episode_dates", "n_rows_checked")
     assert got == sorted([
-        ("C", "1", 1.0, "b | a", 2, 2), ("N", "1", 60.0, "50 | 80", 3, 2), ("N", "2", float("inf"), "0 | 1", 2, 2),
-        ("D", "1", 2.0, "2026-01-05 | 2026-01-01 | 2026-01-06 | 2026-01-02", 3, 4)], key=str)
+        ("C", "1", 1.0, 2, 2), ("N", "1", 60.0, 3, 2), ("N", "2", float("inf"), 2, 2),
+        ("D", "1", 2.0, 3, 4)], key=str)
     assert {r[1]: r[2:] for r in rows(longitudinal.summary(export, rules))} == {
         "C": (2, 1), "N": (3, 2), "D": (1, 1), "U": (0, 0)}
-    # Long groups are not joined into one text, but all their values are there as rows.
-    assert rows(longitudinal.violations(export, rules, inline_values=3).filter("rule_id = 'D'"), "values_observed") == [(None,)]
-    assert longitudinal.observed_values(export, rules).filter("rule_id = 'D'").count() == 4
+    # The values themselves are rows, for every violating group.
+    values = longitudinal.observed_values(export, rules)
+    assert rows(values, "rule_id", "PID", "value") == sorted([
+        ("C", "1", "b"), ("C", "1", "a"), ("N", "1", "50"), ("N", "1", "80"), ("N", "2", "0"), ("N", "2", "1"),
+        *(("D", "1", f"2026-01-0{d}") for d in (5, 1, 6, 2))], key=str)
     bad = frame("rule_id source_id variable_label value_type allowed_variation_percent", [("X", "W", "w", "float", "many")])
     with pytest.raises(Exception, match="invalid allowed_variation_percent"):
         longitudinal.violations(export, bad).collect()
