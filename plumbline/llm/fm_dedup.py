@@ -377,7 +377,7 @@ def op5_fm_dedup(spark, sf_dir: str) -> DataFrame:
 
 OP5_SQL = r"""
 WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), win AS (
   SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k
