@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import fm_dedup, gray_simhash, language_crf, noisy_toxicity, packing
-from plumbline.llm.common import kept, remainder, table
+from plumbline.llm.common import kept, reachable, remainder, table
 from plumbline.session import stored
 
 LEAST_LANGUAGE = 0.4  # mean probability of a document's language below which no language holds most of it
@@ -67,6 +67,7 @@ ORACLE_SQL = None  # models and Hilbert order are beyond SQL; tests/llm compares
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written as Parquet and read again."""
+    reachable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir))

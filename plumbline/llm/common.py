@@ -1,6 +1,8 @@
 """Small helpers that several operators share."""
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,7 +14,17 @@ from plumbline.session import cut_lineage
 BLOCK_BYTES = 4 << 20  # text that a worker holds as Python objects at a time
 
 
+def reachable(spark) -> None:
+    """Let workers import this package from where the driver has it, as far as they see that folder. On a cluster that
+    does not, the package is given to Spark as any other dependency (``--py-files``)."""
+    root, worker = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in worker.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        worker["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
