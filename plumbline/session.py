@@ -42,13 +42,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def new_folder(spark: SparkSession) -> str:
+    """Name of a new folder below the shared one."""
+    return f"{shared_folder(spark)}/plumbline-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write as Parquet to a new folder below the shared one and read it back: like ``cut_lineage``, but compressed."""
-    path = f"{shared_folder(df.sparkSession)}/plumbline-{uuid.uuid4().hex}"
+    path = path or new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``new_folder`` whose table is read no more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Have shuffle files removed that only finished, cut plans needed.
 
