@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import BLOCK_BYTES, pieces_of, running_total, table
-from plumbline.session import cut_lineage, release, stored
+from plumbline.session import drop_folder, new_folder, release, stored
 
 WINDOW, GRAM = 20, 8
 SHARD_WORDS, VARIANTS = 600_000, 5_000
@@ -103,6 +103,12 @@ class Stretches:
         self.first = np.flatnonzero(new)  # among the windows
         self.anchor = least[self.first]
         self.count = np.diff(np.r_[self.first, len(least)])
+        own = np.bincount(self.doc[self.first], minlength=len(words)) if len(least) else np.zeros(len(words), np.int64)
+        self.base = np.cumsum(own) - own  # number of the first stretch of each text
+
+    def numbers(self) -> np.ndarray:
+        """Which stretch of its text each is."""
+        return np.arange(len(self.first)) - self.base[self.doc[self.first]]
 
     def times(self) -> np.ndarray:
         """In how many places of its stretch an anchor stands: periodic text may repeat a window within a stretch."""
@@ -114,9 +120,11 @@ class Stretches:
         return np.add.reduceat((self.gram[place] == np.repeat(self.anchor, width)).astype(np.int64), begin)
 
     def repeated(self, alone: pa.ListArray) -> np.ndarray:
-        """Which stretches have an anchor that is none of those that stand once (in any text: they stand once)."""
-        once = alone.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        return ~np.isin(self.anchor.view(np.int64), once)
+        """Which stretches have a repeated anchor, from the numbers of the others in each text."""
+        text = np.repeat(np.arange(len(alone)), alone.value_lengths().fill_null(0).to_numpy())
+        out = np.ones(len(self.first), dtype=bool)
+        out[self.base[text] + alone.flatten().to_numpy(zero_copy_only=False).astype(np.int64)] = False
+        return out
 
 
 class WaveletMatrix:
@@ -254,8 +262,8 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """_row, ``anchors`` (those of the document that stand once) and ``firsts`` (runs of windows that stand first
-    although their anchor is repeated): what ``cleaned`` needs besides the texts."""
+    """_row, ``alone`` (numbers of the document's stretches whose anchor stands once) and ``firsts`` (runs of windows
+    that stand first although their anchor is repeated): what ``removed`` needs besides the texts."""
     texts = docs.select(F.monotonically_increasing_id().alias("_row"), "text")
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,13 +272,14 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
             found = Stretches([words_of(t) for t in part.column("text").to_pylist()], own, window, gram)
             rows = part.column("_row").to_numpy()[found.doc[found.first]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(found.anchor.view(np.int64)), pa.array(found.times())],
-                ["_row", "anchor", "n"])
-
-    once = texts.mapInArrow(anchors, "_row bigint, anchor bigint, n bigint").groupBy("anchor").agg(
-        F.sum("n").alias("n"), F.min("_row").alias("_row")).where("n = 1")
-    alone = once.groupBy("_row").agg(F.collect_list("anchor").alias("anchors"))
-    alone = cut_lineage(numbered(docs).join(alone, "_row", "left"))
+                [pa.array(rows), pa.array(found.numbers(), pa.int32()), pa.array(found.anchor.view(np.int64)),
+                 pa.array(found.times(), pa.int32())], ["_row", "k", "anchor", "n"])
+
+    # Of an anchor that stands once, the least row and the least number are those of its only stretch.
+    once = texts.mapInArrow(anchors, "_row bigint, k int, anchor bigint, n int").groupBy("anchor").agg(
+        F.sum("n").alias("n"), F.min("_row").alias("_row"), F.min("k").alias("k")).where("n = 1")
+    alone = once.groupBy("_row").agg(F.collect_list("k").alias("alone"))
+    alone = stored(numbered(docs).join(alone, "_row", "left"))
     release(docs.sparkSession)
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +288,7 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
             seen: dict[bytes, tuple[int, int]] = {}
             found = Stretches([words_of(t) for t in part.column("text").to_pylist()], own, window, gram)
             number, short = part.column("_ord").to_numpy(), found.hashes.astype("<u4")
-            some = np.flatnonzero(found.repeated(part.column("anchors")))
+            some = np.flatnonzero(found.repeated(part.column("alone")))
             at = found.at[found.first[some]]
             doc = found.doc[found.first[some]]
             pos = (number[doc] << SHIFT) + at - found.start[doc]
@@ -292,10 +301,11 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
                 [pa.array([a for a, _ in seen.values()], pa.int64()), pa.array(list(seen), pa.binary()),
                  pa.array([p for _, p in seen.values()], pa.int64())], ["anchor", "content", "pos"])
 
-    parts = squeezed(texts).join(alone, "_row").select("_ord", "text", "anchors").mapInArrow(
+    parts = squeezed(texts).join(alone, "_row").select("_ord", "text", "alone").mapInArrow(
         repeated, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(
         F.min("pos").alias("pos"))
-    parts = stored(parts)
+    folders = [new_folder(docs.sparkSession)]
+    parts = stored(parts, folders[0])
     release(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,14 +326,20 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     if not many.isEmpty():
         single = parts.join(many, "anchor", "left_semi").select("anchor", "content", "pos").mapInArrow(
             cut, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(F.min("pos").alias("pos"))
-        parts = stored(parts.join(many, "anchor", "left_anti").select("anchor", "content", "pos").unionByName(single))
+        folders.append(new_folder(docs.sparkSession))
+        parts = stored(parts.join(many, "anchor", "left_anti").select("anchor", "content", "pos").unionByName(single),
+                       folders[1])
     total = parts.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0] // 4
     shards = max(1, -(-total // SHARD_WORDS))
     found = parts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(
         first_windows(window), "pos bigint, n bigint")
     firsts = found.groupBy(F.expr(f"shiftright(pos, {SHIFT})").alias("_ord")).agg(
         F.collect_list(F.struct(F.expr(f"pos & {(1 << SHIFT) - 1}").alias("at"), "n")).alias("firsts"))
-    return alone.join(firsts, "_ord", "left").select("_row", "anchors", "firsts")
+    result = stored(alone.join(firsts, "_ord", "left").select("_row", "alone", "firsts"))
+    release(docs.sparkSession)
+    for folder in folders:  # the stretches are read no more
+        drop_folder(docs.sparkSession, folder)
+    return result
 
 
 def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -340,7 +356,7 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
             given = part.column("text").to_pylist()
             words = [words_of(t) for t in given]
             found = Stretches(words, own, window, gram)
-            covered = np.repeat(found.repeated(part.column("anchors")), found.count)
+            covered = np.repeat(found.repeated(part.column("alone")), found.count)
             base = np.cumsum(found.windows) - found.windows
             firsts = part.column("firsts")
             runs = firsts.flatten()
@@ -365,7 +381,7 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
                  pa.array(kept, pa.binary())], ["row", "n_words", "n_removed", "kept", "kept_words"])
 
     texts = docs.select(F.monotonically_increasing_id().alias("_row"), row.alias("row"), "text")
-    return squeezed(texts).join(found, "_row").select("row", "text", "anchors", "firsts").mapInArrow(
+    return squeezed(texts).join(found, "_row").select("row", "text", "alone", "firsts").mapInArrow(
         run, f"row {kind}, n_words bigint, n_removed bigint, kept binary, kept_words binary")
 
 
