@@ -6,7 +6,7 @@ A window is WINDOW consecutive words of a document; words covered by a window wh
 1. Anchors. Of the GRAM-word hashes in a window the least one is its anchor. Equal windows have equal anchors, and
    windows in a row that share theirs form a stretch, so text is dealt to shards by anchor without losing a match.
    An anchor that stands once in the corpus has no equal window: only stretches of repeated anchors go on.
-2. Stretches of equal words are merged before the shuffle to the earliest one; only that can hold a window that is the
+2. Of equal texts only the first sends stretches. Stretches of equal words are merged before the shuffle to the earliest one; only that can hold a window that is the
    first of its kind, so all later ones are covered as a whole. An anchor with very many different stretches (a large
    group of near copies) is cut into single windows, which are dealt by their own hash.
 3. Each shard lays its stretches end to end in document order and builds an FM-index: the Burrows-Wheeler transform in a
@@ -256,9 +256,13 @@ SHIFT = 31  # a position is the document's number and, below this bit, the word'
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """_row (as numbered when ``docs`` is read) and _ord (place in document order) of each row."""
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), F.lit(1).alias("_one"))
-    return running_total(rows, ["doc_id", "_row"], "_one", "_ord")[0].select("_row", "_ord")
+    """_row (as numbered when ``docs`` is read), _ord (place in document order) and ``new`` (no earlier row has the same
+    text, by its SHA-256) of each row."""
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), F.lit(1).alias("_one"),
+                       F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("_digest"))
+    placed = running_total(rows, ["doc_id", "_row"], "_one", "_ord")[0].select("_row", "_ord", "_digest")
+    first = placed.groupBy("_digest").agg(F.min("_ord").alias("_ord")).select("_ord", F.lit(True).alias("_new"))
+    return placed.join(first, "_ord", "left").select("_row", "_ord", F.col("_new").isNotNull().alias("new"))
 
 
 def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -301,7 +305,8 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
                 [pa.array([a for a, _ in seen.values()], pa.int64()), pa.array(list(seen), pa.binary()),
                  pa.array([p for _, p in seen.values()], pa.int64())], ["anchor", "content", "pos"])
 
-    parts = squeezed(texts).join(alone, "_row").select("_ord", "text", "alone").mapInArrow(
+    # All windows of a copy stand earlier, so only the first of equal texts has stretches to send.
+    parts = squeezed(texts).join(alone.where("new"), "_row").select("_ord", "text", "alone").mapInArrow(
         repeated, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(
         F.min("pos").alias("pos"))
     folders = [new_folder(docs.sparkSession)]
@@ -331,8 +336,8 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
                        folders[1])
     total = parts.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0] // 4
     shards = max(1, -(-total // SHARD_WORDS))
-    found = parts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(
-        first_windows(window), "pos bigint, n bigint")
+    dealt = parts.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "content", "pos")
+    found = dealt.groupBy("shard").applyInPandas(first_windows(window), "pos bigint, n bigint")
     firsts = found.groupBy(F.expr(f"shiftright(pos, {SHIFT})").alias("_ord")).agg(
         F.collect_list(F.struct(F.expr(f"pos & {(1 << SHIFT) - 1}").alias("at"), "n")).alias("firsts"))
     result = stored(alone.join(firsts, "_ord", "left").select("_row", "alone", "firsts"))
