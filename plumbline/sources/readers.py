@@ -1,5 +1,7 @@
 """Readers. Every column is text; logical types come from the dictionary, not from the file."""
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumbline import fixed_values as fixed
@@ -51,13 +53,22 @@ def read_long_export(spark: SparkSession, path: str) -> DataFrame:
 def read_wide_export(spark: SparkSession, path: str) -> DataFrame:
     """Raw wide export below its preamble lines, header names trimmed, missing tokens as null.
 
-    One record per line. The first lines are looked up at the start of the file; the rest is read in parallel.
+    One record per line. The preamble is told by its place at the start of each file, so a record that equals one of its
+    lines stays; it must lie in the file's first split. Several files must have one header.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_block_start").alias("_start"), file_order().alias("row_ord"))
-    first = [r.value for r in lines.filter("_start = 0").select("value").take(fixed.RAW_EXPORT_PREAMBLE_LINES + 1)]
-    names = [c.strip().strip('"').strip() for c in first[-1].lstrip("﻿").split(";")]
-    body = lines.filter(~((F.col("_start") == 0) & F.col("value").isin(first)) & (F.col("value") != ""))
+    begins = lines.filter("_start = 0").groupBy(F.col("row_ord.file").alias("_file")).agg(
+        F.min("row_ord.n").alias("_first"))
+    lines = lines.join(begins, F.col("row_ord.file") == F.col("_file")).withColumn(
+        "_line", F.when(F.col("_start") == 0, F.col("row_ord.n") - F.col("_first")))
+    heads = lines.filter(F.col("_line") == fixed.RAW_EXPORT_PREAMBLE_LINES).select(
+        F.regexp_replace("value", "^\ufeff", "").alias("value")).distinct().take(2)
+    if len(heads) != 1:
+        raise ValueError(f"{path} has {'no header' if not heads else 'files with different headers'}")
+    names = [c.strip() for c in next(csv.reader([heads[0].value], delimiter=";", skipinitialspace=True))]
+    body = lines.filter(
+        (F.col("_line").isNull() | (F.col("_line") > fixed.RAW_EXPORT_PREAMBLE_LINES)) & (F.col("value") != ""))
     fields = F.from_csv("value", F.lit(_ddl(names)), {"sep": ";", "escape": '"', "mode": "PERMISSIVE"})
     rows = body.select(fields.alias("_row"), "row_ord").select("_row.*", "row_ord")
     return normalise_nulls(rows, names)

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import forms, reshape
@@ -32,6 +33,19 @@ def test_wide_export_below_its_preamble(spark, tmp_path, frame, rows):
                           ("1", "1", "2", "L", "6"), ("2", "1", "1", "L", "7")], key=str)
 
 
+def test_wide_export_of_several_files(spark, tmp_path, rows):
+    for name, cell in (("a", "about 3"), ("b", "y")):
+        lines = [f"about {i}" if name == "a" else f"other {i}" for i in range(7)] + ['PID;"B;C"', f"{name};{cell}", "about 3"]
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n", encoding="utf8")
+    wide = readers.read_wide_export(spark, str(tmp_path))
+    assert wide.columns == ["PID", "B;C", "row_ord"]
+    assert rows(wide.drop("row_ord")) == sorted(
+        [("a", "about 3"), ("about 3", None), ("b", "y"), ("about 3", None)], key=str)
+    (tmp_path / "c.csv").write_text("\n".join(["x"] * 7 + ["PID;D", "c;1"]) + "\n", encoding="utf8")
+    with pytest.raises(ValueError, match="different headers"):
+        readers.read_wide_export(spark, str(tmp_path))
+
+
 def test_element_list_and_rule_table(spark, tmp_path, rows):
     header = ("Form,Form ID:Version,Form Type,Record URN,Record Designation,Record Mandatory,Record Repeatable,"
               "Data Element - URN,Data Element - Designation,Data Element - Definition,Data Element Mandatory,"
