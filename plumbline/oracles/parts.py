@@ -139,12 +139,13 @@ ELEMENT_LIST = """element_list AS (
   CAST(NULL AS VARCHAR) AS unit, p_partkey AS row_ord,
   concat('X_', b, '_', CASE WHEN p_size % 4 = 0 THEN CAST(p_size % 10 AS VARCHAR) ELSE '0' END, '_', p_size) AS source_id
  FROM (SELECT *, replace(p_brand, 'Brand#', '') AS b FROM part) t
- WHERE CAST(b AS INTEGER) <= 20 AND p_partkey % 97 <> 0),
+ WHERE p_partkey % 97 <> 0),
 part_dict AS (
  SELECT * FROM element_list QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY row_ord) = 1)"""
 
 FORM_ITEMS = """items AS (
- SELECT concat('K', p_partkey) AS form_key, replace(p_brand, 'Brand#', '') AS form_id,
+ SELECT concat('K', p_partkey) AS form_key, CAST(CAST(replace(p_brand, 'Brand#', '') AS INTEGER)
+  + CASE WHEN CAST(replace(p_brand, 'Brand#', '') AS INTEGER) > 20 THEN 100 ELSE 0 END AS VARCHAR) AS form_id,
   CAST(p_size % 3 AS VARCHAR) AS form_version,
   CASE WHEN p_size % 2 = 0 AND p_name <> '' THEN p_name ELSE concat('Form ', p_brand) END AS form_label,
   CASE WHEN p_type = 'ECONOMY' THEN concat('urn:reg:record:', p_size % 10, ':1')

@@ -1,7 +1,7 @@
 """Registered queries: every operator on the registry that the driver tables form.
 
-Each takes (spark, folder of the tables) and returns a DataFrame. Where a check's rules name the elements they
-read, only those are taken from the tables, as a scan of a clustered long export would do.
+Each takes (spark, folder of the tables) and returns a DataFrame. Every check gets the whole long export; which
+elements its rules read is the operator's business.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -21,13 +21,8 @@ def query(function):
     return function
 
 
-def _ids_of_type(*kinds):
-    return {r[15] for r in rules.DICTIONARY if r[12].strip().upper() in kinds}
-
-
-def _enriched(spark, sf_dir, *kinds) -> DataFrame:
-    export = registry.long_export(spark, sf_dir, _ids_of_type(*kinds) if kinds else None)
-    return value.enrich(export, registry.dictionary(spark))
+def _enriched(spark, sf_dir) -> DataFrame:
+    return value.enrich(registry.long_export(spark, sf_dir), registry.dictionary(spark))
 
 
 # Reshaping: wide export to long table.
@@ -90,7 +85,7 @@ def enriched_export(spark, sf_dir):
 
 def _value_query(name, kind):
     def run(spark, sf_dir):
-        return value.value_violations(_enriched(spark, sf_dir, kind), registry.codebook(spark), (kind,))
+        return value.value_violations(_enriched(spark, sf_dir), registry.codebook(spark), (kind,))
     QUERIES[name] = run
 
 
@@ -101,7 +96,7 @@ for _name, _kind in (("value_integer", "INTEGER"), ("value_float", "FLOAT"), ("v
 
 @query
 def value_single_choice(spark, sf_dir):
-    return value.single_choice_violations(_enriched(spark, sf_dir, "ENUMERATED"))
+    return value.single_choice_violations(_enriched(spark, sf_dir))
 
 
 @query
@@ -122,18 +117,14 @@ def range_parse(spark, sf_dir):
         "data_format", "low", "low_included", "high", "high_included").agg(F.count("*").alias("n_elements"))
 
 
-def _numeric_export(spark, sf_dir):
-    return registry.long_export(spark, sf_dir, _ids_of_type("INTEGER", "FLOAT"))
-
-
 @query
 def range_violations(spark, sf_dir):
-    return ranges.violations(_numeric_export(spark, sf_dir), registry.dictionary(spark)).drop("row_ord")
+    return ranges.violations(registry.long_export(spark, sf_dir), registry.dictionary(spark)).drop("row_ord")
 
 
 @query
 def range_summary(spark, sf_dir):
-    return ranges.summary(_numeric_export(spark, sf_dir), registry.dictionary(spark))
+    return ranges.summary(registry.long_export(spark, sf_dir), registry.dictionary(spark))
 
 
 # Temporal plausibility.
@@ -144,13 +135,9 @@ DATE_COLUMNS = ("PID", "Episode", "Episode_Date", "IX", "source_id", "source_val
 ALL_DATE_RULES = (*dates.SIMPLE_RULES, *dates.VARIABLE_RULES)
 
 
-def _date_export(spark, sf_dir):
-    return registry.long_export(spark, sf_dir, {r[4] for r in rules.DATE_RULES})
-
-
 def _date_query(name, rule_id, *extra):
     def run(spark, sf_dir):
-        return dates.violations(_date_export(spark, sf_dir), registry.date_rules(spark), rules=(rule_id,),
+        return dates.violations(registry.long_export(spark, sf_dir), registry.date_rules(spark), rules=(rule_id,),
                                 **DATE_OPTIONS).select(*DATE_COLUMNS, *extra)
     QUERIES[name] = run
 
@@ -165,7 +152,8 @@ _date_query("date_after_variable", "not_after_variable", "comparison_source_id",
 
 @query
 def date_summary(spark, sf_dir):
-    return dates.summary(_date_export(spark, sf_dir), registry.date_rules(spark), rules=ALL_DATE_RULES, **DATE_OPTIONS)
+    return dates.summary(registry.long_export(spark, sf_dir), registry.date_rules(spark), rules=ALL_DATE_RULES,
+                         **DATE_OPTIONS)
 
 
 # Forms, expected elements, completeness.
@@ -276,8 +264,7 @@ def empty_longitudinal_forms(spark, sf_dir):
 # Calculation conformance.
 
 def _calculation_inputs(spark, sf_dir):
-    ids = {r[3] for r in rules.INSTANCES} | {r[3] for r in rules.MAPPINGS}
-    return (registry.long_export(spark, sf_dir, ids), *registry.calculation_tables(spark))
+    return (registry.long_export(spark, sf_dir), *registry.calculation_tables(spark))
 
 
 def _printable(case_results):
@@ -310,8 +297,7 @@ def calc_summary(spark, sf_dir):
 # Import conformance.
 
 def _import_outcomes(spark, sf_dir):
-    ids = {r[2] for r in rules.IMPORT_RULES} | {r[4] for r in rules.IMPORT_RULES}
-    return imports.outcomes(registry.long_export(spark, sf_dir, ids), registry.import_rules(spark),
+    return imports.outcomes(registry.long_export(spark, sf_dir), registry.import_rules(spark),
                             registry.dictionary(spark))
 
 
@@ -333,8 +319,7 @@ def import_patient_summary(spark, sf_dir):
 # Longitudinal plausibility.
 
 def _longitudinal_inputs(spark, sf_dir):
-    ids = {r[1] for r in rules.LONGITUDINAL_RULES}
-    return registry.long_export(spark, sf_dir, ids), registry.longitudinal_rules(spark)
+    return registry.long_export(spark, sf_dir), registry.longitudinal_rules(spark)
 
 
 def _longitudinal_query(name, kind):

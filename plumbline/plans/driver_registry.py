@@ -90,23 +90,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def long_export(spark: SparkSession, sf_dir: str, ids=None) -> DataFrame:
-    """Long export of all values, or only of the given source ids: tables and columns not needed stay unread."""
+def long_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long export of all values of the three tables."""
     parts = []
     for name, expressions in value_expressions(SPARK).items():
-        wanted = {i: e for i, e in expressions.items() if ids is None or i in ids}
-        if not wanted:
-            continue
-        needed = [c for c in table(spark, sf_dir, name).columns if any(c in e for e in (*KEYS[name], *wanted.values()))]
-        rows = table(spark, sf_dir, name).select(
-            *needed, *(["o_orderdate"] if name == "orders" and "o_orderdate" not in needed else []))
+        rows = table(spark, sf_dir, name)
         if name == "lineitem":
             orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
             rows = rows.join(orders, rows["l_orderkey"] == orders["o_orderkey"])
         keys = [k.format(slash=SPARK["slash"]("to_date(o_orderdate)")) for k in KEYS[name]]
         wide = rows.selectExpr(*[f"{k} AS {n}" for k, n in zip(keys, KEY_NAMES)],
-                               *[f"{e} AS {i}" for i, e in wanted.items()])
-        parts.append(wide.unpivot(list(KEY_NAMES), list(wanted), "source_id", "source_value"))
+                               *[f"{e} AS {i}" for i, e in expressions.items()])
+        parts.append(wide.unpivot(list(KEY_NAMES), list(expressions), "source_id", "source_value"))
     return reduce(DataFrame.unionByName, parts).select(
         "PID", "Episode", "Episode_Date", "IX", "source_id", "source_value", "row_ord")
 
@@ -230,10 +225,11 @@ def _brand(column="p_brand"):
 
 
 def form_documents(spark, sf_dir):
-    """One JSON document per part: a form with an element or record item and a text item."""
+    """One JSON document per part: a form with an element or record item and a text item. Forms of brands above 20 have
+    ids that the element list does not know."""
     return table(spark, sf_dir, "part").selectExpr(
         "to_json(map(concat('K', CAST(p_partkey AS STRING)), named_struct("
-        f"'id', CAST({_brand()} AS INT), 'version', CAST(p_size % 3 AS STRING),"
+        f"'id', CAST({_brand()} AS INT) + CASE WHEN CAST({_brand()} AS INT) > 20 THEN 100 ELSE 0 END, 'version', CAST(p_size % 3 AS STRING),"
         " 'label', CASE WHEN p_size % 2 = 0 THEN p_name ELSE '' END, 'name', concat('Form ', p_brand),"
         " 'items', array("
         "named_struct('mdrId', CASE WHEN p_type = 'ECONOMY' THEN concat('urn:reg:record:', CAST(p_size % 10 AS STRING), ':1')"
@@ -244,7 +240,7 @@ def form_documents(spark, sf_dir):
 
 
 def element_list(spark, sf_dir):
-    """Parts as the raw element list; some rows are empty, the last brands have no rows."""
+    """Parts as the raw element list; some rows are empty."""
     columns = {
         "Form": "p_brand",
         "Form ID:Version": f"concat({_brand()}, ':', CAST(p_size % 3 AS STRING))",
@@ -265,8 +261,7 @@ def element_list(spark, sf_dir):
                        " WHEN 3 THEN 'enumerated' END",
         "Unit of Measure": "CAST(NULL AS STRING)",
     }
-    rows = table(spark, sf_dir, "part").filter(f"CAST({_brand()} AS INT) <= 20")
-    return as_columns(rows, {
+    return as_columns(table(spark, sf_dir, "part"), {
         **{c: f"CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE {e} END" for c, e in columns.items()},
         "row_ord": "p_partkey"})
 
