@@ -91,9 +91,15 @@ SELECT l.source_id, d.data_type, d.data_format, d.dataelement_designation, count
 
 # Ranges. The limits are written out per element, as a reader of the dictionary would.
 ORACLES["range_parse"] = p.with_(p.ELEMENT_LIST) + """
-SELECT data_format, CAST(NULL AS DOUBLE) AS low, CAST(NULL AS BOOLEAN) AS low_included,
- CASE WHEN data_type = 'INTEGER' THEN CAST(replace(data_format, 'X<', '') AS DOUBLE) END AS high,
- CASE WHEN data_type = 'INTEGER' THEN false END AS high_included, count(*) AS n_elements
+SELECT data_format,
+ CASE WHEN data_format LIKE '1<=X<%' THEN 1.0 WHEN data_format LIKE '%<X' THEN CAST(replace(data_format, '<X', '') AS DOUBLE)
+  END::DOUBLE AS low,
+ CASE WHEN data_format LIKE '1<=X<%' THEN true WHEN data_format LIKE '%<X' THEN false END AS low_included,
+ CASE WHEN data_format LIKE '1<=X<%' THEN CAST(replace(data_format, '1<=X<', '') AS DOUBLE)
+  WHEN data_format LIKE 'X<=%' THEN CAST(replace(data_format, 'X<=', '') AS DOUBLE)
+  WHEN data_format LIKE 'X<%' THEN CAST(replace(data_format, 'X<', '') AS DOUBLE) END AS high,
+ CASE WHEN data_format LIKE '1<=X<%' THEN false WHEN data_format LIKE 'X<=%' THEN true WHEN data_format LIKE 'X<%' THEN false
+  END AS high_included, count(*) AS n_elements
 FROM element_list WHERE data_type IN ('INTEGER', 'FLOAT') GROUP BY data_format, data_type"""
 RANGE_TESTS = {
     "X_1_0_13": "n < 0 OR n >= 9000", "X_1_0_16": "n > 20", "X_2_0_23": "n <= 100",

@@ -96,6 +96,7 @@ EXPECTED = f"""expected AS (
   SELECT CAST(c_custkey AS VARCHAR) AS patient_id, CAST(NULL AS VARCHAR) AS episode_name, '1' AS form_id,
    CAST(c_custkey % 3 AS VARCHAR) AS version, 'basic' AS form_type FROM customer WHERE c_custkey % 29 <> 0
   UNION ALL SELECT concat('Z', c_custkey), NULL, '1', '0', 'basic' FROM customer WHERE c_custkey % 31 = 0
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), NULL, '4', '0', 'basic' FROM customer WHERE c_custkey % 23 = 0
   UNION ALL SELECT CAST(o_custkey AS VARCHAR), strftime(o_orderdate, '%d/%m/%Y'), '2',
    CASE WHEN o_orderkey % 107 = 0 THEN '9' ELSE CAST(o_orderkey % 3 AS VARCHAR) END, 'longitudinal'
    FROM orders WHERE o_custkey % 29 <> 0
@@ -134,7 +135,8 @@ ELEMENT_LIST = """element_list AS (
   CASE WHEN p_size % 2 = 0 THEN 'True' ELSE 'False' END AS dataelement_mandatory, 'False' AS dataelement_repeatable,
   CASE p_size % 6 WHEN 0 THEN 'INTEGER' WHEN 1 THEN 'FLOAT' WHEN 2 THEN 'DATE' WHEN 3 THEN 'enumerated'
    WHEN 4 THEN 'BOOLEAN' END AS data_type,
-  CASE p_size % 6 WHEN 0 THEN concat('X<', p_size) WHEN 1 THEN 'X'
+  CASE p_size % 6 WHEN 0 THEN CASE p_size % 24 WHEN 6 THEN concat('1<=X<', p_size) WHEN 12 THEN concat(p_size, '<X')
+   WHEN 18 THEN concat('X<=', p_size) ELSE concat('X<', p_size) END WHEN 1 THEN 'X'
    WHEN 2 THEN CASE WHEN p_size % 4 = 0 THEN 'MM.YYYY' ELSE 'DD.MM.YYYY' END WHEN 3 THEN 'enumerated' END AS data_format,
   CAST(NULL AS VARCHAR) AS unit, p_partkey AS row_ord,
   concat('X_', b, '_', CASE WHEN p_size % 4 = 0 THEN CAST(p_size % 10 AS VARCHAR) ELSE '0' END, '_', p_size) AS source_id

@@ -161,13 +161,15 @@ def report_texts(spark):
 
 
 def basic_versions(spark, sf_dir):
-    """Patients of form 1. Some lack it; some ids exist only here."""
+    """Patients of form 1, and of form 4, which nobody has filled in. Some lack form 1; some ids exist only here."""
     customers = table(spark, sf_dir, "customer")
     known = customers.filter("c_custkey % 29 <> 0").selectExpr(
         "CAST(c_custkey AS STRING) AS patient_id", "'1' AS form_id", "CAST(c_custkey % 3 AS STRING) AS version")
     foreign = customers.filter("c_custkey % 31 = 0").selectExpr(
         "concat('Z', CAST(c_custkey AS STRING)) AS patient_id", "'1' AS form_id", "'0' AS version")
-    return known.union(foreign)
+    unfilled = customers.filter("c_custkey % 23 = 0").selectExpr(
+        "CAST(c_custkey AS STRING) AS patient_id", "'4' AS form_id", "'0' AS version")
+    return known.union(foreign).union(unfilled)
 
 
 def longitudinal_versions(spark, sf_dir):
@@ -256,7 +258,9 @@ def element_list(spark, sf_dir):
         "Data Element Repeatable": "'False'",
         "Data Type": "CASE p_size % 6 WHEN 0 THEN 'INTEGER' WHEN 1 THEN 'FLOAT' WHEN 2 THEN 'DATE'"
                      " WHEN 3 THEN 'enumerated' WHEN 4 THEN 'BOOLEAN' END",
-        "Data Format": "CASE p_size % 6 WHEN 0 THEN concat('X<', CAST(p_size AS STRING)) WHEN 1 THEN 'X'"
+        "Data Format": "CASE p_size % 6 WHEN 0 THEN CASE p_size % 24 WHEN 6 THEN concat('1<=X<', CAST(p_size AS STRING))"
+                       " WHEN 12 THEN concat(CAST(p_size AS STRING), '<X') WHEN 18 THEN concat('X<=', CAST(p_size AS STRING))"
+                       " ELSE concat('X<', CAST(p_size AS STRING)) END WHEN 1 THEN 'X'"
                        " WHEN 2 THEN CASE WHEN p_size % 4 = 0 THEN 'MM.YYYY' ELSE 'DD.MM.YYYY' END"
                        " WHEN 3 THEN 'enumerated' END",
         "Unit of Measure": "CAST(NULL AS STRING)",

@@ -78,7 +78,9 @@ FORM_ELEMENTS = [
     for e, (form, record, *_) in ELEMENTS.items()
     if (e + version) % 5 and (form < 3 or version == 0)
 ] + [("1_0", "1", "0", "Form 1", "dataelement", None, URN.format(19), "X_1_0_19", "yes", "False", "19",
-      "direct_resolved")]
+      "direct_resolved")] + [
+    ("4_0", "4", "0", "Form 4", "dataelement", None, URN.format(e), f"X_4_0_{e}", "True", "False", str(e),
+     "direct_resolved") for e in (51, 52)]
 
 CORE_COLUMNS = ("form_id", "dataelement_urn")
 CORE = [(str(ELEMENTS[e][0]), f"urn:reg:dataelement:{e}:7") for e in (11, 13, 21, 24, 41, 46)]
