@@ -240,6 +240,28 @@ def test_disguised_words_are_restored(odd):
     assert all(score(t) < 0.1 for t in ("hello there", None, "", "a b c d"))
 
 
+def test_scoring_equals_scoring_of_all_restored_words(shared):
+    words = "stupid moron scum clown idiot the there that hello letter will".split()
+    text = "  " + "  ".join(words * 5) + "  "
+    code = noisy_toxicity.TABLE[[ord(c) for c in text]]
+    counts = np.bincount((code[:-2] * 64 + code[1:-1]) * 64 + code[2:], minlength=64 ** 3).astype(float)
+    texts = ["st!upid", "mo+ron", "sc|um", "c£own", "!diot", "a st!u.pid mo+ron", "c1own", "(clown)", "hello th3re 455",
+             "l3tter clovvn sc um"]
+    rng = np.random.default_rng(0)
+    for word in words * 8:
+        odd = [*word]
+        for at in rng.integers(0, len(odd) + 1, 2):
+            odd.insert(at, str(rng.choice([*noisy_toxicity.LOOKS, ".", "-"])))
+        texts.append("".join(odd))
+    model = {"counts": counts, "words": dict.fromkeys(words[:5], 5.0), "bias": -2.5}
+    score = noisy_toxicity.scorer(model)
+    assert all(score(t) > 0.9 for t in texts[:6])
+    docs = shared.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in noisy_toxicity.restore(docs, counts).collect():
+        z = sum(model["words"].get(w, 0) for w in set(r["restored"].split())) + model["bias"]
+        assert score(texts[r["doc_id"]]) == pytest.approx(1 / (1 + math.exp(-z)))
+
+
 def test_scores_of_odd_rows(shared, odd):
     labels = shared.createDataFrame([(1, 1, 0), (3, 0, 0), (6, None, 1), (None, 1, 1), (6, 1, 1), (5, 0, 0), (5, 0, 0)],
                                     "doc_id bigint, quality int, toxic int")
