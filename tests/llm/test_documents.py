@@ -257,11 +257,30 @@ def test_scoring_equals_scoring_of_all_restored_words(shared):
     score = noisy_toxicity.scorer(model)
     assert all(score(t) > 0.9 for t in texts[:6])
     docs = shared.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    for r in noisy_toxicity.restore(docs, counts).collect():
+    for r in noisy_toxicity.restore(docs, counts, {}).collect():
         z = sum(model["words"].get(w, 0) for w in set(r["restored"].split())) + model["bias"]
         assert score(texts[r["doc_id"]]) == pytest.approx(1 / (1 + math.exp(-z)))
 
 
+def test_spaced_letters_are_decoded_when_scoring(shared):
+    words = "kill hell fool idiot a you are the look skill shell killer that hello letter will of at".split()
+    text = "  " + "  ".join(words * 5) + "  "
+    code = noisy_toxicity.TABLE[[ord(c) for c in text]]
+    counts = np.bincount((code[:-2] * 64 + code[1:-1]) * 64 + code[2:], minlength=64 ** 3).astype(float)
+    vocabulary = {w: math.log(1 / len(words)) for w in words}
+    model = {"counts": counts, "vocabulary": vocabulary, "words": dict.fromkeys(words[:4], 5.0), "bias": -2.5}
+    toxic = ["k i l l", "h e l l", "f o o l", "a i d i o t", "y o u i d i o t", "y o u a r e a f o o l", "k i l l l o o k",
+             "y o u 1 d ! 0 t", "k 1 l l t h a t"]
+    clean = ["s k i l l", "s h e l l", "k i l l e r", "l o o k a t t h e s h e l l", "a b c d", "h e l l o"]
+    own = noisy_toxicity.scorer(model)
+    assert [own(t) > 0.9 for t in toxic] == [True] * len(toxic)
+    assert [own(t) < 0.1 for t in clean] == [True] * len(clean)
+    docs = shared.createDataFrame(list(enumerate([*toxic, *clean])), "doc_id bigint, text string")
+    for r in noisy_toxicity.restore(docs, counts, vocabulary).collect():
+        z = sum(model["words"].get(w, 0) for w in set(r["restored"].split())) + model["bias"]
+        assert own([*toxic, *clean][r["doc_id"]]) == pytest.approx(1 / (1 + math.exp(-z)))
+
+
 def test_scores_of_odd_rows(shared, odd):
     labels = shared.createDataFrame([(1, 1, 0), (3, 0, 0), (6, None, 1), (None, 1, 1), (6, 1, 1), (5, 0, 0), (5, 0, 0)],
                                     "doc_id bigint, quality int, toxic int")
