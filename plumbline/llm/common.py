@@ -6,10 +6,11 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.session import cut_lineage
+from plumbline.session import cut_lineage, stored
 
 BLOCK_BYTES = 4 << 20  # text that a worker holds as Python objects at a time
 
@@ -47,6 +48,33 @@ def remainder(column, divisor: int):
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def rows_numbered(docs: DataFrame) -> DataFrame:
+    """Add ``_row``: a number by file path and place in the file, so that it is the same in every job, however the files
+    are split. What is not just rows and columns picked from Parquet files is stored first."""
+    plan = docs._jdf.queryExecution().analyzed()
+    picked = plan.deterministic()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    place = None
+    if picked and plan.nodeName() == "LogicalRelation":
+        try:
+            place = placed(docs)
+        except AnalysisException:  # files or tables that do not number their rows
+            pass
+    if place is None:
+        place = placed(stored(docs))
+    # One row per file.
+    files = sorted(r["_file"] for r in place.select("_file").distinct().collect())
+    first = docs.sparkSession.createDataFrame([(f, i << 40) for i, f in enumerate(files)], "_file string, _first bigint")
+    return place.join(F.broadcast(first), "_file").withColumn("_row", F.col("_first") + F.col("_at")).drop(
+        "_file", "_at", "_first")
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    where = docs.metadataColumn("_metadata")
+    return docs.select("*", where["file_path"].alias("_file"), where["row_index"].alias("_at"))
+
+
 def running_total(df: DataFrame, order: list[str], value: str, name: str) -> tuple[DataFrame, int]:
     """Add ``name``: the sum of ``value`` over all rows before this one in ``order``, and return the grand total.
 

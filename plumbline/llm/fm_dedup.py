@@ -18,8 +18,7 @@ A window is WINDOW consecutive words of a document; words covered by a window wh
 
 Anchors are 64-bit hashes of words' 64-bit hashes; within a shard words are compared by 32 bits of theirs, so two
 windows are taken for equal if these 20 pairs and the anchor are. Rows: a null text has no words; a repeated or null doc_id makes separate documents
-(null first; rows of one id in the order read, so ``docs`` must be a table that is read the same way each time); texts
-shorter than a window are kept whole.
+(null first; rows of one id by file and place); texts shorter than a window are kept whole.
 """
 
 from collections.abc import Iterator
@@ -33,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BLOCK_BYTES, pieces_of, running_total, table
+from plumbline.llm.common import BLOCK_BYTES, pieces_of, rows_numbered, running_total, table
 from plumbline.session import drop_folder, new_folder, release, stored
 
 WINDOW, GRAM = 20, 8
@@ -256,9 +255,9 @@ SHIFT = 31  # a position is the document's number and, below this bit, the word'
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """_row (as numbered when ``docs`` is read), _ord (place in document order) and ``new`` (no earlier row has the same
+    """_row, _ord (place in document order) and ``new`` (no earlier row has the same
     text, by its SHA-256) of each row."""
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), F.lit(1).alias("_one"),
+    rows = docs.select("doc_id", "_row", F.lit(1).alias("_one"),
                        F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("_digest"))
     placed = running_total(rows, ["doc_id", "_row"], "_one", "_ord")[0].select("_row", "_ord", "_digest")
     first = placed.groupBy("_digest").agg(F.min("_ord").alias("_ord")).select("_ord", F.lit(True).alias("_new"))
@@ -267,8 +266,8 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """_row, ``alone`` (numbers of the document's stretches whose anchor stands once) and ``firsts`` (runs of windows
-    that stand first although their anchor is repeated): what ``removed`` needs besides the texts."""
-    texts = docs.select(F.monotonically_increasing_id().alias("_row"), "text")
+    that stand first although their anchor is repeated): what ``removed`` needs besides the texts. ``docs`` has _row."""
+    texts = docs.select("_row", "text")
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Words()
@@ -350,8 +349,9 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
 def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The columns of ``docs`` but for text, in a struct ``row``, with n_words, n_removed and ``kept``: the text as it
     was if nothing is removed, else the words left, joined by one space, as bytes; ``kept_words`` is joined always."""
-    found = spans(docs, window, gram)
     rest = [c for c in docs.columns if c != "text"]
+    docs = rows_numbered(docs)
+    found = spans(docs, window, gram)
     row = F.struct(*rest)
     kind = docs.select(row.alias("row")).schema["row"].dataType.simpleString()
 
@@ -385,7 +385,7 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
                 [part.column("row"), pa.array(found.sizes), pa.array(losses), pa.array(texts, pa.binary()),
                  pa.array(kept, pa.binary())], ["row", "n_words", "n_removed", "kept", "kept_words"])
 
-    texts = docs.select(F.monotonically_increasing_id().alias("_row"), row.alias("row"), "text")
+    texts = docs.select("_row", row.alias("row"), "text")
     return squeezed(texts).join(found, "_row").select("row", "text", "alone", "firsts").mapInArrow(
         run, f"row {kind}, n_words bigint, n_removed bigint, kept binary, kept_words binary")
 

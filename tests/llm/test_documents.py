@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from plumbline.llm import fm_dedup, gray_simhash, kneser_ney, language_crf, noisy_toxicity, pairwise_quality
+from plumbline.llm.common import rows_numbered
 from plumbline.session import stored
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
@@ -62,6 +63,52 @@ def test_op5_odd_rows(odd):
     assert fm_dedup.removed(odd.where("false")).count() == 0
 
 
+@pytest.fixture
+def moving(shared, documents, tmp_path, monkeypatch):
+    """Documents in files that are split in another way after each step that is stored."""
+    path, steps = f"{tmp_path}/documents.parquet", []
+    shared.createDataFrame([d[:2] for d in documents], "doc_id bigint, text string").repartition(7).write.option(
+        "parquet.block.size", 4096).parquet(path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: shared.conf.get(n) for n in names}
+
+    def then(keep):
+        def run(*args):
+            out = keep(*args)
+            steps.append(1)
+            for name, size in zip(names, (("3k", "1"), ("128m", "4m"), ("40k", "1k"))[len(steps) % 3]):
+                shared.conf.set(name, size)
+            return out
+        return run
+
+    monkeypatch.setattr(fm_dedup, "stored", then(fm_dedup.stored))
+    monkeypatch.setattr(gray_simhash, "cut_lineage", then(gray_simhash.cut_lineage))
+    yield shared.read.parquet(path)
+    for name in names:
+        shared.conf.set(name, before[name])
+
+
+def test_op5_does_not_depend_on_file_splits(moving, documents):
+    got = {r["row"]["doc_id"]: (r["n_words"], r["n_removed"], hashlib.sha256(r["kept_words"]).hexdigest())
+           for r in fm_dedup.removed(moving).collect()}
+    assert got == without_repeats([(d, t) for d, t, _ in documents])
+
+
+def test_one_of_each_does_not_depend_on_file_splits(moving):
+    want = gray_simhash.near_duplicates(moving).where(F.col("doc_id") == F.col("component_id")).collect()
+    got = gray_simhash.one_of_each(moving)
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(r["doc_id"] for r in want)
+
+
+def test_rows_are_numbered_once(shared, odd):
+    for rows in (odd, odd.where("false"), odd.unionByName(odd), odd.crossJoin(shared.range(3)),
+                 shared.createDataFrame([(1,), (1,)], "doc_id bigint"), odd.where(F.rand() < 0.5)):
+        got = rows_numbered(rows)
+        numbers = [r["_row"] for r in got.collect()]
+        assert got.columns == [*rows.columns, "_row"] and len(set(numbers)) == len(numbers)
+        assert sorted(numbers) == sorted(r["_row"] for r in got.collect())
+
+
 def slow_fingerprint(text):
     words = SPLIT.findall(lower(text))
     shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
