@@ -59,18 +59,23 @@ class Tokens:
         if merged != sorted(merged):
             raise ValueError(f"{path}: ids do not follow the order of merges")
         raw_of = {letter: byte for byte, letter in BYTE_LETTERS.items()}
-        ranks = {token.translate(raw_of).encode("latin-1"): id_ for token, id_ in model["vocab"].items()}
-        self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.ranks = {token.translate(raw_of).encode("latin-1"): id_ for token, id_ in model["vocab"].items()}
+        self.fast = tiktoken.Encoding(
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.type = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.wide = re.compile(rf"\s{{{WIDE_SPACE}}}").search
 
-    def encode(self, text: str) -> np.ndarray:
+    def plain(self, text: str) -> np.ndarray:
+        """Ids of a text in which special tokens are plain text."""
         if len(text) >= WIDE_SPACE and self.wide(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.type)
         return np.asarray(self.fast.encode_to_numpy(text)).astype(self.type)
 
+    def encode(self, text: str) -> np.ndarray:
+        return self.plain(text)
+
 
 @lru_cache(2)
 def tokens_of(path: str) -> Tokens:

@@ -1,7 +1,7 @@
 """Registered queries of this package and the SQL that states the results of those that SQL can express."""
 
-from plumbline.llm import (byte_bpe, fm_dedup, gray_simhash, kneser_ney, language_crf, noisy_toxicity, packing,
-                           pairwise_quality, prefix_forest, tile_topk)
+from plumbline.llm import (byte_bpe, fm_dedup, gray_simhash, hard_negatives, kneser_ney, language_crf, main_text,
+                           noisy_toxicity, packing, pairwise_quality, prefix_forest, tile_topk, token_alignment)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -14,5 +14,11 @@ QUERIES = {
     "op8_tile_topk": tile_topk.op8_tile_topk,
     "op9_kneser_ney": kneser_ney.op9_kneser_ney,
     "op10_noisy_toxicity": noisy_toxicity.op10_noisy_toxicity,
+    "op11_segment_negatives": hard_negatives.op11_segment_negatives,
+    "op12_text_alignment": token_alignment.op12_text_alignment,
+    "op13_tag_ratio": main_text.op13_tag_ratio,
+}
+ORACLES = {
+    "op5_fm_dedup": fm_dedup.OP5_SQL, "op8_tile_topk": tile_topk.OP8_SQL,
+    "op11_segment_negatives": hard_negatives.OP11_SQL,
 }
-ORACLES = {"op5_fm_dedup": fm_dedup.OP5_SQL, "op8_tile_topk": tile_topk.OP8_SQL}
