@@ -323,7 +323,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
                 [part.column("_kept"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
                 ["_kept", "text", "n_chars"])
 
-    kind = StructType([rows.schema["_kept"]]).add("text", "string").add("n_chars", "bigint")
+    kind = StructType([rows.schema["_kept"]]).add("text", "string").add("n_chars", "long")
     found = rows.mapInArrow(run, kind)
     return found.select(*(F.col(f"_kept.`{c}`").alias(c) for c in others), "text", "n_chars")
 
