@@ -1,6 +1,6 @@
 """Completeness: which expected elements have a value, and the roll-ups of that."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions.measures import percent
@@ -9,27 +9,34 @@ from plumbline.functions.text import has_value, strip
 from plumbline.sources.local import text_frame
 
 
-def completeness_rows(expected: DataFrame, export: DataFrame) -> DataFrame:
-    """Expected elements of exported patients with ``is_filled``.
+def _cells(export: DataFrame) -> DataFrame:
+    """Whether a patient's element has a value: in any episode, for basic forms, and per episode, for longitudinal ones.
 
-    The export is reduced to one row per key before it meets the expected elements; the patient-level table
-    is rolled up from the episode-level one.
+    The export is reduced to one row per patient, element and episode first; both grains follow from that.
     """
     per_episode = (
-        export.select("PID", F.col("Episode_Date").alias("episode_date"), "source_id",
+        export.select("PID", "source_id", F.col("Episode_Date").alias("episode_date"),
                       has_value(F.col("source_value")).alias("_filled"))
-        .groupBy("PID", "episode_date", "source_id").agg(F.max("_filled").alias("_filled"))
+        .groupBy("PID", "source_id", "episode_date").agg(F.max("_filled").alias("_filled"))
     )
-    per_patient = per_episode.groupBy("PID", "source_id").agg(F.max("_filled").alias("_filled"))
-    patients = per_episode.filter("PID is not null").select("PID").distinct()
-    expected = expected.join(patients, "PID", "left_semi")
-    is_filled = F.coalesce("_filled", F.lit(False)).alias("is_filled")
+    grains = F.array(F.struct(F.lit("basic").alias("form_type"), F.lit(None).cast("string").alias("_episode")),
+                     F.struct(F.lit("longitudinal").alias("form_type"), F.col("episode_date").alias("_episode")))
+    return per_episode.select("PID", "source_id", F.inline(grains), "_filled").groupBy(
+        "form_type", "PID", "source_id", "_episode").agg(F.max("_filled").alias("_filled"))
 
-    basic = key_join(expected.filter("form_type = 'basic'"), per_patient, ["PID", "source_id"], "left")
-    longitudinal = key_join(expected.filter("form_type = 'longitudinal'"), per_episode,
-                            ["PID", "episode_date", "source_id"], "left", null_safe=("episode_date",))
-    basic, longitudinal = [df.select(*expected.columns, is_filled) for df in (basic, longitudinal)]
-    return basic.unionByName(longitudinal)
+
+def completeness_rows(expected: DataFrame, export: DataFrame) -> DataFrame:
+    """Expected elements of exported patients with ``is_filled``.
+
+    One join of the expected elements with the cells of their own grain. The export is read twice, the second time for
+    its patient ids alone; these are joined plainly, as a semi-join would move into every branch of ``expected``.
+    """
+    patients = export.select("PID").filter("PID is not null").distinct()
+    keyed = expected.filter("form_type in ('basic', 'longitudinal')").join(patients, "PID").withColumn(
+        "_episode", F.when(F.col("form_type") == "longitudinal", F.col("episode_date")))
+    return key_join(
+        keyed, _cells(export), ["form_type", "PID", "source_id", "_episode"], "left", null_safe=("_episode",),
+    ).select(*expected.columns, F.coalesce("_filled", F.lit(False)).alias("is_filled"))
 
 
 def _base_urn(urn: Column) -> Column:
@@ -46,13 +53,27 @@ def add_core_flag(rows: DataFrame, core_elements: DataFrame) -> DataFrame:
         "is_core", F.coalesce("is_core", F.lit(False)))
 
 
+def _own_episode() -> Column:
+    """The episode of a form: none for basic forms."""
+    return F.when(F.col("form_type") == "longitudinal", F.col("episode_date"))
+
+
+def _any_in_form(any_value: str, spread: Column | None = None) -> Column:
+    """Whether any row of the same form (of that patient and episode) is set; null where its key is incomplete.
+
+    Such a window holds a form's elements, or its versions. Rows whose key is incomplete would share windows with others
+    of their kind and are spread over them by ``spread`` instead.
+    """
+    known = F.col("PID").isNotNull() & F.col("form_id").isNotNull() & (
+        (F.col("form_type") == "basic") | F.col("episode_date").isNotNull())
+    keys = [F.col("form_type"), F.col("PID"), _own_episode(), F.col("form_id")]
+    apart = [] if spread is None else [F.when(~known, spread)]
+    return F.when(known, F.max(any_value).over(Window.partitionBy(*keys, *apart)))
+
+
 def add_presence_flag(rows: DataFrame) -> DataFrame:
     """Whether the patient's form (of that episode) has any value; null where its key is incomplete."""
-    episode = F.when(F.col("form_type") == "basic", F.lit("")).otherwise(F.col("episode_date"))
-    keys = ["form_type", "PID", "_form_episode", "form_id"]
-    rows = rows.withColumn("_form_episode", episode)
-    presence = rows.groupBy(*keys).agg(F.max("is_filled").alias("form_has_any_value"))
-    return rows.join(presence, keys, "left").drop("_form_episode")
+    return rows.withColumn("form_has_any_value", _any_in_form("is_filled", F.col("source_id")))
 
 
 def flagged_rows(expected: DataFrame, export: DataFrame, core_elements: DataFrame) -> DataFrame:
@@ -65,19 +86,83 @@ def present_forms(rows: DataFrame) -> DataFrame:
     return rows.filter("form_has_any_value")
 
 
+_SUMS = ("n", "n_filled", "c", "c_filled", "m", "m_filled", "n_expected_elements", "n_core_elements")
+INSTANCE_KEYS = ["form_type", "PID", "episode_date", "form_id", "form_version"]
+
+
+def form_instances(rows: DataFrame) -> DataFrame:
+    """Partial sums per patient, episode (longitudinal only), form and version; every roll-up is a sum of these.
+
+    ``version_has_any_value`` belongs to the instance, ``form_has_any_value`` (C7) to the form in any version. Without a
+    form label the result has none. Instances are returned as they are.
+    """
+    if "version_has_any_value" in rows.columns:
+        return rows
+    filled, core = F.col("is_filled"), F.coalesce("is_core", F.lit(False)) if "is_core" in rows.columns else F.lit(False)
+    mandatory = F.lit(False)
+    if "mandatory" in rows.columns:
+        mandatory = F.coalesce(F.lower(strip(F.col("mandatory"))).isin(list(fixed.MANDATORY_TEXTS)), F.lit(False))
+    sums = (F.count("*"), F.count_if(filled), F.count_if(core), F.count_if(core & filled), F.count_if(mandatory),
+            F.count_if(mandatory & filled), F.count("source_id"), F.count(F.when(core, F.col("source_id"))))
+    labels = [_first_label(rows).alias("_label")] if "form_label" in rows.columns else []
+    found = rows.groupBy(*[_own_episode().alias(k) if k == "episode_date" else k for k in INSTANCE_KEYS]).agg(
+        F.max("is_filled").alias("version_has_any_value"), *[s.alias(n) for s, n in zip(sums, _SUMS)], *labels)
+    return found.withColumn("form_has_any_value", _any_in_form("version_has_any_value"))
+
+
+def _first_label(rows: DataFrame) -> Column:
+    """First label in file order, with its place, or the smallest where no order is recorded: the least of leasts."""
+    place = F.col("row_ord") if "row_ord" in rows.columns else F.lit(None).cast("bigint")
+    return F.min(F.when(F.col("form_label").isNotNull(), F.struct(place.alias("at"), F.col("form_label").alias("text"))))
+
+
+#: The levels of the roll-ups and their keys.
+LEVELS = {"all": [], "type": ["form_type"], "patient": ["PID"], "form": ["form_id"],
+          "version": ["form_id", "form_version"]}
+
+
+def roll_up(present: DataFrame, levels=tuple(LEVELS)) -> DataFrame:
+    """C9, C11-C13 as one aggregate: the sums of present forms at every level asked for, named in ``level``.
+
+    Patients are counted without distinct: the first row of each patient's form, and of each patient's form version, is
+    marked among the few versions of a form, and marks are summed like everything else.
+    """
+    instances = form_instances(present)
+    keys = ["form_type", "PID", "form_id", "form_version"]
+    labelled = ["_label"] if "_label" in instances.columns else []
+    sums = instances.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS], *[F.min(c).alias(c) for c in labelled])
+    marks = []
+    if {"form", "version"} & set(levels):
+        marks = ["_of_form", "_of_version"]
+        in_form = Window.partitionBy("PID", "form_id").orderBy("form_version", "form_type")
+        in_version = Window.partitionBy("PID", "form_id", "form_version").orderBy("form_type")
+        sums = sums.withColumns({
+            m: (F.col("PID").isNotNull() & (F.row_number().over(w) == 1)).cast("int")
+            for m, w in zip(marks, (in_form, in_version))})
+    sets = [[F.col(k) for k in LEVELS[level]] for level in levels]
+    on = lambda k: F.grouping(k) == 0
+    name = F.when(on("form_type"), "type").when(on("PID"), "patient").when(on("form_version"), "version").when(
+        on("form_id"), "form").otherwise("all")
+    found = sums.groupingSets(sets, *keys).agg(
+        name.alias("level"), *[F.sum(c).alias(c) for c in (*_SUMS, *marks)], *[F.min(c).alias(c) for c in labelled])
+    return found.withColumns({
+        "general_expected_n": F.col("n_expected_elements"), "general_filled_n": F.col("n_filled"),
+        "core_expected_n": F.col("n_core_elements"), "core_filled_n": F.col("c_filled"),
+        "general_completeness_percent": percent(F.col("n_filled"), F.col("n_expected_elements")),
+        "core_completeness_percent": percent(F.col("c_filled"), F.col("n_core_elements")),
+    })
+
+
+def _at(present: DataFrame, *levels: str) -> DataFrame:
+    """Rows of some levels, from a roll-up that has them or from rows or instances."""
+    rolled = present if "level" in present.columns else roll_up(present, levels)
+    return rolled.filter(F.col("level").isin(list(levels)))
+
+
 def completeness_summary(present: DataFrame) -> DataFrame:
     """General, core and mandatory percentages, over all rows and per form type."""
-    mandatory = F.coalesce(F.lower(strip(F.col("mandatory"))).isin(list(fixed.MANDATORY_TEXTS)), F.lit(False))
-    filled = F.col("is_filled")
-    tiers = (
-        present.rollup("form_type").agg(
-            F.grouping("form_type").alias("_all"),
-            F.count("*").alias("n"), F.count_if(filled).alias("n_filled"),
-            F.count_if("is_core").alias("c"), F.count_if(F.col("is_core") & filled).alias("c_filled"),
-            F.count_if(mandatory).alias("m"), F.count_if(mandatory & filled).alias("m_filled"),
-        )
-        .withColumn("tier", F.when(F.col("_all") == 1, "all").otherwise(F.col("form_type")))
-    )
+    tiers = _at(present, "all", "type").withColumn("tier", F.coalesce(F.when(F.col("level") == "type", F.col("form_type")),
+                                                                      F.col("level")))
     names = text_frame(present.sparkSession, fixed.COMPLETENESS_METRICS, ("tier", "metric"))
     return names.join(tiers, "tier", "left").select(
         "metric",
@@ -87,30 +172,17 @@ def completeness_summary(present: DataFrame) -> DataFrame:
     )
 
 
-def _form_instances(rows: DataFrame) -> DataFrame:
-    """One row per patient, episode (longitudinal only), form and version."""
-    return rows.groupBy(
-        "form_type", "PID",
-        F.when(F.col("form_type") == "longitudinal", F.col("episode_date")).alias("episode_date"),
-        "form_id", "form_version",
-    ).agg(
-        F.max("is_filled").alias("form_has_any_value"),
-        F.count("source_id").alias("n_expected_elements"),
-        F.count_if("is_filled").alias("n_filled_elements"),
-    )
-
-
 def form_presence_summary(rows: DataFrame) -> DataFrame:
     """C10, on all rows, present forms or not."""
     of_type = lambda t: F.col("form_type") == t
-    empty = ~F.col("form_has_any_value")
-    counts = _form_instances(rows).agg(
+    empty = ~F.col("version_has_any_value")
+    counts = form_instances(rows).agg(
         F.array(*[
             F.struct(F.lit(name).alias("metric"), denominator.alias("denominator_n"), numerator.alias("numerator_n"))
             for name, denominator, numerator in zip(
                 fixed.PRESENCE_METRICS,
                 (F.count("*"), F.count_if(of_type("basic")), F.count_if(of_type("longitudinal"))),
-                (F.count_if("form_has_any_value"), F.count_if(of_type("basic") & empty),
+                (F.count_if("version_has_any_value"), F.count_if(of_type("basic") & empty),
                  F.count_if(of_type("longitudinal") & empty)),
             )
         ]).alias("metrics")
@@ -119,71 +191,54 @@ def form_presence_summary(rows: DataFrame) -> DataFrame:
         "*", percent(F.col("numerator_n"), F.col("denominator_n")).alias("percent"))
 
 
-def _levels(present: DataFrame, keys, counted: str, *extra: Column) -> DataFrame:
-    """General and core counts and percentages per group, in one aggregate."""
-    core, filled = F.col("is_core"), F.col("is_filled")
-    counts = present.groupBy(*keys).agg(
-        F.count(counted).alias("general_expected_n"),
-        F.count_if(filled).alias("general_filled_n"),
-        F.count(F.when(core, F.col(counted))).alias("core_expected_n"),
-        F.count_if(core & filled).alias("core_filled_n"),
-        *extra,
-    )
-    return counts.withColumns({
-        "general_completeness_percent": percent(F.col("general_filled_n"), F.col("general_expected_n")),
-        "core_completeness_percent": percent(F.col("core_filled_n"), F.col("core_expected_n")),
-    })
-
-
 _LEVEL_COLUMNS = ("general_expected_n", "general_filled_n", "general_completeness_percent",
                   "core_expected_n", "core_filled_n", "core_completeness_percent")
 
 
-def _first(name: str, rows: DataFrame) -> Column:
-    """First non-null text of a group in file order, or the smallest where no order is recorded."""
-    if "row_ord" in rows.columns:
-        return F.min_by(name, F.when(F.col(name).isNotNull(), F.col("row_ord"))).alias(name)
-    return F.min(name).alias(name)
-
-
 def completeness_per_patient(present: DataFrame) -> DataFrame:
     """C11."""
-    return _levels(present, ["PID"], "source_id").select("PID", *_LEVEL_COLUMNS).orderBy(
-        "general_completeness_percent", "PID")
+    return _at(present, "patient").select("PID", *_LEVEL_COLUMNS).orderBy("general_completeness_percent", "PID")
 
 
 def completeness_per_form(present: DataFrame) -> DataFrame:
     """C12."""
-    return _levels(
-        present, ["form_id"], "source_id",
-        _first("form_label", present), F.count_distinct("PID").alias("n_patients"),
-    ).select("form_id", "form_label", *_LEVEL_COLUMNS, "n_patients").orderBy(
-        "general_completeness_percent", "form_id")
+    return _at(present, "form").select(
+        "form_id", F.col("_label.text").alias("form_label"), *_LEVEL_COLUMNS, F.col("_of_form").alias("n_patients"),
+    ).orderBy("general_completeness_percent", "form_id")
 
 
 def completeness_per_form_version(present: DataFrame) -> DataFrame:
     """C13."""
-    return _levels(
-        present, ["form_id", "form_version"], "source_id", F.count_distinct("PID").alias("n_patients"),
-    ).select("form_id", "form_version", *_LEVEL_COLUMNS, "n_patients").orderBy(
-        "general_completeness_percent", "form_id", "form_version")
+    return _at(present, "version").select(
+        "form_id", "form_version", *_LEVEL_COLUMNS, F.col("_of_version").alias("n_patients"),
+    ).orderBy("general_completeness_percent", "form_id", "form_version")
 
 
 def completeness_per_element(present: DataFrame) -> DataFrame:
-    """C14."""
-    labelled = "element_label" in present.columns
-    extra = [_first("element_label", present)] if labelled else []
-    return _levels(present, ["source_id"], "PID", *extra).select(
-        "source_id", *(["element_label"] if labelled else []), *_LEVEL_COLUMNS,
-    ).orderBy(F.asc("general_completeness_percent"), F.desc("general_expected_n"), "source_id")
+    """C14: per element, which instances do not know, so from the rows."""
+    core, filled, labelled = F.col("is_core"), F.col("is_filled"), "element_label" in present.columns
+    label = F.min("element_label")
+    if "row_ord" in present.columns:
+        label = F.min_by("element_label", F.when(F.col("element_label").isNotNull(), F.col("row_ord")))
+    counts = present.groupBy("source_id").agg(
+        F.count("PID").alias("general_expected_n"), F.count_if(filled).alias("general_filled_n"),
+        F.count(F.when(core, F.col("PID"))).alias("core_expected_n"), F.count_if(core & filled).alias("core_filled_n"),
+        *([label.alias("element_label")] if labelled else []))
+    return counts.withColumns({
+        "general_completeness_percent": percent(F.col("general_filled_n"), F.col("general_expected_n")),
+        "core_completeness_percent": percent(F.col("core_filled_n"), F.col("core_expected_n")),
+    }).select("source_id", *(["element_label"] if labelled else []), *_LEVEL_COLUMNS).orderBy(
+        F.asc("general_completeness_percent"), F.desc("general_expected_n"), "source_id")
 
 
 def empty_forms(rows: DataFrame, form_type: str) -> DataFrame:
     """Expected forms without any value, on all rows."""
     episode = ["episode_date"] if form_type == "longitudinal" else []
-    return (
-        _form_instances(rows.filter(F.col("form_type") == form_type))
-        .filter("not form_has_any_value")
-        .select("PID", *episode, "form_id", "form_version",
-                "form_has_any_value", "n_expected_elements", "n_filled_elements")
-    )
+    return form_instances(rows).filter((F.col("form_type") == form_type) & ~F.col("version_has_any_value")).select(
+        "PID", *episode, "form_id", "form_version", F.col("version_has_any_value").alias("form_has_any_value"),
+        "n_expected_elements", F.col("n_filled").alias("n_filled_elements"))
+
+
+def instances(expected: DataFrame, export: DataFrame, core_elements: DataFrame) -> DataFrame:
+    """C1-C7 reduced to form instances: the table that all roll-ups but the one per element start from."""
+    return form_instances(add_core_flag(completeness_rows(expected, export), core_elements))

@@ -214,6 +214,15 @@ def _present(spark, sf_dir):
     return completeness.present_forms(_flagged(spark, sf_dir))
 
 
+def _instances(spark, sf_dir):
+    return completeness.instances(
+        _expected(spark, sf_dir), registry.long_export(spark, sf_dir), registry.core_elements(spark))
+
+
+def _present_instances(spark, sf_dir):
+    return completeness.present_forms(_instances(spark, sf_dir))
+
+
 @query
 def completeness_rows(spark, sf_dir):
     return _present(spark, sf_dir).select(
@@ -223,27 +232,27 @@ def completeness_rows(spark, sf_dir):
 
 @query
 def completeness_summary(spark, sf_dir):
-    return completeness.completeness_summary(_present(spark, sf_dir))
+    return completeness.completeness_summary(_present_instances(spark, sf_dir))
 
 
 @query
 def form_presence_summary(spark, sf_dir):
-    return completeness.form_presence_summary(_flagged(spark, sf_dir))
+    return completeness.form_presence_summary(_instances(spark, sf_dir))
 
 
 @query
 def completeness_per_patient(spark, sf_dir):
-    return completeness.completeness_per_patient(_present(spark, sf_dir))
+    return completeness.completeness_per_patient(_present_instances(spark, sf_dir))
 
 
 @query
 def completeness_per_form(spark, sf_dir):
-    return completeness.completeness_per_form(_present(spark, sf_dir))
+    return completeness.completeness_per_form(_present_instances(spark, sf_dir))
 
 
 @query
 def completeness_per_form_version(spark, sf_dir):
-    return completeness.completeness_per_form_version(_present(spark, sf_dir))
+    return completeness.completeness_per_form_version(_present_instances(spark, sf_dir))
 
 
 @query
@@ -253,12 +262,12 @@ def completeness_per_element(spark, sf_dir):
 
 @query
 def empty_basic_forms(spark, sf_dir):
-    return completeness.empty_forms(_flagged(spark, sf_dir), "basic")
+    return completeness.empty_forms(_instances(spark, sf_dir), "basic")
 
 
 @query
 def empty_longitudinal_forms(spark, sf_dir):
-    return completeness.empty_forms(_flagged(spark, sf_dir), "longitudinal")
+    return completeness.empty_forms(_instances(spark, sf_dir), "longitudinal")
 
 
 # Calculation conformance.
