@@ -507,6 +507,9 @@ SELECT b.bin, CAST(low + (high - low) / 10 * (b.bin - 1) AS DECIMAL(18,4)) AS bi
  (SELECT count(*) FROM placed WHERE placed.bin = b.bin) AS n_patients
 FROM (SELECT unnest(range(1, 11)) AS bin) b, edges"""
 
+ORACLES["job_report"] = ORACLES["report_rates"]
+ORACLES["job_histogram"] = ORACLES["report_patient_histogram"]
+
 # Profiling.
 
 PARTS = p.with_(p.ELEMENT_LIST)

@@ -10,8 +10,10 @@ from plumbline.operators import (
     calculation, completeness, dates, dictionary, forms, imports, longitudinal, profile, ranges,
     relational, report, reshape, value,
 )
+from plumbline import job
 from plumbline.plans import driver_registry as registry, registry_rules as rules
-from plumbline.sources import metadata_json
+from plumbline.session import new_folder
+from plumbline.sources import clustered, metadata_json
 
 QUERIES = {}
 
@@ -440,6 +442,47 @@ def report_patient_histogram(spark, sf_dir):
         "bin", edge("bin_from"), edge("bin_to"), "n_patients")
 
 
+# The assembled job.
+
+def _job_tables(spark, sf_dir):
+    instances, formulas, mappings = registry.calculation_tables(spark)
+    return {
+        "dictionary": registry.dictionary(spark), "codebook": registry.codebook(spark),
+        "form_items": form_items(spark, sf_dir), "form_elements": registry.form_elements(spark),
+        "basic_versions": registry.basic_versions(spark, sf_dir),
+        "longitudinal_versions": registry.longitudinal_versions(spark, sf_dir),
+        "core_elements": registry.core_elements(spark), "date_rules": registry.date_rules(spark),
+        "longitudinal_rules": registry.longitudinal_rules(spark), "import_rules": registry.import_rules(spark),
+        "calculation_instances": instances, "calculation_formulas": formulas, "calculation_mappings": mappings,
+        "report_metadata": registry.report_texts(spark),
+    }
+
+
+def _job(spark, sf_dir, names):
+    """Run the job on the registry's long export, which is stored once, and read the results back."""
+    out = new_folder(spark)
+    export = registry.long_export(spark, sf_dir)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    long = clustered.write_clustered(export, f"{out}/long_export.parquet", buckets,
+                                     clustered.bucket_keys(export, buckets))
+    written = job.assess(long, _job_tables(spark, sf_dir), out, DATE_OPTIONS | {"rules": ALL_DATE_RULES}, names)
+    return {name: spark.read.parquet(f"{out}/{name}.parquet") for name in written}
+
+
+@query
+def job_report(spark, sf_dir):
+    """Rates of all rules, made by the job from one stored long export."""
+    return _job(spark, sf_dir, ("report_rates",))["report_rates"].withColumn(
+        "violation_rate", F.col("violation_rate").cast("decimal(18,4)"))
+
+
+@query
+def job_histogram(spark, sf_dir):
+    edge = lambda c: F.col(c).cast("decimal(18,4)").alias(c)
+    return _job(spark, sf_dir, ("report_patient_histogram",))["report_patient_histogram"].select(
+        "bin", edge("bin_from"), edge("bin_to"), "n_patients")
+
+
 # Profiling.
 
 @query
