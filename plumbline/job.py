@@ -162,6 +162,8 @@ def run(spark: SparkSession, folder: str, out: str, buckets: int | None = None,
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     wide = tables["wide"]
     keys = clustered.bucket_keys(reshape.clean_identifiers(wide, tables["dictionary"])[0].select("PID"), buckets)
-    long = clustered.write_clustered(reshape.build_long(wide, tables["dictionary"]), f"{out}/long_export.parquet", buckets,
-                                     keys)
+    stage = new_folder(spark)
+    long = clustered.write_clustered(reshape.build_long(wide, tables["dictionary"], stage=stage),
+                                     f"{out}/long_export.parquet", buckets, keys)
+    drop_folder(spark, stage)
     return assess(long, tables, out, dates_by, as_csv=as_csv)

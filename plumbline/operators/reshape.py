@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline import fixed_values as fixed
 from plumbline.functions.ordered import block_of, fill_forward, repeat_rows, running_count
 from plumbline.functions.text import strip
+from plumbline.session import stored
 
 LONG_COLUMNS = ("PID", "Episode", "Episode_Date", "IX", "source_id", "source_value", "row_ord")
 EPISODE_KEY = ["PID", "Episode", "Episode_Date", "source_id"]
@@ -92,7 +93,8 @@ def keep_rows_with_values(wide: DataFrame, source_ids) -> DataFrame:
 
 
 def _cells(wide: DataFrame, keys, source_ids) -> DataFrame:
-    cells = wide.unpivot([*keys, "row_ord"], list(source_ids), "source_id", "source_value")
+    kept = [c for c in ("row_ord", "_stage_block") if c in wide.columns]
+    cells = wide.unpivot([*keys, *kept], list(source_ids), "source_id", "source_value")
     return cells.withColumn(
         "source_value", F.when(~F.col("source_value").isin("", " "), F.col("source_value")))
 
@@ -127,7 +129,8 @@ def longitudinal_long(wide: DataFrame, source_ids, block: Column = None) -> Data
         F.min("row_ord").alias("row_ord"),
     ).filter("_values = 0").drop("_values")
     missing = repeat_rows(missing, "_rows", "IX").withColumn("source_value", F.lit(None).cast("string"))
-    return values.unionByName(missing).withColumn("IX", F.col("IX").cast("string")).select(*LONG_COLUMNS)
+    return values.drop("_stage_block").unionByName(missing).withColumn("IX", F.col("IX").cast("string")).select(
+        *LONG_COLUMNS)
 
 
 def combine_long(*parts: DataFrame) -> DataFrame:
@@ -136,15 +139,24 @@ def combine_long(*parts: DataFrame) -> DataFrame:
     return union.withColumn("PID", F.nullif(F.col("PID"), F.lit("nan")))
 
 
-def build_long(wide: DataFrame, dictionary: DataFrame, block: Column = None) -> DataFrame:
-    """E1-E11 in order: raw wide export to clean long export."""
+def build_long(wide: DataFrame, dictionary: DataFrame, block: Column = None, stage: str = None) -> DataFrame:
+    """E1-E11 in order: raw wide export to clean long export.
+
+    The raw export is read twice, for the forward fill and for what that carries between blocks (two columns and the
+    order). Its filled rows are then stored once, and everything else reads the few columns it needs of these. ``stage``
+    names their folder, which may be dropped once the result is stored; by default it is a new shared one.
+    """
     wide, dictionary = clean_identifiers(wide, dictionary)
     basic_ids, longitudinal_ids = value_column_names(wide, dictionary)
     wide = drop_no_data_rows(drop_test_locations(wide))
+    keys = [c for c in EPISODE_KEY if c in wide.columns]
+    wide = wide.select(*keys, *[F.col(f"`{c}`") for c in basic_ids + longitudinal_ids], "row_ord")
+    block = default_block(wide) if block is None else block
     wide = keep_rows_with_values(fill_episode_context(wide, block=block), basic_ids + longitudinal_ids)
+    wide = stored(wide.withColumn("_stage_block", block), stage)
     parts = []
     if basic_ids:
         parts.append(basic_long(wide, basic_ids))
     if longitudinal_ids:
-        parts.append(longitudinal_long(wide, longitudinal_ids, block))
+        parts.append(longitudinal_long(wide, longitudinal_ids, F.col("_stage_block")))
     return combine_long(*parts)
