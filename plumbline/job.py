@@ -71,7 +71,7 @@ def results(long: DataFrame, tables: dict[str, DataFrame], expected: DataFrame,
     form_sums = lambda: shared("instances", lambda: completeness.instances(expected, long, rules["core_elements"]))
     rolled = lambda: shared("levels", lambda: completeness.roll_up(completeness.present_forms(form_sums())))
     per_patient = lambda: completeness.completeness_per_patient(rolled())
-    relations = (long, known, expected, tables["form_elements"])
+    related = lambda: shared("units", lambda: relational.units(long, known, expected, tables["form_elements"]))
     summaries = {
         "value_summary": lambda: value.summary(long, known, tables["codebook"]),
         "range_summary": lambda: ranges.summary(long, known),
@@ -79,7 +79,7 @@ def results(long: DataFrame, tables: dict[str, DataFrame], expected: DataFrame,
         "calculation_summary": lambda: calculation.summary(cases(), *calculations),
         "import_summary": lambda: imports.summary(copies(), rules["import_rules"]),
         "longitudinal_summary": lambda: longitudinal.summary(long, rules["longitudinal_rules"]),
-        "relational_summary": lambda: relational.summary(*relations),
+        "relational_summary": lambda: relational.summary_of(related()),
     }
 
     def all_summaries() -> DataFrame:
@@ -104,7 +104,7 @@ def results(long: DataFrame, tables: dict[str, DataFrame], expected: DataFrame,
         "import_patient_summary": lambda: imports.patient_summary(imports.violations(copies())),
         "longitudinal_violations": lambda: longitudinal.violations(long, rules["longitudinal_rules"]),
         "longitudinal_values": lambda: longitudinal.observed_values(long, rules["longitudinal_rules"]),
-        "relational_violations": lambda: relational.violations(*relations),
+        "relational_violations": lambda: relational.violations_of(related()),
         **{name: lambda name=name, make=make: shared(name, make) for name, make in summaries.items()},
         "completeness_rows": lambda: completeness.present_forms(
             completeness.flagged_rows(expected, long, rules["core_elements"])),

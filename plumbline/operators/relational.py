@@ -4,7 +4,9 @@ Both sides of a comparison are stacked with a flag and reduced by key in one agg
 the shuffle and never sends a hot key's rows to one task.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions.text import has_value, strip
@@ -88,50 +90,123 @@ def form_version_units(expected: DataFrame, form_elements: DataFrame) -> DataFra
         "form_id", "form_version", (~F.col("in_valid")).alias("violated"))
 
 
-def source_id_violations(units: DataFrame) -> DataFrame:
-    return _violation(units.filter("violated"), SOURCE_ID, F.col("source_id"))
+def source_id_violations(found: DataFrame) -> DataFrame:
+    return source_id_violations_of(found.filter("violated"))
+
+
+def source_id_violations_of(failed: DataFrame) -> DataFrame:
+    return _violation(failed, SOURCE_ID, F.col("source_id"))
+
 
+def pid_violations(found: DataFrame) -> DataFrame:
+    return pid_violations_of(found.filter("violated"))
 
-def pid_violations(units: DataFrame) -> DataFrame:
-    return _violation(units.filter("violated"), PID_MAPPING, F.when(
+
+def pid_violations_of(failed: DataFrame) -> DataFrame:
+    return _violation(failed, PID_MAPPING, F.when(
         F.col("in_observed"), fixed.PID_ONLY_IN_EXPORT).otherwise(fixed.PID_ONLY_IN_EXPECTED))
 
 
-def element_violations(units: DataFrame) -> DataFrame:
-    return _violation(units.filter("violated"), ELEMENT, F.concat_ws(
+def element_violations(found: DataFrame) -> DataFrame:
+    return element_violations_of(found.filter("violated"))
+
+
+def element_violations_of(failed: DataFrame) -> DataFrame:
+    return _violation(failed, ELEMENT, F.concat_ws(
         " | ", "PID", F.coalesce("Episode_Date", F.lit(fixed.BASIC_EPISODE)), "source_id"))
 
 
-def form_version_violations(units: DataFrame) -> DataFrame:
-    return _violation(units.filter("violated"), FORM_VERSION, F.concat(
+def form_version_violations(found: DataFrame) -> DataFrame:
+    return form_version_violations_of(found.filter("violated"))
+
+
+def form_version_violations_of(failed: DataFrame) -> DataFrame:
+    return _violation(failed, FORM_VERSION, F.concat(
         "form_id", F.lit(" | version "), "form_version"))
 
 
-def _units(export, dictionary, expected, form_elements):
+KEYS = ("rule_id", "PID", "grain", "Episode_Date", "source_id", "form_id", "form_version")
+
+
+def _keyed(rows: DataFrame, observed: bool, *keys: tuple[Column, str, dict]) -> DataFrame:
+    """Rows as keys of the given rules, (condition, rule, parts of the key), marked with their side."""
+    nothing = F.lit(None).cast("string")
+    whole = lambda rule, parts: F.struct(*[
+        (F.lit(rule) if k == "rule_id" else parts.get(k, nothing)).alias(k) for k in KEYS])
+    found = F.array_compact(F.array(*[F.when(given, whole(rule, parts)) for given, rule, parts in keys]))
+    return rows.select(F.inline(found)).withColumns({"in_observed": F.lit(observed), "in_valid": F.lit(not observed)})
+
+
+def units(export: DataFrame, dictionary: DataFrame, expected: DataFrame, form_elements: DataFrame) -> DataFrame:
+    """X1-X4 in one reduction: distinct keys of all four rules with the sides they occur on.
+
+    Every table is read once. A row becomes the keys of the rules it matters to; equal keys combine before the shuffle.
+    """
     export, expected = clean_export(export), clean_expected(expected)
-    return {
-        SOURCE_ID: source_id_units(export, dictionary),
-        PID_MAPPING: pid_units(export, expected),
-        ELEMENT: element_units(export, expected),
-        FORM_VERSION: form_version_units(expected, form_elements),
-    }
+    known, elements = clean(dictionary, ["source_id"]), clean(form_elements, ["form_id", "form_version"])
+    pid, date, source = F.col("PID"), F.col("Episode_Date"), F.col("source_id")
+    form = {"form_id": F.col("form_id"), "form_version": F.col("form_version")}
+    has_form = F.col("form_id").isNotNull() & F.col("form_version").isNotNull()
+    # Without a form type the episode date tells basic from longitudinal.
+    by_type = "form_type" in expected.columns
+    is_basic = F.col("form_type") == "basic" if by_type else date.isNull()
+    usable = F.col("form_type").isin("basic", "longitudinal") if by_type else F.lit(True)
+    cell = lambda basic: {"PID": pid, "source_id": source, "grain": F.when(basic, "basic").otherwise("longitudinal"),
+                          "Episode_Date": F.when(~basic, date)}
+    whole = pid.isNotNull() & source.isNotNull()
+    sides = [
+        _keyed(export, True, (source.isNotNull(), SOURCE_ID, {"source_id": source}), (pid.isNotNull(), PID_MAPPING, {"PID": pid}),
+               (whole & has_value(F.col("source_value")), ELEMENT, cell(date.isNull()))),
+        _keyed(known, False, (source.isNotNull(), SOURCE_ID, {"source_id": source})),
+        _keyed(expected.withColumn("_side", F.explode(F.array(F.lit(True), F.lit(False)))), False,
+               (~F.col("_side") & pid.isNotNull(), PID_MAPPING, {"PID": pid}),
+               (~F.col("_side") & whole & usable & (is_basic | date.isNotNull()), ELEMENT, cell(is_basic)),
+               (F.col("_side") & has_form, FORM_VERSION, form)).withColumns({
+                   side: F.when(F.col("rule_id") == FORM_VERSION, ~F.col(side)).otherwise(F.col(side))
+                   for side in ("in_observed", "in_valid")}),
+        _keyed(elements, False, (has_form, FORM_VERSION, form)),
+    ]
+    return reduce(DataFrame.unionByName, sides).groupBy(*KEYS).agg(
+        F.max("in_observed").alias("in_observed"), F.max("in_valid").alias("in_valid"))
 
 
-def violations(export, dictionary, expected, form_elements) -> DataFrame:
-    """X6."""
-    units = _units(export, dictionary, expected, form_elements)
+def violations_of(all_units: DataFrame) -> DataFrame:
+    """X6 from :func:`units`, which are best stored before, as they are read twice."""
+    rule = F.col("rule_id")
+    known = all_units.filter((rule == PID_MAPPING) & F.col("in_valid")).select("PID")
+    failed = all_units.filter(F.when(rule == PID_MAPPING, ~F.col("in_observed") | ~F.col("in_valid")).otherwise(
+        F.col("in_observed") & ~F.col("in_valid")))
+    of = lambda name: failed.filter(rule == name)
     return (
-        source_id_violations(units[SOURCE_ID])
-        .unionByName(pid_violations(units[PID_MAPPING]))
-        .unionByName(element_violations(units[ELEMENT]))
-        .unionByName(form_version_violations(units[FORM_VERSION]))
+        source_id_violations_of(of(SOURCE_ID))
+        .unionByName(pid_violations_of(of(PID_MAPPING)))
+        .unionByName(element_violations_of(of(ELEMENT).join(known, "PID")))
+        .unionByName(form_version_violations_of(of(FORM_VERSION)))
     )
 
 
+def summary_of(all_units: DataFrame) -> DataFrame:
+    """X6 from :func:`units`, read once: counted per patient first, as elements count for known patients only."""
+    rule, observed, valid = F.col("rule_id"), F.col("in_observed"), F.col("in_valid")
+    assessed = F.when(rule == PID_MAPPING, F.lit(True)).otherwise(observed)
+    violated = assessed & ~(observed & valid)
+    rules = [r[0] for r in fixed.RELATIONAL_RULES]
+    per_patient = all_units.groupBy("PID").agg(
+        F.max((rule == PID_MAPPING) & valid).alias("known"),
+        *[F.count_if((rule == r) & assessed).alias(f"a{i}") for i, r in enumerate(rules)],
+        *[F.count_if((rule == r) & violated).alias(f"v{i}") for i, r in enumerate(rules)])
+    counts = lambda name, r: F.coalesce(F.sum(F.when(F.col("known") | (r != ELEMENT), F.col(name))), F.lit(0))
+    flags = per_patient.agg(F.array(*[
+        F.struct(F.lit(r).alias("rule_id"), counts(f"a{i}", r).alias("assessed"), counts(f"v{i}", r).alias("violated"))
+        for i, r in enumerate(rules)]).alias("rules")).select(F.inline("rules"))
+    return make_summary(flags, [(r, fixed.RELATIONAL_RULE_TYPE) for r in rules])
+
+
+def violations(export, dictionary, expected, form_elements) -> DataFrame:
+    """X6."""
+    return violations_of(units(export, dictionary, expected, form_elements))
+
+
 def summary(export, dictionary, expected, form_elements) -> DataFrame:
     """X6."""
-    flags = None
-    for rule_id, units in _units(export, dictionary, expected, form_elements).items():
-        part = units.select(F.lit(rule_id).alias("rule_id"), F.lit(True).alias("assessed"), "violated")
-        flags = part if flags is None else flags.unionByName(part)
-    return make_summary(flags, [(r[0], fixed.RELATIONAL_RULE_TYPE) for r in fixed.RELATIONAL_RULES])
+    return summary_of(units(export, dictionary, expected, form_elements))
