@@ -2,149 +2,123 @@
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions.joins import key_join
 from plumbline.functions.text import is_true, strip, to_date_any, to_date_in
 from plumbline.operators.contract import make_summary, make_violation
 
-_EXPECTED = dict(fixed.TEMPORAL_RULES)
-_FLAGS = ("notBeforeDOB", "notAfterDeath", "notFuture", "notAfterEpisode")
+_FLAGS = {
+    "not_before_dob": "notBeforeDOB", "not_after_death": "notAfterDeath", "not_in_future": "notFuture",
+    "not_after_episode": "notAfterEpisode", "not_before_variable": "notBeforeVariable",
+    "not_after_variable": "notAfterVariable",
+}
 SIMPLE_RULES = ("not_before_dob", "not_after_death", "not_in_future", "not_after_episode")
 VARIABLE_RULES = ("not_before_variable", "not_after_variable")
+_NOT_BEFORE = ("not_before_dob", "not_before_variable")
 # Death is off unless asked for: its flag column and source id are optional.
 DEFAULT_RULES = ("not_before_dob", "not_in_future", "not_after_episode", *VARIABLE_RULES)
 
 
 def prepare(export: DataFrame, rules: DataFrame, episode_formats=("DD/MM/YYYY",)) -> DataFrame:
     """Values of ruled variables with their rule, their parsed date and the episode's date."""
-    rules = rules.withColumn("data_format", strip(F.col("data_format"))).withColumns(
-        {f"_{flag}": is_true(F.col(flag)) for flag in _FLAGS if flag in rules.columns})
-    text = F.col("source_value")
+    rules = rules.drop("row_ord").withColumn("data_format", strip(F.col("data_format")))
     return export.join(rules, "source_id").withColumns({
-        "source_value_parsed": to_date_in(text, F.col("data_format")),
+        "source_value_parsed": to_date_in(F.col("source_value"), F.col("data_format")),
         "episode_date_parsed": to_date_any(F.col("Episode_Date"), episode_formats),
     })
 
 
-def first_date_per_patient(prepared: DataFrame, source_id: str, name: str) -> DataFrame:
-    """First parsed value of one variable per patient, in file order."""
-    return (
-        prepared.filter((F.col("source_id") == source_id) & F.col("source_value_parsed").isNotNull())
-        .groupBy("PID").agg(F.min_by("source_value_parsed", F.struct("row_ord", "source_value_parsed")).alias(name))
-    )
+def known_variables(rules: DataFrame) -> DataFrame:
+    """Form type and format of every ruled variable, by its first row where the table has an order, else its least."""
+    found = F.struct(F.lower(strip(F.col("form_type"))).alias("type"), strip(F.col("data_format")).alias("format"))
+    first = F.min_by(found, "row_ord") if "row_ord" in rules.columns else F.min(found)
+    return rules.groupBy(F.col("source_id").alias("_reference")).agg(first.alias("_first")).select("_reference", "_first.*")
 
 
-def variable_references(rules: DataFrame) -> DataFrame:
-    """D7, rule side: one row per active comparison (rule_id, source_id, reference, matching grain).
+def with_questions(date_rules: DataFrame, rules, birth_id=None, death_id=None) -> DataFrame:
+    """D7, rule side: every rule row with ``_questions``, the comparisons its values have to stand: rule id, variable to
+    compare with, if any, and whether that is matched by episode.
 
-    A basic reference is matched by patient, two longitudinal variables by patient and episode; a basic
-    target with a longitudinal reference is not comparable and drops out.
+    A basic reference is matched by patient, two longitudinal variables by patient and episode; a basic target with a
+    longitudinal reference is not comparable and is not asked. Birth and death are references like others.
     """
-    active = None
-    for rule_id, flag in (("not_before_variable", "notBeforeVariable"), ("not_after_variable", "notAfterVariable")):
-        part = rules.filter(is_true(F.col(flag))).select(
-            F.lit(rule_id).alias("rule_id"), "source_id",
-            F.lower(strip(F.col("form_type"))).alias("_target_type"),
-            strip(F.col(f"{flag}_source_id")).alias("comparison_source_id"))
-        active = part if active is None else active.unionByName(part)
-    known = rules.dropDuplicates(["source_id"]).select(
-        F.col("source_id").alias("comparison_source_id"),
-        F.lower(strip(F.col("form_type"))).alias("_reference_type"),
-        strip(F.col("data_format")).alias("_reference_format"))
-    return (
-        active.join(known, "comparison_source_id")
-        .withColumn("_by_episode", F.when(F.col("_reference_type") == "basic", F.lit(False)).when(
-            (F.col("_reference_type") == "longitudinal") & (F.col("_target_type") == "longitudinal"), F.lit(True)))
-        .filter("_by_episode is not null")
-        .drop("_target_type", "_reference_type")
-    )
-
-
-def reference_dates(export: DataFrame, references: DataFrame) -> DataFrame:
-    """D7, data side: first parsed reference date per patient, or per patient and episode."""
-    wanted = references.select(
-        F.col("comparison_source_id").alias("source_id"), "_reference_format", "_by_episode").distinct()
-    text = F.col("source_value")
+    known, out, questions = known_variables(date_rules), date_rules, []
+
+    def ask(rule_id, given, reference=F.lit(None).cast("string"), by_episode=F.lit(False)):
+        questions.append(F.when(given, F.struct(
+            F.lit(rule_id).alias("rule_id"), reference.alias("reference"), by_episode.alias("by_episode"))))
+
+    for rule_id in (r for r in _FLAGS if r in rules):
+        flag = _FLAGS[rule_id]
+        if rule_id in VARIABLE_RULES:
+            side = known.select(F.col("_reference").alias(f"_{flag}_id"), F.col("type").alias(f"_{flag}_type"))
+            out = out.join(side, strip(F.col(f"{flag}_source_id")) == F.col(f"_{flag}_id"), "left")
+            target, reference = F.lower(strip(F.col("form_type"))), F.col(f"_{flag}_type")
+            grain = F.when(reference == "basic", F.lit(False)).when(
+                (reference == "longitudinal") & (target == "longitudinal"), F.lit(True))
+            ask(rule_id, is_true(F.col(flag)) & grain.isNotNull(), F.col(f"_{flag}_id"), grain)
+        elif rule_id in ("not_before_dob", "not_after_death"):
+            ask(rule_id, is_true(F.col(flag)), F.lit(birth_id if rule_id == "not_before_dob" else death_id).cast("string"))
+        else:
+            ask(rule_id, is_true(F.col(flag)))
+    return out.select(*date_rules.columns, F.array_compact(F.array(*questions)).alias("_questions"))
+
+
+def reference_index(export: DataFrame, date_rules: DataFrame, asked: DataFrame) -> DataFrame:
+    """D4, D7, D11, data side: the first parsed date of every variable that a question refers to, in file order, per
+    patient, or per patient and episode (``_episode``, else null). One aggregate for all references and both grains."""
+    wanted = asked.select(F.explode("_questions").alias("q")).select(
+        F.col("q.reference").alias("_reference"), F.col("q.by_episode").alias("_by_episode")).distinct()
+    wanted = wanted.join(known_variables(date_rules), "_reference").withColumnRenamed("_reference", "source_id")
     return (
         export.join(wanted, "source_id")
-        .withColumn("_date", to_date_in(text, F.col("_reference_format")))
+        .withColumn("_date", to_date_in(F.col("source_value"), F.col("format")))
         .filter("_date is not null")
-        .groupBy(
-            F.col("source_id").alias("comparison_source_id"), "PID",
-            F.when(F.col("_by_episode"), F.col("Episode")).alias("_episode"))
-        .agg(F.min_by("_date", F.struct("row_ord", "_date")).alias("comparison_date_parsed"))
-    )
-
-
-def simple_outcomes(prepared: DataFrame, rules, birth_id=None, death_id=None, as_of: Column = None) -> DataFrame:
-    """Rows assessed by the rules that need no second variable."""
-    rows, value = prepared, F.col("source_value_parsed")
-    checks = []
-    for rule_id, source_id, flag, name in (
-        ("not_before_dob", birth_id, "notBeforeDOB", "dob_parsed"),
-        ("not_after_death", death_id, "notAfterDeath", "death_parsed"),
-    ):
-        if rule_id in rules:
-            known = first_date_per_patient(prepared, source_id, name)
-            rows = rows.join(known, "PID", "left")
-            broken = value < F.col(name) if rule_id == "not_before_dob" else value > F.col(name)
-            checks.append((rule_id, F.col(f"_{flag}") & F.col(name).isNotNull(), broken))
-    if "not_in_future" in rules:
-        today = F.current_date() if as_of is None else as_of
-        checks.append(("not_in_future", F.col("_notFuture"), value > today))
-    if "not_after_episode" in rules:
-        checks.append(("not_after_episode",
-                       F.col("_notAfterEpisode") & F.col("episode_date_parsed").isNotNull(),
-                       value > F.col("episode_date_parsed")))
-    outcomes = F.array_compact(F.array(*[
-        F.when(assessed, F.struct(F.lit(rule_id).alias("rule_id"), broken.alias("violated")))
-        for rule_id, assessed, broken in checks
-    ]))
-    return (
-        rows.filter(value.isNotNull())
-        .withColumn("_outcome", F.explode(outcomes))
-        .select(*rows.columns, "_outcome.rule_id", "_outcome.violated")
-    )
-
-
-def variable_outcomes(export: DataFrame, prepared: DataFrame, date_rules: DataFrame, rules) -> DataFrame:
-    """Rows assessed against a reference variable, all rules in one join."""
-    references = variable_references(date_rules).filter(F.col("rule_id").isin(list(rules)))
-    targets = (
-        prepared.filter("source_value_parsed is not null")
-        .join(references.drop("_reference_format"), "source_id")
-        .withColumn("_episode", F.when(F.col("_by_episode"), F.col("Episode")))
-    )
-    known = reference_dates(export, references)
-    value, reference = F.col("source_value_parsed"), F.col("comparison_date_parsed")
-    return (
-        key_join(targets, known, ["comparison_source_id", "PID", "_episode"], null_safe=("PID", "_episode"))
-        .select(*prepared.columns, "rule_id", "comparison_source_id", "comparison_date_parsed")
-        .withColumn("violated", F.when(F.col("rule_id") == "not_before_variable", value < reference)
-                    .otherwise(value > reference))
+        .groupBy(F.col("source_id").alias("_reference"), "PID",
+                 F.when(F.col("_by_episode"), F.col("Episode")).alias("_episode"), "_by_episode")
+        .agg(F.min_by("_date", F.struct("row_ord", "_date")).alias("_known"))
     )
 
 
 def outcomes(export: DataFrame, date_rules: DataFrame, birth_id=None, death_id=None, as_of=None,
              rules=DEFAULT_RULES, episode_formats=("DD/MM/YYYY",)) -> DataFrame:
-    """Every assessed (row, rule) pair with its ``violated`` flag."""
-    if isinstance(as_of, (str, date)):
-        as_of = F.lit(as_of).cast("date")
-    prepared = prepare(export, date_rules, episode_formats)
-    parts = []
-    if any(r in rules for r in SIMPLE_RULES):
-        parts.append(simple_outcomes(prepared, rules, birth_id, death_id, as_of))
+    """Every assessed (row, rule) pair with its ``violated`` flag.
+
+    The export is read twice, for the values and for the index of references; all rules are one join.
+    """
+    today = F.current_date() if as_of is None else F.lit(as_of).cast("date") if isinstance(as_of, (str, date)) else as_of
+    asked = with_questions(date_rules, rules, birth_id, death_id)
+    prepared = prepare(export, asked, episode_formats).filter("source_value_parsed is not null")
+    kept = [c for c in prepared.columns if c != "_questions"]
+    rows = prepared.withColumn("_q", F.explode("_questions")).select(
+        *kept, "_q.rule_id", F.col("_q.reference").alias("_reference"), F.col("_q.by_episode").alias("_by_episode"),
+        F.when(F.col("_q.by_episode"), F.col("Episode")).alias("_episode"))
+    rule, value = F.col("rule_id"), F.col("source_value_parsed")
+    rows = key_join(rows, reference_index(export, date_rules, asked), ["_reference", "PID", "_episode", "_by_episode"],
+                    "left", null_safe=("PID", "_episode"))
+    # Nobody's date of birth or death says nothing about rows without a patient.
+    of_person = rule.isin("not_before_dob", "not_after_death")
+    rows = rows.withColumn("_against", F.when(rule == "not_in_future", today).when(
+        rule == "not_after_episode", F.col("episode_date_parsed")).when(
+        ~of_person | F.col("PID").isNotNull(), F.col("_known"))).filter("_against is not null")
+    shown = {}
+    for rule_id, name in (("not_before_dob", "dob_parsed"), ("not_after_death", "death_parsed")):
+        if rule_id in rules:
+            shown[name] = F.when(rule == rule_id, F.col("_known"))
     if any(r in rules for r in VARIABLE_RULES):
-        parts.append(variable_outcomes(export, prepared, date_rules, rules))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+        compared = rule.isin(list(VARIABLE_RULES))
+        shown["comparison_source_id"] = F.when(compared, F.col("_reference"))
+        shown["comparison_date_parsed"] = F.when(compared, F.col("_known"))
+    return rows.select(
+        *kept, *[c.alias(n) for n, c in shown.items()], "rule_id",
+        F.when(rule.isin(list(_NOT_BEFORE)), value < F.col("_against")).otherwise(value > F.col("_against")).alias("violated"))
 
 
 def violations(export: DataFrame, date_rules: DataFrame, **options) -> DataFrame:
     """All working columns of the failed rows plus the rule columns."""
-    failed = outcomes(export, date_rules, **options).filter("violated").drop(
-        "violated", *[f"_{flag}" for flag in _FLAGS])
+    failed = outcomes(export, date_rules, **options).filter("violated").drop("violated")
     expected = F.create_map(*[F.lit(x) for pair in fixed.TEMPORAL_RULES for x in pair])
     return make_violation(failed, F.col("rule_id"), fixed.TEMPORAL_RULE_TYPE, expected[F.col("rule_id")],
                           F.col("source_value_parsed"))

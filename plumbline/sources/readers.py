@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from plumbline import fixed_values as fixed
 from plumbline.functions.text import normalise_nulls
 
+FIRST_ROW_COUNTS = ("date_rules", "report_metadata")
 EXPORT_COLUMNS = ("PID", "Episode", "Episode_Date", "IX", "source_id", "source_value")
 
 
@@ -180,8 +181,10 @@ def read_element_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rule_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """One of the rule tables, by the name it has in ``RULE_TABLE_COLUMNS``."""
-    return read_text_table(spark, path, fixed.RULE_TABLE_COLUMNS[name], multiline=True).drop("row_ord")
+    """One of the rule tables, by the name it has in ``RULE_TABLE_COLUMNS``. Where the first of several rows counts,
+    the table keeps its order in ``row_ord``."""
+    rows = read_text_table(spark, path, fixed.RULE_TABLE_COLUMNS[name], multiline=True)
+    return rows if name in FIRST_ROW_COUNTS else rows.drop("row_ord")
 
 
 def read_table(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
