@@ -124,56 +124,70 @@ ORACLES["range_summary"] = RANGE + RANGE_SUMMARY
 DATE_IDS = {r[4] for r in rules.DATE_RULES}
 FIRST_DATE = """{name} AS (SELECT PID, parsed AS {column} FROM dated WHERE source_id = '{id}' AND parsed IS NOT NULL
  QUALIFY row_number() OVER (PARTITION BY PID ORDER BY row_ord, parsed) = 1)"""
-DATED_CTES = (
-    p.long_export(DATE_IDS, "date_long"), p.DATE_RULES,
-    f"""dated AS (
+DATED = f"""dated AS MATERIALIZED (
  SELECT l.*, r.* EXCLUDE (source_id), {p.date_by_format('l.source_value', 'r.data_format')} AS parsed,
   {p.date_in('l.Episode_Date', 'DD/MM/YYYY')} AS episode_parsed
- FROM date_long l JOIN date_rules r ON r.source_id = l.source_id)""",
-    FIRST_DATE.format(name="births", column="dob_parsed", id=rules.BIRTH_ID),
-    FIRST_DATE.format(name="deaths", column="death_parsed", id=rules.DEATH_ID),
-    """consents AS (SELECT PID, parsed AS reference FROM dated WHERE source_id = 'X_1_0_15' AND parsed IS NOT NULL
- QUALIFY row_number() OVER (PARTITION BY PID ORDER BY row_ord, parsed) = 1)""",
-    """visits AS (SELECT PID, Episode, parsed AS reference FROM dated WHERE source_id = 'X_2_0_24' AND parsed IS NOT NULL
- QUALIFY row_number() OVER (PARTITION BY PID, Episode ORDER BY row_ord, parsed) = 1)""",
-    """shipments AS (SELECT PID, Episode, parsed AS reference FROM dated WHERE source_id = 'X_3_31_45' AND parsed IS NOT NULL
- QUALIFY row_number() OVER (PARTITION BY PID, Episode ORDER BY row_ord, parsed) = 1)""",
-    f"""date_checks AS (
- SELECT d.*, 'not_before_dob' AS rule_id, parsed < dob_parsed AS bad, dob_parsed AS ref, NULL AS ref_id
-  FROM dated d JOIN births USING (PID) WHERE lower(trim(notBeforeDOB)) = 'true' AND parsed IS NOT NULL
- UNION ALL SELECT d.*, 'not_after_death', parsed > death_parsed, death_parsed, NULL
-  FROM dated d JOIN deaths USING (PID) WHERE lower(trim(notAfterDeath)) = 'true' AND parsed IS NOT NULL
- UNION ALL SELECT d.*, 'not_in_future', parsed > DATE '{rules.AS_OF}', NULL, NULL
-  FROM dated d WHERE lower(trim(notFuture)) = 'true' AND parsed IS NOT NULL
- UNION ALL SELECT d.*, 'not_after_episode', parsed > episode_parsed, episode_parsed, NULL
-  FROM dated d WHERE lower(trim(notAfterEpisode)) = 'true' AND parsed IS NOT NULL AND episode_parsed IS NOT NULL
- UNION ALL SELECT d.*, 'not_before_variable', parsed < reference, reference, 'X_1_0_15'
-  FROM dated d JOIN consents USING (PID) WHERE source_id IN ('X_1_0_14', 'X_1_0_17', 'X_2_0_24') AND parsed IS NOT NULL
- UNION ALL SELECT d.*, 'not_before_variable', parsed < reference, reference, 'X_2_0_24'
-  FROM dated d JOIN visits USING (PID, Episode) WHERE source_id = 'X_3_31_45' AND parsed IS NOT NULL
- UNION ALL SELECT d.*, 'not_after_variable', parsed > reference, reference, 'X_3_31_45'
-  FROM dated d JOIN shipments USING (PID, Episode) WHERE source_id = 'X_2_0_24' AND parsed IS NOT NULL)""",
-)
-DATED = p.with_(*DATED_CTES)
+ FROM date_long l JOIN date_rules r ON r.source_id = l.source_id)"""
+FIRST_VISIT = """{name} AS (SELECT PID, Episode, parsed AS reference FROM dated WHERE source_id = '{id}' AND parsed IS NOT NULL
+ QUALIFY row_number() OVER (PARTITION BY PID, Episode ORDER BY row_ord, parsed) = 1)"""
+#: Rule -> (tables of reference dates, one SELECT for each kind of comparison).
+DATE_CHECKS = {
+    "not_before_dob": ([FIRST_DATE.format(name="births", column="dob_parsed", id=rules.BIRTH_ID)], [
+        """SELECT d.*, 'not_before_dob' AS rule_id, parsed < dob_parsed AS bad, dob_parsed AS ref, CAST(NULL AS VARCHAR) AS ref_id
+ FROM dated d JOIN births USING (PID) WHERE lower(trim(notBeforeDOB)) = 'true' AND parsed IS NOT NULL"""]),
+    "not_after_death": ([FIRST_DATE.format(name="deaths", column="death_parsed", id=rules.DEATH_ID)], [
+        """SELECT d.*, 'not_after_death' AS rule_id, parsed > death_parsed AS bad, death_parsed AS ref, CAST(NULL AS VARCHAR) AS ref_id
+ FROM dated d JOIN deaths USING (PID) WHERE lower(trim(notAfterDeath)) = 'true' AND parsed IS NOT NULL"""]),
+    "not_in_future": ([], [
+        f"""SELECT d.*, 'not_in_future' AS rule_id, parsed > DATE '{rules.AS_OF}' AS bad, CAST(NULL AS DATE) AS ref,
+ CAST(NULL AS VARCHAR) AS ref_id FROM dated d WHERE lower(trim(notFuture)) = 'true' AND parsed IS NOT NULL"""]),
+    "not_after_episode": ([], [
+        """SELECT d.*, 'not_after_episode' AS rule_id, parsed > episode_parsed AS bad, episode_parsed AS ref,
+ CAST(NULL AS VARCHAR) AS ref_id FROM dated d
+ WHERE lower(trim(notAfterEpisode)) = 'true' AND parsed IS NOT NULL AND episode_parsed IS NOT NULL"""]),
+    "not_before_variable": ([
+        FIRST_DATE.format(name="consents", column="reference", id="X_1_0_15"), FIRST_VISIT.format(name="visits", id="X_2_0_24"),
+    ], [
+        """SELECT d.*, 'not_before_variable' AS rule_id, parsed < reference AS bad, reference AS ref, 'X_1_0_15' AS ref_id
+ FROM dated d JOIN consents USING (PID) WHERE source_id IN ('X_1_0_14', 'X_1_0_17', 'X_2_0_24') AND parsed IS NOT NULL""",
+        """SELECT d.*, 'not_before_variable' AS rule_id, parsed < reference AS bad, reference AS ref, 'X_2_0_24' AS ref_id
+ FROM dated d JOIN visits USING (PID, Episode) WHERE source_id = 'X_3_31_45' AND parsed IS NOT NULL""",
+    ]),
+    "not_after_variable": ([FIRST_VISIT.format(name="shipments", id="X_3_31_45")], [
+        """SELECT d.*, 'not_after_variable' AS rule_id, parsed > reference AS bad, reference AS ref, 'X_3_31_45' AS ref_id
+ FROM dated d JOIN shipments USING (PID, Episode) WHERE source_id = 'X_2_0_24' AND parsed IS NOT NULL"""]),
+}
+
+
+def _date_ctes(ids, *rule_ids):
+    """CTEs for some rules alone: the values of the elements they read, their references and their checks."""
+    references = [t for r in rule_ids for t in DATE_CHECKS[r][0]]
+    checks = " UNION ALL ".join(c for r in rule_ids for c in DATE_CHECKS[r][1])
+    return (p.long_export(ids, "date_long"), p.DATE_RULES, DATED, *references, f"date_checks AS ({checks})")
+
+
+DATED_CTES = _date_ctes(DATE_IDS, *DATE_CHECKS)
 
 
-def _date_rows(rule_id, extra=""):
-    return DATED + f"""SELECT PID, Episode, Episode_Date, IX, source_id, source_value, data_format,
+def _date_rows(rule_id, extra="", ids=None):
+    return p.with_(*_date_ctes(ids or DATE_IDS, rule_id)) + f"""SELECT PID, Episode, Episode_Date, IX, source_id, source_value, data_format,
  parsed AS source_value_parsed, rule_id, '{fixed.TEMPORAL_RULE_TYPE}' AS rule_type,
  '{dict(fixed.TEMPORAL_RULES)[rule_id]}' AS expected, CAST(parsed AS VARCHAR) AS observed{extra}
-FROM date_checks WHERE rule_id = '{rule_id}' AND bad"""
+FROM date_checks WHERE bad"""
 
 
 ORACLES["date_dob"] = _date_rows("not_before_dob", ", ref AS dob_parsed")
 ORACLES["date_after_death"] = _date_rows("not_after_death", ", ref AS death_parsed")
 ORACLES["date_future"] = _date_rows("not_in_future")
 ORACLES["date_episode"] = _date_rows("not_after_episode", ", ref AS episode_date_parsed")
-for _name, _rule in (("date_before_variable", "not_before_variable"), ("date_after_variable", "not_after_variable")):
-    ORACLES[_name] = _date_rows(_rule, ", ref_id AS comparison_source_id, ref AS comparison_date_parsed")
+ORACLES["date_before_variable"] = _date_rows(
+    "not_before_variable", ", ref_id AS comparison_source_id, ref AS comparison_date_parsed")
+ORACLES["date_after_variable"] = _date_rows(
+    "not_after_variable", ", ref_id AS comparison_source_id, ref AS comparison_date_parsed", {"X_2_0_24", "X_3_31_45"})
 DATE_SUMMARY = " UNION ALL ".join(
     f"SELECT '{fixed.TEMPORAL_RULE_TYPE}' AS rule_type, '{r}' AS rule_id, count(*) AS assessed_elements,"
     f" count(*) FILTER (bad) AS total_violations FROM date_checks WHERE rule_id = '{r}'" for r, _ in fixed.TEMPORAL_RULES)
-ORACLES["date_summary"] = DATED + DATE_SUMMARY
+ORACLES["date_summary"] = p.with_(*DATED_CTES) + DATE_SUMMARY
 
 # Forms and completeness.
 
@@ -293,10 +307,10 @@ ORACLES["calc_summary"] = CALCULATION + CALCULATION_SUMMARY
 IMPORT_CTES = (
     p.long_export({r[2] for r in rules.IMPORT_RULES} | {r[4] for r in rules.IMPORT_RULES}, "import_long"),
     p.IMPORT_RULES,
-    f"""one_value AS (
+    f"""one_value AS MATERIALIZED (
  SELECT PID, Episode_Date AS episode_date, source_id, CASE count(DISTINCT source_value) WHEN 0 THEN NULL
   WHEN 1 THEN min(source_value) ELSE '{fixed.MULTIPLE_VALUES}' END AS v FROM import_long GROUP BY ALL),
-one_basic AS (
+one_basic AS MATERIALIZED (
  SELECT PID, source_id, CASE count(DISTINCT source_value) WHEN 0 THEN NULL
   WHEN 1 THEN min(source_value) ELSE '{fixed.MULTIPLE_VALUES}' END AS v
  FROM import_long WHERE source_id LIKE 'X_1_%' GROUP BY ALL),
