@@ -6,7 +6,9 @@ form one stream that is cut every ``length`` tokens. What is left at the stream'
 into sequences whose lengths are powers of two, which need no padding: nothing is padded at all.
 
 Rows: a null text counts as empty and holds only its end token; every row, repeated ones too, is packed once (ties in
-the key are ordered by document id, then by row); an empty table gives no pieces; other columns are not looked at.
+the key are ordered by document id, then by row); a text of any length is tokenised whole and cut into as many pieces as
+it needs; an added token of the file that stands in a text is that token, as in the library; an empty table gives no
+pieces; other columns are not looked at.
 """
 
 import json
@@ -64,6 +66,12 @@ class Tokens:
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        added = json.loads(self.library.to_str())["added_tokens"]
+        if any(t[way] for t in added for way in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path}: added tokens that are not matched as they stand")
+        self.added = {t["content"]: t["id"] for t in added}
+        longest = sorted(map(re.escape, self.added), key=len, reverse=True)
+        self.split = re.compile(f"({'|'.join(longest)})").split if longest else lambda text: [text]
         self.type = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.wide = re.compile(rf"\s{{{WIDE_SPACE}}}").search
 
@@ -74,7 +82,11 @@ class Tokens:
         return np.asarray(self.fast.encode_to_numpy(text)).astype(self.type)
 
     def encode(self, text: str) -> np.ndarray:
-        return self.plain(text)
+        """Ids as the library gives them: its added tokens in a text stand for themselves and cut it."""
+        if not any(token in text for token in self.added):
+            return self.plain(text)
+        parts = [np.array([self.added[x]], self.type) if i % 2 else self.plain(x) for i, x in enumerate(self.split(text))]
+        return np.concatenate(parts)
 
 
 @lru_cache(2)

@@ -53,13 +53,17 @@ def test_hilbert_is_a_walk_over_all_cells():
 
 def test_packing_ids_equal_the_library_on_odd_texts():
     own, library = packing.Tokens(packing.TOKENIZER), Tokenizer.from_file(packing.TOKENIZER)
-    library.encode_special_tokens = True
+    as_text = Tokenizer.from_file(packing.TOKENIZER)
+    as_text.encode_special_tokens = True
     random.seed(2)
     parts = [" ", "  ", "\n", "a", "'s", "é", "漢", "😀", "12", ".", "\t", "\x1c", "\x85", "the", "<|endoftext|>", "Hello"]
     texts = ["".join(random.choices(parts, k=random.randint(0, 50))) for _ in range(3000)]
+    texts += ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext|", "<|endoftext|>" + " " * 60_000]
     texts += ["", "a" * 100_000, " " * 49_999 + "x", " " * 60_000, "x" + "\n " * 1_000_000 + "y", "é" * 99_999]
     for text in texts:
         assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert own.plain(text).tolist() == as_text.encode(text, add_special_tokens=False).ids
+    assert own.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
 
 
 def assert_packed(pieces, ids):
