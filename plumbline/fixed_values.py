@@ -66,6 +66,17 @@ RULE_TABLE_COLUMNS = {
     "report_metadata": ("rule_type", "rule_id", "assessment_unit", "explanation"),
 }
 
+# Columns that tell the rows of a rule table apart.
+RULE_TABLE_KEYS = {
+    "date_rules": ("source_id",),
+    "longitudinal_rules": ("source_id",),
+    "import_rules": ("rule_id",),
+    "calculation_formulas": ("calculation_type",),
+    "calculation_instances": ("calculation_id",),
+    "calculation_mappings": ("calculation_id", "variable_alias"),
+    "core_elements": ("form_id", "dataelement_urn"),
+}
+
 # Value-conformance rules as (logical type, rule_id, rule_type, expected text).
 VALUE_RULES = (
     ("INTEGER", "Integer_conformance", "datatype_conformance", "whole number"),

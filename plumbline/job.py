@@ -91,7 +91,8 @@ def results(long: DataFrame, tables: dict[str, DataFrame], expected: DataFrame,
 
     return {
         "rule_problems": lambda: dictionary.check_rules(
-            known, rules["date_rules"], rules["longitudinal_rules"], rules["import_rules"], calculations[2]),
+            known, rules["date_rules"], rules["longitudinal_rules"], rules["import_rules"], calculations[2]).unionByName(
+            dictionary.check_tables({name: rules[name] for name in RULES})),
         "expected_elements": lambda: expected,
         "form_versions_present": lambda: forms.form_versions_present(expected),
         "expected_summary": lambda: forms.expected_summary(tables["form_items"], tables["form_elements"], expected),

@@ -1,5 +1,7 @@
 """Structural metadata: data dictionary, codebook and checks of the rule tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
@@ -85,3 +87,26 @@ def check_rules(dictionary: DataFrame, date_rules: DataFrame, longitudinal_rules
                    .when(basic_target & (F.col("_reference_type") == "longitudinal"), "unsupported form types"))
         dates = part if dates is None else dates.unionByName(part)
     return longitudinal.unionByName(imports).unionByName(mapped).unionByName(dates)
+
+
+def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """S9, whatever the dictionary: rows of the rule tables by name that share a key with others, and tolerances that are
+    no number, as (rule_table, rule_id, source_id, reason). A repeated key is reported once, as the key's texts."""
+    nothing = F.lit(None).cast("string")
+    parts = []
+    for name, keys in fixed.RULE_TABLE_KEYS.items():
+        if name not in tables:
+            continue
+        texts = {k: F.coalesce(strip(F.col(k)), F.lit("")).alias(k) for k in keys}
+        repeated = tables[name].groupBy(*texts.values()).agg(F.count("*").alias("_n")).filter("_n > 1")
+        by_source = keys == ("source_id",)
+        parts.append(repeated.select(
+            F.lit(name).alias("rule_table"), (nothing if by_source else F.concat_ws(" | ", *keys)).alias("rule_id"),
+            (F.col("source_id") if by_source else nothing).alias("source_id"), F.lit("repeated key").alias("reason")))
+    if "calculation_formulas" in tables:
+        written = strip(F.col("tolerance"))
+        bad = tables["calculation_formulas"].filter((written != "") & to_number(written, comma=False).isNull())
+        parts.append(bad.select(
+            F.lit("calculation_formulas").alias("rule_table"), F.col("calculation_type").alias("rule_id"),
+            nothing.alias("source_id"), F.lit("tolerance is no number").alias("reason")))
+    return reduce(DataFrame.unionByName, parts)

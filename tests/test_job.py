@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import job
-from plumbline.operators import completeness, imports, longitudinal, relational, value
+from plumbline.operators import completeness, dictionary, imports, longitudinal, relational, value
 from plumbline.sources import clustered, readers
 
 LONG = "PID string, Episode string, Episode_Date string, IX string, source_id string, source_value string, row_ord bigint"
@@ -159,3 +159,20 @@ def test_the_job_reads_its_stored_export_only(spark, files, tmp_path):
     keep = lambda df: df
     for name, make in job.results(long, tables, job.expected_of(tables), keep, {}).items():
         assert "export.csv" not in plan(make()), name
+
+
+def test_rule_tables_with_repeated_keys_and_bad_tolerances(frame, rows):
+    tables = {
+        "date_rules": frame("source_id form_type", [("A", "x"), ("A ", "y"), ("B", "x")]),
+        "longitudinal_rules": frame("rule_id source_id", [("R1", "A"), ("R2", "B")]),
+        "import_rules": frame("rule_id target_label", [("I", "a"), ("I", "b"), (None, "c"), (None, "d")]),
+        "calculation_formulas": frame("calculation_type tolerance", [("D", "0.1"), ("D", None), ("E", "much"), ("F", " ")]),
+        "calculation_instances": frame("calculation_id calculation_type", [("D1", "D"), ("D1", "E")]),
+        "calculation_mappings": frame("calculation_id variable_alias", [("D1", "w"), ("D1", "h"), ("D1", "w")]),
+    }
+    assert rows(dictionary.check_tables(tables)) == sorted([
+        ("date_rules", None, "A", "repeated key"), ("import_rules", "I", None, "repeated key"),
+        ("import_rules", "", None, "repeated key"), ("calculation_formulas", "D", None, "repeated key"),
+        ("calculation_formulas", "E", None, "tolerance is no number"),
+        ("calculation_instances", "D1", None, "repeated key"), ("calculation_mappings", "D1 | w", None, "repeated key")],
+        key=str)
