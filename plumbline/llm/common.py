@@ -48,6 +48,13 @@ def remainder(column, divisor: int):
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def neutral(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with all columns but doc_id and text under names that clash with nothing, and what each column of
+    ``docs`` is called then."""
+    names = {c: c if c in ("doc_id", "text") else f"given{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())), names
+
+
 def rows_numbered(docs: DataFrame) -> DataFrame:
     """Add ``_row``: a number by file path and place in the file, so that it is the same in every job, however the files
     are split. What is not just rows and columns picked from Parquet files is stored first."""

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BLOCK_BYTES, pieces_of, rows_numbered, running_total, table
+from plumbline.llm.common import BLOCK_BYTES, neutral, pieces_of, rows_numbered, running_total, table
 from plumbline.session import drop_folder, new_folder, release, stored
 
 WINDOW, GRAM = 20, 8
@@ -349,10 +349,10 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
 def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The columns of ``docs`` but for text, in a struct ``row``, with n_words, n_removed and ``kept``: the text as it
     was if nothing is removed, else the words left, joined by one space, as bytes; ``kept_words`` is joined always."""
-    rest = [c for c in docs.columns if c != "text"]
-    docs = rows_numbered(docs)
+    given, names = neutral(docs)
+    row = F.struct(*(n for c, n in names.items() if c != "text"))
+    docs = rows_numbered(given)
     found = spans(docs, window, gram)
-    row = F.struct(*rest)
     kind = docs.select(row.alias("row")).schema["row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,8 +386,10 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
                  pa.array(kept, pa.binary())], ["row", "n_words", "n_removed", "kept", "kept_words"])
 
     texts = docs.select("_row", row.alias("row"), "text")
-    return squeezed(texts).join(found, "_row").select("row", "text", "alone", "firsts").mapInArrow(
+    result = squeezed(texts).join(found, "_row").select("row", "text", "alone", "firsts").mapInArrow(
         run, f"row {kind}, n_words bigint, n_removed bigint, kept binary, kept_words binary")
+    as_given = F.struct(*(F.col(f"row.{n}").alias(c) for c, n in names.items() if c != "text"))
+    return result.select(as_given.alias("row"), "n_words", "n_removed", "kept", "kept_words")
 
 
 def op5_fm_dedup(spark, sf_dir: str) -> DataFrame:

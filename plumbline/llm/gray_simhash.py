@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import pieces_of, rows_numbered, table
+from plumbline.llm.common import neutral, pieces_of, rows_numbered, table
 from plumbline.llm.components import components
 from plumbline.session import cut_lineage
 
@@ -205,11 +205,13 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def one_of_each(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """The rows that stay: of each class the one with the least doc_id (of equal ids, the first row by file and
-    place)."""
-    numbered = rows_numbered(docs)
+    place), with all their columns, whatever these are called."""
+    given, names = neutral(docs)
+    numbered = rows_numbered(given)
     rows = classes(numbered, ("doc_id", "_row"), distance)
     keep = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("least"))
-    return numbered.join(keep.select(F.col("least._row").alias("_row")), "_row", "left_semi").drop("_row")
+    left = numbered.join(keep.select(F.col("least._row").alias("_row")), "_row", "left_semi")
+    return left.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def op6_gray_simhash(spark, sf_dir: str) -> DataFrame:

@@ -358,3 +358,22 @@ def test_pipeline(shared, folder, odd, tmp_path):
     for rows in (odd, odd.where("false")):
         for _, stage in corpus_pipeline.STAGES:
             rows = stored(stage(shared, rows, str(tmp_path)))
+
+
+CLASHING = ("_file", "_at", "_first", "_row", "_ord", "a.b", "row", "fp", "root", "alone", "firsts", "_one")
+
+
+def test_columns_with_the_operators_own_names_stay(shared, tmp_path):
+    """Whatever else a table holds, rows and their columns come through, from files and from other plans."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, 1, *[f"{c}1" for c in CLASHING]), (2, text, 2, *[f"{c}2" for c in CLASHING]),
+            (3, None, 3, *[None] * len(CLASHING))]
+    columns = "doc_id bigint, text string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    made = shared.createDataFrame(rows, columns)
+    made.write.parquet(f"file://{tmp_path}/t.parquet")
+    for docs in (made, shared.read.parquet(f"file://{tmp_path}/t.parquet")):
+        left = gray_simhash.one_of_each(docs)
+        assert left.columns == docs.columns and sorted(tuple(r) for r in left.collect()) == [rows[0], rows[2]]
+        found = {r["row"]["doc_id"]: r for r in fm_dedup.removed(docs).collect()}
+        assert [found[i]["n_removed"] for i in (1, 2, 3)] == [0, 40, 0]
+        assert all(tuple(found[i]["row"]) == (i, *rows[i - 1][2:]) for i in (1, 2, 3))
