@@ -4,19 +4,20 @@ Counting is Spark's: tasks sum what they read into sorted arrays, which are deal
 is stored as sorted arrays in the shared folder, and workers map them into memory to score:
 
 * the vocabulary: 64-bit hashes of words in order, cut into shards by their first bits; a word's id is its place;
-* per range of ids: for each first word its second words' ids in order with their counts, its count as a context, and
-  how many second words it has once, twice, and oftener;
-* per word: its count, and the number of different words before it.
+* per cell (a range of first words) the pairs of ids as 64-bit keys in order, and their counts. The range of a very
+  frequent word, a third of all tokens say, has several cells by its second words, so no task holds all its pairs;
+* per word: its count, its count as a context and how many second words it has once, twice, and oftener, and the number
+  of different words before it.
 
 p(w | v) = (c(vw) - D(c(vw))) / c(v) + g(v) p(w), where p(w) is the same on numbers of different words before, down to
 1 / (V + 1) for every word, the unknown one included. Nothing is pruned, so the model grows with the corpus. A worker
-touches the pages of the entries that its texts need; one block of text is sorted and looked up at a time.
+touches the pages of the entries that its texts need. Words are never Python objects: a block of text is hashed, sorted
+and looked up as arrays. More than 2^32 different words are refused.
 
 Rows: a null text is empty and has only its end token; repeated rows count and score each; without any training row all
-scores are 0. Words are told apart by 64-bit hashes.
+scores are 0. Words are told apart by 64-bit hashes. A very long text is a block of its own. Other columns are not read.
 """
 
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,15 +30,24 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import pieces_of, remainder, table
 from plumbline.llm.model_files import mapped, save
-from plumbline.session import cut_lineage, shared_folder
+from plumbline.llm.word_hashes import dense, hashed
+from plumbline.session import cut_lineage, drop_folder, new_folder, stored
 
-END = xxhash.xxh64_intdigest(b" ")  # no word holds a blank; also the context of a text's first word
+END = xxhash.xxh64_intdigest(b" ")  # stands for the end of a text, and for the context of its first word
 SHARD_CHARS = 24 << 20              # characters of text per shard of the model
-HELD, BLOCK, KEPT = 2_000_000, 6 << 20, 300_000
+HELD, BLOCK, OPEN = 2_000_000, 6 << 20, 8_000
+LOW = np.uint64(0xFFFFFFFF)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the texts' words end to end, each text followed by the end token, and their numbers."""
+    words, sizes = hashed(texts, lower=True)
+    sizes = sizes + 1
+    found = np.full(sizes.sum(), END, dtype=np.uint64)
+    inner = np.ones(len(found), dtype=bool)
+    inner[np.cumsum(sizes) - 1] = False
+    found[inner] = words
+    return found, sizes
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,81 +78,102 @@ class Held:
 
 def by_shard(keys: np.ndarray, counts: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Cut sorted keys at the first keys of shards."""
-    cut = np.r_[np.searchsorted(keys, edges), len(keys)]
-    for shard in range(len(edges)):
-        if cut[shard] < cut[shard + 1]:
-            part = slice(cut[shard], cut[shard + 1])
-            yield shard, keys[part], counts[part]
+    yield from runs(np.searchsorted(edges, keys, side="right") - 1, keys, counts)
+
+
+def runs(shards: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """Rows with their shards in order, as one part per shard."""
+    cut = np.flatnonzero(np.r_[True, shards[1:] != shards[:-1]]) if len(shards) else []
+    for start, end in zip(cut, [*cut[1:], len(shards)]):
+        yield int(shards[start]), *(c[start:end] for c in columns)
+
+
+class Cells:
+    """Where the counts of pairs lie: one cell for each shard of first words, or, where a shard has many tokens because
+    a word is very frequent, several of them by the shard of the second word."""
+
+    def __init__(self, starts: tuple[int, ...], totals: list[int]):
+        self.starts = np.array(starts, dtype=np.int64)
+        fair = 2 * max(1, sum(totals) // len(totals))
+        self.parts = np.clip(-(-np.array(totals, dtype=np.int64) // fair), 1, len(totals))
+        self.first = np.cumsum(self.parts) - self.parts
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        head, tail = (np.searchsorted(self.starts, ids.astype(np.int64), side="right") - 1
+                      for ids in (keys >> np.uint64(32), keys & LOW))
+        return self.first[head] + tail * self.parts[head] // len(self.starts)
+
+    def dealt(self, keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Cells with their part of sorted keys, in order."""
+        cell = self.of(keys)
+        order = np.argsort(cell, kind="stable")
+        yield from runs(cell[order], keys[order], values[order])
+
+    def shard(self, cell: int) -> int:
+        return int(np.searchsorted(self.first, cell, side="right")) - 1
 
 
 def rows_of(found) -> pa.RecordBatch:
-    """One row per shard: its ids of first words and how many pairs each has, the second words, and counts in a byte
+    """One row per cell: its ids of first words and how many pairs each has, the second words, and counts in a byte
     (a larger count is spread over several entries)."""
-    out = {"shard": [], "heads": [], "runs": [], "tails": [], "counts": []}
-    for shard, keys, counts in found:
+    out = {"cell": [], "heads": [], "runs": [], "tails": [], "counts": []}
+    for cell, keys, counts in found:
         times = -(-counts // 255)
         keys = np.repeat(keys, times)
         small = np.full(len(keys), 255, dtype=np.uint8)
         small[np.cumsum(times) - 1] = counts - (times - 1) * 255
-        heads, runs = np.unique(keys >> np.uint64(32), return_counts=True)
-        for name, value in zip(out, (shard, heads.astype("<u4").tobytes(), runs.astype("<u4").tobytes(),
+        heads, each = np.unique(keys >> np.uint64(32), return_counts=True)
+        for name, value in zip(out, (cell, heads.astype("<u4").tobytes(), each.astype("<u4").tobytes(),
                                      keys.astype("<u4").tobytes(), small.tobytes())):
             out[name].append(value)
     return pa.RecordBatch.from_arrays(
-        [pa.array(out["shard"], pa.int32()), *(pa.array(out[n], pa.binary()) for n in list(out)[1:])], list(out))
+        [pa.array(out["cell"], pa.int32()), *(pa.array(out[n], pa.binary()) for n in list(out)[1:])], list(out))
+
+
+def small(counts: np.ndarray) -> np.ndarray:
+    """In the narrowest type that holds the largest of them."""
+    return counts.astype(np.min_scalar_type(int(counts.max()) if counts.size else 0))
+
+
+class Files:
+    """Mapped arrays of a model, the ones used last."""
+
+    def __init__(self, path: str):
+        self.path, self.open = path, {}
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        found = self.open.pop(name, None)
+        if found is None:
+            found = mapped(f"{self.path}/{name}.npy")
+            if len(self.open) >= OPEN:
+                del self.open[next(iter(self.open))]
+        self.open[name] = found
+        return found
 
 
 class Vocabulary:
     """Word hashes in order, in mapped files."""
 
-    def __init__(self, model: dict):
-        self.starts, self.size = model["starts"], model["size"]
-        self.parts = [mapped(f"{model['path']}/words-{s}.npy") if n else np.zeros(0, np.uint64)
-                      for s, n in enumerate(np.diff([*self.starts, self.size]).tolist())]
-        self.edges = shard_edges(len(self.parts))
-        self.known: dict[bytes, int] = {}
+    def __init__(self, path: str, starts: tuple[int, ...], size: int):
+        self.starts, self.size, self.files = np.array(starts, dtype=np.int64), size, Files(path)
+        self.edges, self.sizes = shard_edges(len(starts)), np.diff([*starts, size])
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Ids of hashes; the vocabulary's size for unknown ones."""
+        """Ids of sorted hashes; the vocabulary's size for unknown ones."""
         ids = np.full(len(hashes), self.size, dtype=np.int64)
-        order = np.argsort(hashes)
-        for shard, keys, where in by_shard(hashes[order], order, self.edges):
-            part = self.parts[shard]
-            if len(part):
+        for shard, keys, where in by_shard(hashes, np.arange(len(hashes)), self.edges):
+            if self.sizes[shard]:
+                part = self.files[f"words-{shard}"]
                 at = np.minimum(np.searchsorted(part, keys), len(part) - 1)
                 ids[where] = np.where(part[at] == keys, at + self.starts[shard], self.size)
         return ids
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > KEPT:
-            self.known = {}
-        known = self.known
-        got = list(map(known.get, words))
-        new = list({w for w, i in zip(words, got) if i is None})
-        if new:
-            found = self.find(np.array([xxhash.xxh64_intdigest(w) for w in new], dtype=np.uint64))
-            fresh = dict(zip(new, found.tolist()))
-            known.update(fresh)
-            got = [fresh[w] if i is None else i for w, i in zip(words, got)]
-        return np.array(got, dtype=np.int64)
-
 
 def shard_edges(shards: int) -> np.ndarray:
     """The least hash of each shard of the vocabulary."""
     return np.array([(s << 64) // shards for s in range(shards)], dtype=np.uint64)
 
 
-def flat_ids(vocabulary: Vocabulary, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the texts' tokens end to end, each text followed by the end token, and their numbers."""
-    words = [words_of(t) for t in texts]
-    sizes = np.array([len(w) + 1 for w in words])
-    ids = np.full(sizes.sum(), end, dtype=np.int64)
-    inner = np.ones(len(ids), dtype=bool)
-    inner[np.cumsum(sizes) - 1] = False
-    ids[inner] = vocabulary.ids([w for ws in words for w in ws])
-    return ids, sizes
-
-
 def discounts(n: list[int]) -> list[float]:
     """D for counts 0, 1, 2, 3 and more, from the numbers of entries with counts 1 to 4."""
     n1, n2, n3, n4 = (float(x) for x in n)
@@ -155,21 +186,20 @@ def discounts(n: list[int]) -> list[float]:
 
 @lru_cache(1)
 def opened(path: str, starts: tuple[int, ...], size: int) -> Vocabulary:
-    return Vocabulary({"path": path, "starts": starts, "size": size})
+    return Vocabulary(path, starts, size)
 
 
 def fit(docs: DataFrame) -> dict:
     """Count the pairs of all texts and store the model below the shared folder; returns what describes it."""
     spark = docs.sparkSession
-    path = f"{shared_folder(spark)}/plumbline-kneser-ney-{uuid.uuid4().hex}"
+    path = new_folder(spark)
     texts = docs.select("text")
     chars = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-chars // SHARD_CHARS))
     edges = shard_edges(shards)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ends = Held(), 0
-        digest = xxhash.xxh64_intdigest
+        held = Held()
 
         def out():
             found = [(s, k.astype("<u8").tobytes(), c.astype("<i8").tobytes()) for s, k, c in by_shard(*held.take(), edges)]
@@ -178,16 +208,9 @@ def fit(docs: DataFrame) -> dict:
                 ["shard", "keys", "counts"])
 
         for part in pieces_of(batches, "text"):
-            seen: dict[bytes, int] = {}
-            for text in part.column("text").to_pylist():
-                ends += 1
-                for word in words_of(text):
-                    seen[word] = seen.get(word, 0) + 1
-            keys = np.array([digest(w) for w in seen], dtype=np.uint64)
-            if held.add(keys, np.array(list(seen.values()), dtype=np.int64)):
+            found, _ = token_hashes(part.column("text"))
+            if held.add(*np.unique(found, return_counts=True)):
                 yield out()
-        if ends:
-            held.add(np.array([END], dtype=np.uint64), np.array([ends]))
         yield out()
 
     def store_words(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -198,62 +221,78 @@ def fit(docs: DataFrame) -> dict:
         save(f"{path}/counts-{shard}.npy", counts)
         return pd.DataFrame({"shard": [shard], "size": [len(keys)], "total": [counts.sum()]})
 
-    stored = {r["shard"]: r for r in texts.mapInArrow(count_words, "shard int, keys binary, counts binary").groupBy(
+    kept = {r["shard"]: r for r in texts.mapInArrow(count_words, "shard int, keys binary, counts binary").groupBy(
         "shard").applyInPandas(store_words, "shard int, size bigint, total bigint").collect()}
-    sizes = [stored[s]["size"] if s in stored else 0 for s in range(shards)]
+    sizes = [kept[s]["size"] if s in kept else 0 for s in range(shards)]
     starts = tuple(np.r_[0, np.cumsum(sizes)[:-1]].tolist())
-    size, tokens = int(sum(sizes)), int(sum(r["total"] for r in stored.values()))
+    size, tokens = int(sum(sizes)), int(sum(r["total"] for r in kept.values()))
     model = {"path": path, "starts": starts, "size": size, "tokens": tokens, "shards": shards}
     if not size:
-        return model | {"end": 0, "pair": [0.0] * 4, "single": [0.0] * 4, "singles": [0] * 4}
+        return model | {"pair": [0.0] * 4, "single": [0.0] * 4, "singles": [0] * 4}
+    if size >> 32:
+        raise ValueError(f"{size} different words: ids of pairs hold 2^32")
     ids_at = np.array(starts, dtype=np.int64)
     ends = np.r_[starts[1:], size]
-    model["end"] = end = find_end(spark, path, starts, size)
-    pair_edges = ids_at.astype(np.uint64) << np.uint64(32)
+    cells = Cells(starts, [kept[s]["total"] if s in kept else 0 for s in range(shards)])
+    model["cells"] = cells
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, held = opened(path, starts, size), Held()
-        for part in pieces_of(batches, "text"):
-            ids, _ = flat_ids(vocabulary, part.column("text").to_pylist(), end)
-            if len(ids):
-                key = np.r_[end, ids[:-1]].astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64)
+        end = vocabulary.find(np.array([END], dtype=np.uint64))
+        for part in pieces_of(batches, "text", BLOCK):
+            words, at = dense(token_hashes(part.column("text"))[0])
+            if len(at):
+                ids = vocabulary.find(words).astype(np.uint64)[at]
+                key = np.r_[end.astype(np.uint64), ids[:-1]] << np.uint64(32) | ids
                 if held.add(*np.unique(key, return_counts=True)):
-                    yield rows_of(by_shard(*held.take(), pair_edges))
-        yield rows_of(by_shard(*held.take(), pair_edges))
+                    yield rows_of(cells.dealt(*held.take()))
+        yield rows_of(cells.dealt(*held.take()))
 
     def store_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        shard = int(pdf["shard"].iloc[0])
+        cell = int(pdf["cell"].iloc[0])
+        shard = cells.shard(cell)
         keys = [np.repeat(np.frombuffer(h, "<u4").astype(np.uint64) << np.uint64(32), np.frombuffer(r, "<u4"))
                 | np.frombuffer(t, "<u4") for h, r, t in zip(pdf["heads"], pdf["runs"], pdf["tails"])]
         keys, counts = summed(np.concatenate(keys), np.concatenate([np.frombuffer(c, np.uint8) for c in pdf["counts"]])
                               .astype(np.int64))
-        head, tail = (keys >> np.uint64(32)).astype(np.int64) - starts[shard], (keys & np.uint64(0xFFFFFFFF)).astype("<u4")
-        n = int(ends[shard] - starts[shard])
-        save(f"{path}/tails-{shard}.npy", tail)
-        save(f"{path}/pairs-{shard}.npy", counts.astype("<u4"))
-        save(f"{path}/spans-{shard}.npy", np.searchsorted(head, np.arange(n + 1)))
-        kinds = [np.bincount(head[where], minlength=n) for where in (counts == 1, counts == 2, counts > 2)]
-        save(f"{path}/contexts-{shard}.npy",
-             np.stack([np.bincount(head, weights=counts, minlength=n).astype(np.int64), *kinds], axis=1).astype("<i8"))
-        numbers = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()
-        words, before = np.unique(tail, return_counts=True)
-        found = [(s, k.astype("<u4").tobytes(), c.astype("<u4").tobytes(), [0] * 4)
-                 for s, k, c in by_shard(words.astype(np.int64), before, ids_at)]
-        return pd.DataFrame([(-1, b"", b"", numbers), *found], columns=["shard", "ids", "before", "n"])
+        save(f"{path}/keys-{cell}.npy", keys)
+        save(f"{path}/pairs-{cell}.npy", small(counts))
+        heads, place = dense((keys >> np.uint64(32)).astype(np.int64) - starts[shard])
+        each = np.stack([np.bincount(place, weights=w, minlength=len(heads)).astype(np.int64)
+                         for w in (counts, counts == 1, counts == 2, counts > 2)], axis=1)
+        out = [(-1, b"", b"", b"", b"", [*np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist(), cell])]
+        if cells.parts[shard] > 1:  # other cells have more of these contexts
+            out.append((shard, b"", b"", heads.astype("<u4").tobytes(), each.astype("<i8").tobytes(), [0] * 4))
+        else:
+            save_contexts(shard, heads, each)
+        words, before = np.unique((keys & LOW).astype(np.int64), return_counts=True)
+        out += [(s, k.astype("<u4").tobytes(), c.astype("<u4").tobytes(), b"", b"", [0] * 4)
+                for s, k, c in by_shard(words, before, ids_at)]
+        return pd.DataFrame(out, columns=["shard", "ids", "before", "heads", "contexts", "n"])
+
+    def save_contexts(shard: int, heads: np.ndarray, each: np.ndarray) -> None:
+        found = np.zeros((int(ends[shard] - starts[shard]), 4), dtype=np.int64)
+        np.add.at(found, heads, each)
+        save(f"{path}/contexts-{shard}.npy", small(found))
 
     def store_before(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
         total = np.zeros(int(ends[shard] - starts[shard]), dtype="<u4")
         for ids, before in zip(pdf["ids"], pdf["before"]):
             total[np.frombuffer(ids, "<u4").astype(np.int64) - starts[shard]] += np.frombuffer(before, "<u4")
+        if cells.parts[shard] > 1:
+            save_contexts(shard, np.concatenate([np.frombuffer(h, "<u4") for h in pdf["heads"]]),
+                          np.concatenate([np.frombuffer(c, "<i8").reshape(-1, 4) for c in pdf["contexts"]]))
         save(f"{path}/before-{shard}.npy", total)
         numbers = np.bincount(np.minimum(total, 5).astype(np.int64), minlength=6)
         return pd.DataFrame({"n": [[*numbers[1:5].tolist(), int((total > 2).sum()), int(total.sum(dtype=np.int64))]]})
 
     counted = cut_lineage(texts.mapInArrow(
-        count_pairs, "shard int, heads binary, runs binary, tails binary, counts binary").groupBy("shard").applyInPandas(
-        store_pairs, "shard int, ids binary, before binary, n array<bigint>"))
-    pair = np.sum([r["n"] for r in counted.where("shard < 0").select("n").collect()], axis=0)
+        count_pairs, "cell int, heads binary, runs binary, tails binary, counts binary").groupBy("cell").applyInPandas(
+        store_pairs, "shard int, ids binary, before binary, heads binary, contexts binary, n array<bigint>"))
+    numbers = np.array([r["n"] for r in counted.where("shard < 0").select("n").collect()])
+    model["stored"] = frozenset(numbers[:, 4].tolist())
+    pair = numbers[:, :4].sum(axis=0)
     single = np.sum([r["n"] for r in counted.where("shard >= 0").groupBy("shard").applyInPandas(
         store_before, "n array<bigint>").collect()], axis=0)
     n1, n2, _, _, n3, total = single.tolist()
@@ -261,82 +300,55 @@ def fit(docs: DataFrame) -> dict:
                     "singles": [n1, n2, n3, total]}
 
 
-def find_end(spark, path: str, starts: tuple[int, ...], size: int) -> int:
-    """The end token's id, looked up by a task, since only tasks and Spark need to reach the files."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                at = opened(path, starts, size).find(np.array([END], dtype=np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(at)], ["id"])
-
-    return spark.range(1).mapInArrow(run, "id bigint").first()[0]
-
-
 class Scorer:
     def __init__(self, model: dict):
-        self.model, self.vocabulary = model, opened(model["path"], model["starts"], model["size"])
-        self.starts = np.array(model["starts"], dtype=np.int64)
-        self.full = [s for s, n in enumerate(np.diff([*model["starts"], model["size"]]).tolist()) if n]
-        self.files: dict[str, np.ndarray] = {}
+        self.model, self.cells = model, model["cells"]
+        self.vocabulary = opened(model["path"], model["starts"], model["size"])
+        self.files = self.vocabulary.files
         self.pair, self.single = np.array(model["pair"]), np.array(model["single"])
         n1, n2, n3, total = model["singles"]
         self.left = (self.single[1] * n1 + self.single[2] * n2 + self.single[3] * n3) / max(1, total)
 
-    def file(self, name: str) -> np.ndarray:
-        if name not in self.files:
-            self.files[name] = mapped(f"{self.model['path']}/{name}.npy")
-        return self.files[name]
-
     def per_word(self, ids: np.ndarray, name: str, columns: int = 0) -> np.ndarray:
-        """Entries of a file of the vocabulary's shape for sorted ids; 0 for the unknown word."""
+        """Entries of a file of the vocabulary's shape for ids; those known are in order, the unknown word has 0."""
         out = np.zeros((len(ids), columns) if columns else len(ids), dtype=np.int64)
-        for shard, keys, where in by_shard(ids, np.arange(len(ids)), self.starts):
-            known = keys < self.model["size"]
-            if known.any():
-                out[where[known]] = self.file(f"{name}-{shard}")[keys[known] - self.starts[shard]]
+        known = np.flatnonzero(ids < self.model["size"])
+        for shard, keys, where in by_shard(ids[known], known, self.cells.starts):
+            out[where] = self.files[f"{name}-{shard}"][keys - self.cells.starts[shard]]
         return out
 
     def pair_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Counts of pairs, sorted by first word: binary search among the first word's second words."""
+        """Counts of pairs of ids; those known are in order."""
         out = np.zeros(len(first), dtype=np.int64)
-        for shard, keys, where in by_shard(first, np.arange(len(first)), self.starts):
-            known = keys < self.model["size"]
-            keys, where = keys[known] - self.starts[shard], where[known]
-            if not len(keys):
+        known = np.flatnonzero((first < self.model["size"]) & (second < self.model["size"]))
+        keys = first[known].astype(np.uint64) << np.uint64(32) | second[known].astype(np.uint64)
+        for cell, sought, where in self.cells.dealt(keys, known):
+            if cell not in self.model["stored"]:
                 continue
-            spans, tails = self.file(f"spans-{shard}"), self.file(f"tails-{shard}")
-            low, high, sought = spans[keys], spans[keys + 1], second[where]
-            end = high.copy()
-            while (open_ := low < high).any():
-                middle = (low + high) >> 1
-                less = np.zeros(len(low), dtype=bool)
-                less[open_] = tails[middle[open_]] < sought[open_]
-                low = np.where(open_ & less, middle + 1, low)
-                high = np.where(open_ & ~less, middle, high)
-            hit = np.flatnonzero(low < end)
-            hit = hit[tails[low[hit]] == sought[hit]]
-            out[where[hit]] = self.file(f"pairs-{shard}")[low[hit]]
+            part = self.files[f"keys-{cell}"]
+            at = np.minimum(np.searchsorted(part, sought), len(part) - 1)
+            hit = part[at] == sought
+            out[where[hit]] = self.files[f"pairs-{cell}"][at[hit]]
         return out
 
-    def scores(self, texts: list[str | None]):
+    def scores(self, texts: pa.Array):
         """Per text: numbers of tokens and of known tokens, base score and score."""
         model = self.model
-        ids, sizes = flat_ids(self.vocabulary, texts, model["end"])
-        words, at = np.unique(ids, return_inverse=True)
-        counts = self.per_word(words, "counts")
+        found, sizes = token_hashes(texts)
+        words, at = dense(found)
+        ids = self.vocabulary.find(words)
+        counts = self.per_word(ids, "counts")
         base = np.log10((counts + 1) / (model["tokens"] + model["size"] + 1))
-        before = self.per_word(words, "before")
+        before = self.per_word(ids, "before")
         total = max(1, model["singles"][3])
         alone = (before - self.single[np.minimum(before, 3)]) / total + self.left / (model["size"] + 1)
-        first = np.r_[model["end"], ids[:-1]]
-        pairs, place = np.unique(first << 32 | ids, return_inverse=True)
-        head, tail = pairs >> 32, pairs & 0xFFFFFFFF
-        seen = self.pair_counts(head, tail)
-        contexts, to = np.unique(head, return_inverse=True)
-        c, n1, n2, n3 = self.per_word(contexts, "contexts", 4).T
+        c, n1, n2, n3 = self.per_word(ids, "contexts", 4).T
         rest = np.where(c > 0, (self.pair[1] * n1 + self.pair[2] * n2 + self.pair[3] * n3) / np.maximum(c, 1), 1.0)
-        chance = (seen - self.pair[np.minimum(seen, 3)]) / np.maximum(c[to], 1) + rest[to] * alone[
-            np.searchsorted(words, tail)]
+        first = np.r_[np.searchsorted(words, np.uint64(END)), at[:-1]]
+        pairs, place = dense(first * len(words) + at)
+        head, tail = np.divmod(pairs, len(words))
+        seen = self.pair_counts(ids[head], ids[tail])
+        chance = (seen - self.pair[np.minimum(seen, 3)]) / np.maximum(c, 1)[head] + rest[head] * alone[tail]
         edges = np.r_[0, np.cumsum(sizes)[:-1]]
         add = lambda x: np.add.reduceat(x, edges)
         return sizes, add((counts > 0).astype(np.int64)[at]), add(base[at]), add(np.log10(chance)[place])
@@ -347,13 +359,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(model) if model["size"] else None
         for part in pieces_of(batches, "text", BLOCK):
-            texts = part.column("text").to_pylist()
-            if not texts:
-                continue
+            texts = part.column("text")
             if own:
                 sizes, known, base, found = own.scores(texts)
             else:
-                sizes = np.array([len(words_of(t)) + 1 for t in texts])
+                sizes = token_hashes(texts)[1]
                 known, base, found = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array(base),
@@ -370,6 +380,8 @@ def op9_kneser_ney(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = remainder(F.col("doc_id"), 7) == 2
     model = fit(docs.where(~held))
-    return score(docs, model).select(
+    scored = stored(score(docs, model))
+    drop_folder(spark, model["path"])  # the model is read no more
+    return scored.select(
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model["tokens"]).cast("bigint").alias("train_tokens"),
         "base_score", "score", "perplexity")

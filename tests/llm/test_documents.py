@@ -7,12 +7,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import fm_dedup, gray_simhash, kneser_ney, language_crf, noisy_toxicity, pairwise_quality
+from plumbline.llm import fm_dedup, gray_simhash, kneser_ney, language_crf, noisy_toxicity, pairwise_quality, word_hashes
 from plumbline.llm.common import rows_numbered
 from plumbline.session import stored
 
@@ -213,6 +214,29 @@ def test_op9_equals_formulas(shared, folder, documents, monkeypatch):
         assert tuple(r)[2:7] == pytest.approx(want, abs=1e-6)
 
 
+def test_op9_frequent_word_has_several_cells(shared, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SHARD_CHARS", 1 << 11)
+    texts = [" ".join(f"the {w}{i * 7 % 53}x the {w}" for w in range(i, i + 40)) for i in range(60)]
+    docs = shared.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    model = kneser_ney.fit(docs)
+    assert model["cells"].parts.max() > 2 and len(model["stored"]) > len(model["starts"])
+    got = sorted(kneser_ney.score(docs, model).collect(), key=lambda r: r["doc_id"])
+    for r, want in zip(got, kneser_ney_by_hand([(False, t.split()) for t in texts]), strict=True):
+        assert (r["n_tokens"], r["n_known"], r["base_score"], r["score"]) == pytest.approx((*want[:2], *want[3:]), abs=1e-6)
+
+
+def test_hashes_of_words_equal_those_of_single_words():
+    texts = ["a Bc\tdefghijk  ", None, "", "Bc", "é\x0e x\x0b" + "y" * 300 + " " + "z" * 256, "12345678 123456789 \x00 a\x00"]
+    for texts in (texts, texts[2:]):
+        for lower_case in (False, True):
+            words = [[w.lower() if lower_case else w for w in (t or "").encode().split()] for t in texts]
+            found, sizes = word_hashes.hashed(pa.array(texts), lower_case)
+            assert sizes.tolist() == [len(w) for w in words]
+            flat = [w for ws in words for w in ws]
+            alone = [int(word_hashes.hashed(pa.array([w.decode()]))[0][0]) for w in flat]
+            assert found.tolist() == alone and len(set(alone)) == len(set(flat))
+
+
 def test_op9_odd_rows(odd):
     rows = kneser_ney.score(odd, kneser_ney.fit(odd)).collect()
     assert len(rows) == odd.count() and all(math.isfinite(r["score"]) and r["score"] <= 0 for r in rows)
