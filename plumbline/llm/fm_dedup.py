@@ -8,17 +8,18 @@ A window is WINDOW consecutive words of a document; words covered by a window wh
    An anchor that stands once in the corpus has no equal window: only stretches of repeated anchors go on.
 2. Of equal texts only the first sends stretches. Stretches of equal words are merged before the shuffle to the earliest one; only that can hold a window that is the
    first of its kind, so all later ones are covered as a whole. An anchor with very many different stretches (a large
-   group of near copies) is cut into single windows, which are dealt by their own hash.
+   group of near copies) or very many words (long periodic texts) is cut into single windows, dealt by their own hash.
 3. Each shard lays its stretches end to end in document order and builds an FM-index: the Burrows-Wheeler transform in a
-   wavelet matrix of packed bits with rank counts, and the positions of the suffixes. The stretches are then streamed
+   wavelet matrix of packed bits with rank counts, and the positions of the suffixes in 32 bits. The stretches are then streamed
    against it: for each window's end, backward search extends the match word by word while another place matches
    (matching statistics up to WINDOW). Windows whose match reaches WINDOW report their interval; the earliest place in
    it is the window's first.
 4. Windows found to be first are sent back to their documents; all other windows of repeated anchors are covered.
 
-Anchors are 64-bit hashes of words' 64-bit hashes; within a shard words are compared by 32 bits of theirs, so two
-windows are taken for equal if these 20 pairs and the anchor are. Rows: a null text has no words; a repeated or null doc_id makes separate documents
-(null first; rows of one id by file and place); texts shorter than a window are kept whole.
+Words are told apart by 64-bit hashes, in shards too. Rows: a null text has no words; a repeated or null doc_id makes
+separate documents (null first; rows of one id by file and place); texts shorter than a window are kept whole. A very
+long text is a block of its own, and so is held by a task with its words; its stretches go to many shards. Extra columns
+come through whatever they are called; an empty table gives an empty one.
 """
 
 from collections.abc import Iterator
@@ -27,43 +28,17 @@ from itertools import compress
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import BLOCK_BYTES, neutral, pieces_of, rows_numbered, running_total, table
+from plumbline.llm.word_hashes import MIX, hashed, mixed
 from plumbline.session import drop_folder, new_folder, release, stored
 
 WINDOW, GRAM = 20, 8
 SHARD_WORDS, VARIANTS = 600_000, 5_000
-KEPT = 300_000
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * MIX
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-class Words:
-    """Words of texts and their hashes, kept for the words seen lately."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > KEPT:
-            known = self.known = {}
-        got = list(map(known.get, words))
-        if None in got:
-            digest = xxhash.xxh64_intdigest
-            for i, h in enumerate(got):
-                if h is None:
-                    got[i] = known[words[i]] = digest(words[i])
-        return np.array(got, dtype=np.uint64)
+CUT = 20_000  # windows that are made at a time
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -82,12 +57,11 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
 class Stretches:
     """Of texts laid end to end: the runs of windows with one anchor."""
 
-    def __init__(self, words: list[list[bytes]], own: Words, window: int, gram: int):
-        self.sizes = np.array([len(w) for w in words], dtype=np.int64)
+    def __init__(self, texts: pa.Array, window: int, gram: int):
+        self.hashes, self.sizes = hashed(texts)
         self.start = np.cumsum(self.sizes) - self.sizes
-        self.hashes = own.hashes([w for ws in words for w in ws])
         self.windows = np.maximum(self.sizes - window + 1, 0)
-        self.doc = np.repeat(np.arange(len(words)), self.windows)
+        self.doc = np.repeat(np.arange(len(texts)), self.windows)
         # Where windows that lie in one text begin.
         self.at = self.start[self.doc] + np.arange(len(self.doc)) - (np.cumsum(self.windows) - self.windows)[self.doc]
         self.gram = grams(self.hashes, gram)
@@ -102,7 +76,7 @@ class Stretches:
         self.first = np.flatnonzero(new)  # among the windows
         self.anchor = least[self.first]
         self.count = np.diff(np.r_[self.first, len(least)])
-        own = np.bincount(self.doc[self.first], minlength=len(words)) if len(least) else np.zeros(len(words), np.int64)
+        own = np.bincount(self.doc[self.first], minlength=len(texts)) if len(least) else np.zeros(len(texts), np.int64)
         self.base = np.cumsum(own) - own  # number of the first stretch of each text
 
     def numbers(self) -> np.ndarray:
@@ -179,7 +153,8 @@ class FmIndex:
             rank = np.empty_like(rank)
             rank[self.suffixes] = np.cumsum(np.r_[0, ordered[1:] != ordered[:-1]])
             known *= 2
-        self.wavelet = WaveletMatrix(text[self.suffixes - 1], len(values) + 1)
+        self.suffixes = self.suffixes.astype(np.uint32)
+        self.wavelet = WaveletMatrix(text[self.suffixes.astype(np.int64) - 1], len(values) + 1)
         self.before = np.r_[0, np.cumsum(np.bincount(text, minlength=len(values) + 1))]
 
     def matches(self, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,7 +177,7 @@ def first_windows(window: int):
     """Of a shard's stretches: the windows that stand first, as runs (document, first window, number)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos", kind="stable")
-        parts = [np.frombuffer(b, dtype="<u4") for b in pdf["content"]]
+        parts = [np.frombuffer(b, dtype="<u8") for b in pdf["content"]]
         sizes = np.array([len(p) for p in parts])
         index = FmIndex(np.concatenate(parts), sizes, window)
         count = sizes - window + 1
@@ -251,17 +226,15 @@ def unsqueezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield part.set_column(part.schema.get_field_index("text"), "text", pa.array(full, pa.string()))
 
 
-SHIFT = 31  # a position is the document's number and, below this bit, the word's number
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """_row, _ord (place in document order) and ``new`` (no earlier row has the same
-    text, by its SHA-256) of each row."""
-    rows = docs.select("doc_id", "_row", F.lit(1).alias("_one"),
+def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
+    """_row, _ord (place in document order), ``size`` (bytes of text) and ``new`` (no earlier row has the same
+    text, by its SHA-256) of each row, and the number of rows."""
+    rows = docs.select("doc_id", "_row", F.lit(1).alias("_one"), F.octet_length("text").alias("size"),
                        F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("_digest"))
-    placed = running_total(rows, ["doc_id", "_row"], "_one", "_ord")[0].select("_row", "_ord", "_digest")
+    placed, total = running_total(rows, ["doc_id", "_row"], "_one", "_ord")
     first = placed.groupBy("_digest").agg(F.min("_ord").alias("_ord")).select("_ord", F.lit(True).alias("_new"))
-    return placed.join(first, "_ord", "left").select("_row", "_ord", F.col("_new").isNotNull().alias("new"))
+    return placed.join(first, "_ord", "left").select(
+        "_row", "_ord", "size", F.col("_new").isNotNull().alias("new")), total
 
 
 def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -270,9 +243,8 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     texts = docs.select("_row", "text")
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Words()
         for part in pieces_of(batches, "text"):
-            found = Stretches([words_of(t) for t in part.column("text").to_pylist()], own, window, gram)
+            found = Stretches(part.column("text"), window, gram)
             rows = part.column("_row").to_numpy()[found.doc[found.first]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows), pa.array(found.numbers(), pa.int32()), pa.array(found.anchor.view(np.int64)),
@@ -282,22 +254,28 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     once = texts.mapInArrow(anchors, "_row bigint, k int, anchor bigint, n int").groupBy("anchor").agg(
         F.sum("n").alias("n"), F.min("_row").alias("_row"), F.min("k").alias("k")).where("n = 1")
     alone = once.groupBy("_row").agg(F.collect_list("k").alias("alone"))
-    alone = stored(numbered(docs).join(alone, "_row", "left"))
+    places, total = numbered(docs)
+    folders = [new_folder(docs.sparkSession)]
+    alone = stored(places.join(alone, "_row", "left"), folders[0])
+    # A position is the document's number and, below ``shift`` bits, the word's: a text has at most size / 2 + 1 words.
+    longest = alone.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
+    shift = (longest // 2 + 1).bit_length()
+    if total.bit_length() + shift > 63:
+        raise ValueError(f"{total} documents of up to {longest} bytes: positions hold 63 bits")
     release(docs.sparkSession)
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Words()
         for part in unsqueezed(batches):
             seen: dict[bytes, tuple[int, int]] = {}
-            found = Stretches([words_of(t) for t in part.column("text").to_pylist()], own, window, gram)
-            number, short = part.column("_ord").to_numpy(), found.hashes.astype("<u4")
+            found = Stretches(part.column("text"), window, gram)
+            number, hashes = part.column("_ord").to_numpy(), found.hashes.astype("<u8", copy=False)
             some = np.flatnonzero(found.repeated(part.column("alone")))
             at = found.at[found.first[some]]
             doc = found.doc[found.first[some]]
-            pos = (number[doc] << SHIFT) + at - found.start[doc]
+            pos = (number[doc] << shift) + at - found.start[doc]
             for anchor, a, b, place in zip(found.anchor.view(np.int64)[some].tolist(), at.tolist(),
                                            (at + found.count[some] + window - 1).tolist(), pos.tolist()):
-                content = short[a:b].tobytes()
+                content = hashes[a:b].tobytes()
                 if content not in seen or place < seen[content][1]:
                     seen[content] = anchor, place
             yield pa.RecordBatch.from_arrays(
@@ -308,40 +286,38 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     parts = squeezed(texts).join(alone.where("new"), "_row").select("_ord", "text", "alone").mapInArrow(
         repeated, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(
         F.min("pos").alias("pos"))
-    folders = [new_folder(docs.sparkSession)]
-    parts = stored(parts, folders[0])
+    folders.append(new_folder(docs.sparkSession))
+    parts = stored(parts, folders[-1])
     release(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                keys, contents, places = [], [], []
-                part = batch.slice(i, 200)
-                for content, pos in zip(part.column("content").to_pylist(), part.column("pos").to_pylist()):
-                    hashes = np.frombuffer(content, dtype="<u4").astype(np.uint64)
-                    keys.append(grams(hashes, window).view(np.int64))
-                    contents += [content[4 * k:4 * (k + window)] for k in range(len(hashes) - window + 1)]
-                    places.append(pos + np.arange(len(hashes) - window + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(contents, pa.binary()), pa.array(np.concatenate(places))],
-                    ["anchor", "content", "pos"])
-
-    many = parts.groupBy("anchor").count().where(F.col("count") > VARIANTS).select("anchor")
+            for content, pos in zip(batch.column("content").to_pylist(), batch.column("pos").to_pylist()):
+                hashes = np.frombuffer(content, dtype="<u8")
+                for i in range(0, len(hashes) - window + 1, CUT):
+                    key = grams(hashes[i:i + CUT + window - 1], window).view(np.int64)
+                    place = np.arange(i, i + len(key))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key), pa.array([content[8 * k:8 * (k + window)] for k in place.tolist()], pa.binary()),
+                         pa.array(pos + place)], ["anchor", "content", "pos"])
+
+    many = parts.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.length("content")).alias("size")).where(
+        (F.col("n") > VARIANTS) | (F.col("size") > 8 * SHARD_WORDS)).select("anchor")
     if not many.isEmpty():
         single = parts.join(many, "anchor", "left_semi").select("anchor", "content", "pos").mapInArrow(
             cut, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(F.min("pos").alias("pos"))
         folders.append(new_folder(docs.sparkSession))
         parts = stored(parts.join(many, "anchor", "left_anti").select("anchor", "content", "pos").unionByName(single),
-                       folders[1])
-    total = parts.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0] // 4
+                       folders[-1])
+    total = parts.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0] // 8
     shards = max(1, -(-total // SHARD_WORDS))
     dealt = parts.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "content", "pos")
     found = dealt.groupBy("shard").applyInPandas(first_windows(window), "pos bigint, n bigint")
-    firsts = found.groupBy(F.expr(f"shiftright(pos, {SHIFT})").alias("_ord")).agg(
-        F.collect_list(F.struct(F.expr(f"pos & {(1 << SHIFT) - 1}").alias("at"), "n")).alias("firsts"))
+    firsts = found.groupBy(F.expr(f"shiftright(pos, {shift})").alias("_ord")).agg(
+        F.collect_list(F.struct(F.expr(f"pos & {(1 << shift) - 1}").alias("at"), "n")).alias("firsts"))
     result = stored(alone.join(firsts, "_ord", "left").select("_row", "alone", "firsts"))
     release(docs.sparkSession)
-    for folder in folders:  # the stretches are read no more
+    for folder in folders:  # these tables are read no more
         drop_folder(docs.sparkSession, folder)
     return result
 
@@ -356,11 +332,10 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     kind = docs.select(row.alias("row")).schema["row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Words()
         for part in unsqueezed(batches):
             given = part.column("text").to_pylist()
             words = [words_of(t) for t in given]
-            found = Stretches(words, own, window, gram)
+            found = Stretches(part.column("text"), window, gram)
             covered = np.repeat(found.repeated(part.column("alone")), found.count)
             base = np.cumsum(found.windows) - found.windows
             firsts = part.column("firsts")

@@ -58,12 +58,26 @@ def test_wavelet_ranks_equal_counting():
     assert more.tolist() == [(text[:b] == s).sum() for s, b in zip(symbol, high)]
 
 
-def test_op5_odd_rows(odd):
+@pytest.mark.parametrize("words", [600_000, 1000])  # 1000: a long periodic text is cut into single windows
+def test_op5_odd_rows(odd, monkeypatch, words):
+    monkeypatch.setattr(fm_dedup, "SHARD_WORDS", words)
     rows = {(r["row"]["doc_id"], r["n_words"], r["n_removed"]) for r in fm_dedup.removed(odd).collect()}
     assert {(1, 22, 0), (1, 22, 22), (None, 30, 29), (5, 30000, 29999), (8, 0, 0), (9, 1, 0)} <= rows
     assert fm_dedup.removed(odd.where("false")).count() == 0
 
 
+def test_op5_tells_words_with_equal_low_bits_apart(shared):
+    words = [f"w{i}" for i in range(300_000)]
+    low = word_hashes.hashed(pa.array([" ".join(words)]))[0] & np.uint64(0xFFFFFFFF)
+    order = np.argsort(low, kind="stable")
+    alike = np.flatnonzero(low[order][1:] == low[order][:-1])
+    pairs = [(words[order[i]], words[order[i + 1]]) for i in alike[:3]]
+    assert pairs
+    texts = [f"{word} " + " ".join(f"{k}x{n}" for n in range(19)) for k, pair in enumerate(pairs * 7) for word in pair]
+    docs = shared.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert fm_dedup.removed(docs).agg(F.sum("n_removed")).first()[0] == 0
+
+
 @pytest.fixture
 def moving(shared, documents, tmp_path, monkeypatch):
     """Documents in files that are split in another way after each step that is stored."""
