@@ -24,7 +24,7 @@ from plumbline.llm.common import table
 from plumbline.llm.tile_topk import usable
 from plumbline.llm.top_lists import merged
 
-TREES, BITS, SHARE, LEAST, SEED = 64, 24, 0.4, 400, 11
+TREES, BITS, SHARE, SEED = 64, 24, 0.4, 11
 SHARD_ROWS, BLOCK_ROWS = 16384, 1024
 
 
@@ -64,7 +64,7 @@ class Forest:
             yield np.flatnonzero(met)
 
 
-def shard_lists(k: int, trees: int, bits: int, share: float, least: int, seed: int):
+def shard_lists(k: int, trees: int, bits: int, share: float, seed: int):
     def run(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         lengths = right["vector"].str.len() if len(right) else None
@@ -78,7 +78,7 @@ def shard_lists(k: int, trees: int, bits: int, share: float, least: int, seed: i
             q, r = q / np.linalg.norm(q, axis=1, keepdims=True), r / np.linalg.norm(r, axis=1, keepdims=True)
             ids, part = rows["vec_id"].to_numpy(), int(rows["shard"].iloc[0])
             forest = Forest(r, trees, bits, seed)
-            for own, vector, met in zip(queries["vec_id"].tolist(), q, forest.search(q, max(least, int(share * len(r))))):
+            for own, vector, met in zip(queries["vec_id"].tolist(), q, forest.search(q, max(k + 1, int(share * len(r))))):
                 met = met[ids[met] != own]
                 near = r[met] @ vector
                 if len(met) > k:
@@ -93,7 +93,7 @@ def shard_lists(k: int, trees: int, bits: int, share: float, least: int, seed: i
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = TREES, bits: int = BITS,
-            share: float = SHARE, least: int = LEAST, seed: int = SEED, id_col: str = "vec_id",
+            share: float = SHARE, seed: int = SEED, id_col: str = "vec_id",
             vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score (cosine): each query's k nearest among the candidates that the forest finds."""
     not_zero = F.exists("vector", lambda x: x != 0)
@@ -106,7 +106,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = TRE
     sent = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int"))
     sent = sent.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     lists = sent.groupBy("block", "shard").cogroup(dealt.groupBy("block", "shard")).applyInPandas(
-        shard_lists(k, trees, bits, share, least, seed),
+        shard_lists(k, trees, bits, share, seed),
         "query_id bigint, part int, top array<struct<order:double,vec_id:bigint>>")
     best = merged(lists, k, shards).select("query_id", F.posexplode("top").alias("rank", "found"))
     return best.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("found.vec_id").alias("vec_id"),

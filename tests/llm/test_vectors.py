@@ -34,10 +34,9 @@ def test_op8_equals_brute_force(shared, folder, vectors, monkeypatch):
     assert lists(tile_topk.op8_tile_topk(shared, folder).collect()) == best(ids, np.floor(64 * values), 20, 20)
 
 
-def test_op2_recall(shared, folder, vectors, monkeypatch):
+def test_op2_recall(shared, folder, vectors):
     ids, values = vectors
-    monkeypatch.setattr(prefix_forest, "LEAST", 100)
-    got = lists(prefix_forest.nearest(*[shared.read.parquet(f"{folder}/embeddings.parquet")] * 2, least=100).collect())
+    got = lists(prefix_forest.nearest(*[shared.read.parquet(f"{folder}/embeddings.parquet")] * 2).collect())
     want = best(ids, values / np.linalg.norm(values, axis=1, keepdims=True), 1, 5)
     assert set(got) == set(want)
     assert np.mean([len(set(got[q]) & set(want[q])) / 5 for q in want]) >= 0.9
