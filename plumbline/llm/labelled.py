@@ -1,18 +1,33 @@
 """Bounded samples of labelled documents."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+GROUPS = 16  # of partitions, each of which draws before the groups' draws meet
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, bound: int, columns: tuple[str, ...] = ("doc_id", "text")):
-    """Documents (``columns``) with ``label``, at most about ``bound`` labelled ids of each class, and the number of
-    labelled rows of both classes. The ids are those of least hash, so the sample is the same in every run."""
+
+def drawn(ids: DataFrame, kind: str, bound: int) -> DataFrame:
+    """Of each kind at most ``bound`` rows of ``ids`` (distinct in kind and doc_id): those of least hash of doc_id, so that
+    the sample is the same in every run. Partitions draw, then groups of them, so the last task of a kind reads at most
+    GROUPS times ``bound`` rows."""
+    rank, ids = "_rank", ids.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(GROUPS)))
+    for keys in ([kind, "_group"], [kind]):
+        order = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn(rank, F.row_number().over(order)).where(F.col(rank) <= bound).drop(rank)
+    return ids.drop("_group")
+
+
+def one_text_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """The least text of each key: an id that is repeated brings one text, however many rows it has."""
+    return rows.groupBy(*keys).agg(F.min("text").alias("text"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str, bound: int):
+    """doc_id, text and _label of at most ``bound`` labelled ids of each class, one text an id, and the number of
+    labelled rows of both classes."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col(label).cast("int").alias("_label")).distinct()
     counts = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
-    chosen = None
-    for value in (0, 1):
-        some = known.where(F.col("_label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-        chosen = some if chosen is None else chosen.unionByName(some)
     # At most twice ``bound`` ids.
-    return docs.select(*columns).join(F.broadcast(chosen), "doc_id"), counts
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn(known, "_label", bound)), "doc_id")
+    return one_text_each(rows, "doc_id", "_label"), counts

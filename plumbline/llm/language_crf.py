@@ -9,17 +9,20 @@ different languages, so that transitions are learned from switches as well as fr
 
 Words are what white space sets apart, without the marks around them; those without a letter take no part. Rows: a text
 that is null or has no letter is ``und`` with score 0, and so is every text if nothing could be learned; repeated rows
-get the same result; training rows with a null language or text are left out.
+get the same result; training rows with a null language or text are left out, and of an id's texts in a language the
+least is learned from. A very long text is a block of its own, tagged as a whole. Columns beside doc_id, text and lang
+are not read; an empty table gives an empty one.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import pieces_of, remainder, table
+from plumbline.llm.labelled import drawn, one_text_each
 
 SAMPLE, LEXICON, WIDTH = 250, 2000, 1 << 15
 SEQUENCES, STRETCHES, STEPS, RIDGE, SEED = 1500, 4, 40, 1e-3, 3
@@ -181,10 +184,10 @@ def train(texts: list[list[str]], labels: list[int], langs: list[str]) -> dict:
 def learn(docs: DataFrame, bound: int = SAMPLE) -> dict | None:
     """A model from the documents' text and lang: at most ``bound`` documents of each language, by least hash of id."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").distinct().withColumn("_rank", rank).where(F.col("_rank") <= bound)
-    # At most ``bound`` ids of each language.
-    rows = known.select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"])
+    # At most ``bound`` ids of each language, one text an id.
+    chosen = drawn(known.select("doc_id", "lang").distinct(), "lang", bound)
+    rows = one_text_each(known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]),
+                         "doc_id", "lang")
     got = sorted((r["lang"], r["text"]) for r in rows.select("lang", "text").distinct().collect())
     langs = sorted({lang for lang, _ in got})
     texts = [[w for w in map(bare, text.split()) if w] for _, text in got]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from plumbline.llm import fm_dedup, gray_simhash, kneser_ney, language_crf, noisy_toxicity, pairwise_quality, word_hashes
+from plumbline.llm import labelled as labelled_sample
 from plumbline.llm.common import rows_numbered
 from plumbline.session import stored
 
@@ -265,6 +266,19 @@ def test_op3_held_out(shared, folder, documents):
     assert np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in held]) >= 0.95
 
 
+def test_samples_are_the_ids_of_least_hash_one_text_each(shared):
+    ids = shared.range(2000).selectExpr("id as doc_id", "case when id % 10 < 8 then 'a' else 'b' end as lang")
+    first = ids.repartition(37).withColumn("h", F.xxhash64("doc_id")).orderBy("h").collect()
+    want = {lang: {r["doc_id"] for r in [r for r in first if r["lang"] == lang][:20]} for lang in "ab"}
+    got = labelled_sample.drawn(ids.repartition(37), "lang", 20).collect()
+    assert len(got) == 40 and all({r["doc_id"] for r in got if r["lang"] == lang} == want[lang] for lang in "ab")
+    docs = shared.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, None), (3, "x")], "doc_id long, text string")
+    labels = shared.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1), (3, None)], "doc_id long, quality int")
+    rows, counts = labelled_sample.sample(docs, labels, "quality", 5)
+    assert {tuple(r) for r in rows.select("doc_id", "_label", "text").collect()} == {(1, 1, "text 0"), (2, 0, None)}
+    assert counts == {0: 1, 1: 1}
+
+
 def test_op3_labels_words_of_switched_text(shared, folder):
     docs = shared.read.parquet(f"{folder}/documents.parquet")
     model = language_crf.learn(docs)
