@@ -16,7 +16,8 @@ A window is WINDOW consecutive words of a document; words covered by a window wh
    it is the window's first.
 4. Windows found to be first are sent back to their documents; all other windows of repeated anchors are covered.
 
-Words are told apart by 64-bit hashes, in shards too. Rows: a null text has no words; a repeated or null doc_id makes
+Stretches travel as the texts they are, which compress better than hashes. Words are told apart by 64-bit hashes, in shards
+too. Rows: a null text has no words; a repeated or null doc_id makes
 separate documents (null first; rows of one id by file and place); texts shorter than a window are kept whole. A very
 long text is a block of its own, and so is held by a task with its words; its stretches go to many shards. Extra columns
 come through whatever they are called; an empty table gives an empty one.
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import BLOCK_BYTES, neutral, pieces_of, rows_numbered, running_total, table
-from plumbline.llm.word_hashes import MIX, hashed, mixed
+from plumbline.llm.word_hashes import MIX, Words, hashed, mixed
 from plumbline.session import drop_folder, new_folder, release, stored
 
 WINDOW, GRAM = 20, 8
@@ -58,7 +59,8 @@ class Stretches:
     """Of texts laid end to end: the runs of windows with one anchor."""
 
     def __init__(self, texts: pa.Array, window: int, gram: int):
-        self.hashes, self.sizes = hashed(texts)
+        self.words = Words(texts)
+        self.hashes, self.sizes = self.words.hashes(), self.words.sizes
         self.start = np.cumsum(self.sizes) - self.sizes
         self.windows = np.maximum(self.sizes - window + 1, 0)
         self.doc = np.repeat(np.arange(len(texts)), self.windows)
@@ -177,9 +179,8 @@ def first_windows(window: int):
     """Of a shard's stretches: the windows that stand first, as runs (document, first window, number)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos", kind="stable")
-        parts = [np.frombuffer(b, dtype="<u8") for b in pdf["content"]]
-        sizes = np.array([len(p) for p in parts])
-        index = FmIndex(np.concatenate(parts), sizes, window)
+        hashes, sizes = hashed(pa.array(pdf["content"], pa.large_binary()))
+        index = FmIndex(hashes, sizes, window)
         count = sizes - window + 1
         own = np.repeat(index.start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         length, low, high = index.matches(own + window - 1)
@@ -266,26 +267,29 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in unsqueezed(batches):
-            seen: dict[bytes, tuple[int, int]] = {}
+            seen: dict[bytes, tuple[int, int, int]] = {}
             found = Stretches(part.column("text"), window, gram)
-            number, hashes = part.column("_ord").to_numpy(), found.hashes.astype("<u8", copy=False)
+            number, whole = part.column("_ord").to_numpy(), found.words.padded.tobytes()
             some = np.flatnonzero(found.repeated(part.column("alone")))
             at = found.at[found.first[some]]
             doc = found.doc[found.first[some]]
             pos = (number[doc] << shift) + at - found.start[doc]
-            for anchor, a, b, place in zip(found.anchor.view(np.int64)[some].tolist(), at.tolist(),
-                                           (at + found.count[some] + window - 1).tolist(), pos.tolist()):
-                content = hashes[a:b].tobytes()
+            size = found.count[some] + window - 1
+            for anchor, a, b, n, place in zip(
+                    found.anchor.view(np.int64)[some].tolist(), found.words.begin[at].tolist(),
+                    found.words.end[at + size - 1].tolist(), size.tolist(), pos.tolist()):
+                content = whole[a:b]
                 if content not in seen or place < seen[content][1]:
-                    seen[content] = anchor, place
+                    seen[content] = anchor, place, n
             yield pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in seen.values()], pa.int64()), pa.array(list(seen), pa.binary()),
-                 pa.array([p for _, p in seen.values()], pa.int64())], ["anchor", "content", "pos"])
+                [pa.array([a for a, _, _ in seen.values()], pa.int64()), pa.array(list(seen), pa.binary()),
+                 pa.array([p for _, p, _ in seen.values()], pa.int64()),
+                 pa.array([n for _, _, n in seen.values()], pa.int64())], ["anchor", "content", "pos", "n"])
 
     # All windows of a copy stand earlier, so only the first of equal texts has stretches to send.
     parts = squeezed(texts).join(alone.where("new"), "_row").select("_ord", "text", "alone").mapInArrow(
-        repeated, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(
-        F.min("pos").alias("pos"))
+        repeated, "anchor bigint, content binary, pos bigint, n bigint").groupBy("anchor", "content").agg(
+        F.min("pos").alias("pos"), F.max("n").alias("n"))
     folders.append(new_folder(docs.sparkSession))
     parts = stored(parts, folders[-1])
     release(docs.sparkSession)
@@ -293,23 +297,25 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content, pos in zip(batch.column("content").to_pylist(), batch.column("pos").to_pylist()):
-                hashes = np.frombuffer(content, dtype="<u8")
+                words = content.split()
+                hashes = hashed(pa.array([content], pa.binary()))[0]
                 for i in range(0, len(hashes) - window + 1, CUT):
                     key = grams(hashes[i:i + CUT + window - 1], window).view(np.int64)
                     place = np.arange(i, i + len(key))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key), pa.array([content[8 * k:8 * (k + window)] for k in place.tolist()], pa.binary()),
-                         pa.array(pos + place)], ["anchor", "content", "pos"])
+                        [pa.array(key), pa.array([b" ".join(words[k:k + window]) for k in place.tolist()], pa.binary()),
+                         pa.array(pos + place), pa.array(np.full(len(key), window))], ["anchor", "content", "pos", "n"])
 
-    many = parts.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.length("content")).alias("size")).where(
-        (F.col("n") > VARIANTS) | (F.col("size") > 8 * SHARD_WORDS)).select("anchor")
+    many = parts.groupBy("anchor").agg(F.count("*").alias("times"), F.sum("n").alias("words")).where(
+        (F.col("times") > VARIANTS) | (F.col("words") > SHARD_WORDS)).select("anchor")
     if not many.isEmpty():
         single = parts.join(many, "anchor", "left_semi").select("anchor", "content", "pos").mapInArrow(
-            cut, "anchor bigint, content binary, pos bigint").groupBy("anchor", "content").agg(F.min("pos").alias("pos"))
+            cut, "anchor bigint, content binary, pos bigint, n bigint").groupBy("anchor", "content").agg(
+            F.min("pos").alias("pos"), F.max("n").alias("n"))
         folders.append(new_folder(docs.sparkSession))
-        parts = stored(parts.join(many, "anchor", "left_anti").select("anchor", "content", "pos").unionByName(single),
+        parts = stored(parts.join(many, "anchor", "left_anti").select("anchor", "content", "pos", "n").unionByName(single),
                        folders[-1])
-    total = parts.agg(F.coalesce(F.sum(F.length("content")), F.lit(0))).first()[0] // 8
+    total = parts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_WORDS))
     dealt = parts.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "content", "pos")
     found = dealt.groupBy("shard").applyInPandas(first_windows(window), "pos bigint, n bigint")

@@ -16,43 +16,51 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def hashed(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of ``texts`` end to end, and how many words each text has (a null text has none).
+class Words:
+    """The words of texts laid end to end: runs of bytes other than 0x20 and 0x09 to 0x0D. A null text has none."""
+
+    def __init__(self, texts: pa.Array, lower: bool = False):
+        """``lower`` turns A-Z into a-z first."""
+        texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+        _, edges, data = texts.buffers()
+        edges = np.frombuffer(edges, np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
+        n = int(edges[-1] - edges[0])
+        self.padded = np.zeros(n + 8, dtype=np.uint8)
+        if n:
+            self.padded[:n] = np.frombuffer(data, np.uint8, n, int(edges[0]))
+        edges, flat = edges - edges[0], self.padded[:n]
+        if lower:
+            flat |= (flat - np.uint8(65) < 26).view(np.uint8) << 5
+        word = (flat != 32) & (flat - np.uint8(9) > 4)
+        # A word also ends where its text does.
+        apart = np.zeros(n + 1, dtype=bool)
+        apart[edges] = True
+        first, last = word.copy(), word.copy()
+        first[1:] &= ~word[:-1] | apart[1:-1]
+        last[:-1] &= ~word[1:] | apart[1:-1]
+        self.begin, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        self.sizes = np.diff(np.searchsorted(self.begin, edges))  # words of each text
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hashes. A word is mixed eight bytes at a time, all words of the block at once."""
+        begin, size = self.begin, self.end - self.begin
+        eights = np.ndarray(len(self.padded) - 7, "<u8", self.padded, strides=(1,))
+        found = mixed(size.astype(np.uint64) * MIX + (eights[begin] & MASKS[np.minimum(size, 8)]))
+        some = np.flatnonzero((size > 8) & (size <= LONG))
+        done = 8
+        while len(some):
+            found[some] = mixed(found[some] * MIX + (eights[begin[some] + done] & MASKS[np.minimum(size[some] - done, 8)]))
+            done += 8
+            some = some[size[some] > done]
+        for i in np.flatnonzero(size > LONG).tolist():
+            found[i] = xxhash.xxh64_intdigest(self.padded[begin[i]:self.end[i]])
+        return found
 
-    Words are runs of bytes other than 0x20 and 0x09 to 0x0D; ``lower`` turns A-Z into a-z first. A word is mixed eight
-    bytes at a time, all words of the block at once.
-    """
-    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
-    _, edges, data = texts.buffers()
-    if not len(texts) or data is None:
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
-    edges = np.frombuffer(edges, np.int64, len(texts) + 1, 8 * texts.offset)
-    n = int(edges[-1] - edges[0])
-    padded = np.zeros(n + 8, dtype=np.uint8)
-    padded[:n] = np.frombuffer(data, np.uint8, n, int(edges[0]))
-    edges, flat = edges - edges[0], padded[:n]
-    if lower:
-        flat |= (flat - np.uint8(65) < 26).view(np.uint8) << 5
-    word = (flat != 32) & (flat - np.uint8(9) > 4)
-    # A word also ends where its text does.
-    apart = np.zeros(n + 1, dtype=bool)
-    apart[edges] = True
-    first, last = word.copy(), word.copy()
-    first[1:] &= ~word[:-1] | apart[1:-1]
-    last[:-1] &= ~word[1:] | apart[1:-1]
-    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    size = end - begin
-    eights = np.ndarray(n + 1, "<u8", padded, strides=(1,))
-    found = mixed(size.astype(np.uint64) * MIX + (eights[begin] & MASKS[np.minimum(size, 8)]))
-    some = np.flatnonzero((size > 8) & (size <= LONG))
-    done = 8
-    while len(some):
-        found[some] = mixed(found[some] * MIX + (eights[begin[some] + done] & MASKS[np.minimum(size[some] - done, 8)]))
-        done += 8
-        some = some[size[some] > done]
-    for i in np.flatnonzero(size > LONG).tolist():
-        found[i] = xxhash.xxh64_intdigest(padded[begin[i]:end[i]])
-    return found, np.diff(np.searchsorted(begin, edges))
+
+def hashed(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of ``texts`` end to end, and how many words each text has."""
+    words = Words(texts, lower)
+    return words.hashes(), words.sizes
 
 
 def dense(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
