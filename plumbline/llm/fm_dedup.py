@@ -6,9 +6,10 @@ A window is WINDOW consecutive words of a document; words covered by a window wh
 1. Anchors. Of the GRAM-word hashes in a window the least one is its anchor. Equal windows have equal anchors, and
    windows in a row that share theirs form a stretch, so text is dealt to shards by anchor without losing a match.
    An anchor that stands once in the corpus has no equal window: only stretches of repeated anchors go on.
-2. Of equal texts only the first sends stretches. Stretches of equal words are merged before the shuffle to the earliest one; only that can hold a window that is the
-   first of its kind, so all later ones are covered as a whole. An anchor with very many different stretches (a large
-   group of near copies) or very many words (long periodic texts) is cut into single windows, dealt by their own hash.
+2. Of equal texts only the first sends stretches. Stretches of equal words are merged before the shuffle to the earliest
+   one; only that can hold a window that is the first of its kind, so all later ones are covered as a whole. An anchor
+   with very many different stretches (a large group of near copies) or very many words (long periodic texts) is cut into
+   single windows, dealt by their own hash.
 3. Each shard lays its stretches end to end in document order and builds an FM-index: the Burrows-Wheeler transform in a
    wavelet matrix of packed bits with rank counts, and the positions of the suffixes in 32 bits. The stretches are then streamed
    against it: for each window's end, backward search extends the match word by word while another place matches
@@ -16,8 +17,9 @@ A window is WINDOW consecutive words of a document; words covered by a window wh
    it is the window's first.
 4. Windows found to be first are sent back to their documents; all other windows of repeated anchors are covered.
 
-Stretches travel as the texts they are, which compress better than hashes. Words are told apart by 64-bit hashes, in shards
-too. Rows: a null text has no words; a repeated or null doc_id makes
+Stretches travel as the texts they are. Words are told apart by 64-bit hashes, in shards too.
+
+Rows: a null text has no words; a repeated or null doc_id makes
 separate documents (null first; rows of one id by file and place); texts shorter than a window are kept whole. A very
 long text is a block of its own, and so is held by a task with its words; its stretches go to many shards. Extra columns
 come through whatever they are called; an empty table gives an empty one.
