@@ -1,5 +1,7 @@
 """Calculation conformance: stored results against results recomputed from their recorded inputs."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import fixed_values as fixed
@@ -14,7 +16,7 @@ RESULT_COLUMNS = (
     "stored_value", "expected_value", "difference", "tolerance", "formula_expression", "input_values",
     "status", "violation",
 )
-_CASE = ["calculation_id", "PID", "episode_date", "IX"]
+_CASE = ["PID", "episode_date", "IX"]
 
 
 def numeric_values(rows: DataFrame) -> DataFrame:
@@ -50,21 +52,40 @@ def resolved_instances(instances: DataFrame, formulas: DataFrame, mappings: Data
 
 
 def input_values(export: DataFrame, mappings: DataFrame) -> DataFrame:
-    """K3: one map of inputs per calculation, patient, episode date and repeat.
+    """K3, data side: the smallest and largest number of every mapped variable (``_low0``, ``_high0``, ... in the order of
+    :func:`mapped_variables`) per patient, episode date and repeat.
 
-    Ambiguity is seen from the smallest and largest value, so a hot key is reduced before the shuffle.
+    One row serves all calculations, and ambiguity is seen from the two extremes, so a case is reduced to one row before
+    the shuffle, whatever the number of calculations that read it.
     """
-    wanted = mappings.select("calculation_id", "variable_alias", F.col("variable_source_id").alias("source_id"))
-    per_input = (
-        numeric_values(export.join(wanted, "source_id"))
-        .groupBy(*_CASE, "variable_alias")
-        .agg(F.min("source_value_numeric").alias("low"), F.max("source_value_numeric").alias("high"))
-    )
-    return per_input.filter("low = high").groupBy(*_CASE).agg(
-        F.count("*").alias("n_found"),
-        # At most one entry per mapped alias: the list is as long as the formula has variables.
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("variable_alias", "low")))).alias("input_values"),
-    )
+    variables = mapped_variables(mappings.collect())  # rule rows only
+    of = lambda v: F.when(F.col("source_id") == v, F.col("source_value_numeric"))
+    extremes = [f(of(v)).alias(f"_{name}{i}") for i, v in enumerate(variables)
+                for name, f in (("low", F.min), ("high", F.max))]
+    rows = numeric_values(export.filter(F.col("source_id").isin(variables)))
+    return rows.groupBy(*_CASE).agg(*(extremes or [F.count("*").alias("_rows")]))
+
+
+def mapped_variables(mapping_rows) -> list[str]:
+    return sorted({r.variable_source_id for r in mapping_rows if r.variable_source_id is not None})
+
+
+def input_map(mapping_rows) -> Column:
+    """K3, rule side: the inputs of a row's calculation by alias; null where one is missing or ambiguous. An alias that
+    is mapped twice leaves a calculation without cases."""
+    at = {v: i for i, v in enumerate(mapped_variables(mapping_rows))}
+    by_calculation: dict[str, list] = {}
+    for row in mapping_rows:
+        by_calculation.setdefault(row.calculation_id, []).append(row)
+    inputs = F.lit(None).cast("map<string,double>")
+    for calculation, rows in by_calculation.items():
+        aliases = {r.variable_alias: at.get(r.variable_source_id) for r in rows}
+        if calculation is None or len(aliases) < len(rows) or None in aliases.values():
+            continue
+        given = reduce(Column.__and__, [F.col(f"_low{i}") == F.col(f"_high{i}") for i in aliases.values()])
+        pairs = [c for alias, i in sorted(aliases.items()) for c in (F.lit(alias), F.col(f"_low{i}"))]
+        inputs = F.when((F.col("calculation_id") == calculation) & given, F.create_map(*pairs)).otherwise(inputs)
+    return inputs
 
 
 def expected_value(formulas) -> Column:
@@ -102,16 +123,20 @@ def results(export: DataFrame, instances: DataFrame, formulas: DataFrame, mappin
     if len(set(types)) < len(types):
         raise ValueError(f"repeated calculation_type: {sorted(t for t in set(types) if types.count(t) > 1)}")
     active = resolved_instances(instances, formulas, mappings).filter("evaluated")
-    stored = numeric_values(export.join(active.withColumn("source_id", F.col("score_source_id")), "source_id")).filter(
-        F.col("source_value_numeric").isNotNull())
-    inputs = input_values(export, mappings)
-    cases = key_join(stored, inputs, _CASE, null_safe=("episode_date",))
+    # Rule tables are short, but Spark takes tables derived by joins for large unless it is told. What follows from a rule
+    # alone joins the cases after their shuffle.
+    scored = F.broadcast(active.select(F.col("score_source_id").alias("source_id")).distinct())
+    stored = numeric_values(export.join(scored, "source_id", "left_semi")).filter(
+        F.col("source_value_numeric").isNotNull()).select(*_CASE, "source_id", "source_value_numeric")
+    cases = key_join(stored, input_values(export, mappings), _CASE, null_safe=("episode_date",)).join(
+        F.broadcast(active.withColumn("source_id", F.col("score_source_id"))), "source_id").withColumn(
+        "input_values", input_map(mappings.collect()))
     scaled = F.col("calculation_type").isin(
         [r.calculation_type for r in formula_rows if uses_array_functions(r.formula_expression)])
     difference = F.abs(F.col("stored_value") - F.col("expected_value"))
     broken = F.coalesce(~F.isnan("difference") & (F.col("difference") > F.col("tolerance")), F.lit(False))
     return (
-        cases.filter("n_found = n_inputs")
+        cases.filter("input_values is not null")
         .withColumn("stored_value", F.col("source_value_numeric"))
         # Exploding a one-element array computes the formula once per row; as a plain column it would be copied
         # into every expression that uses it, and the generated code would outgrow the JVM's method limit.

@@ -2,6 +2,8 @@
 
 import pytest
 
+from plumbline.operators import calculation
+
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -26,3 +28,24 @@ def large(spark):
 @pytest.mark.parametrize("name", ["date_summary", "date_dob", "date_after_death"])
 def test_the_export_is_not_dealt_by_element(large, name):
     assert "SortMergeJoin [source_id" not in run(large, name)
+
+
+def test_calculations_shuffle_a_case_once_for_all_formulas(large):
+    shuffles = [line for line in run(large, "calc_results").splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("variable_alias" in line for line in shuffles)
+
+
+def test_inputs_mapped_twice_or_never_recorded_make_no_case(frame, rows):
+    export = frame("PID Episode_Date IX source_id source_value", [
+        (1, "d", 1, "S", "3"), (1, "d", 1, "A", "1"), (1, "d", 1, "B", "2"), (1, "d", 1, "B", "2.0"),
+        (2, None, 1, "S", "4"), (2, None, 1, "A", "1"), (2, None, 1, "B", "2"),
+        (3, "d", 1, "S", "3"), (3, "d", 1, "A", "1"), (3, "d", 1, "B", "2"), (3, "d", 1, "B", "5")])
+    instances = frame("calculation_id calculation_type score_label score_source_id", [
+        ("sum", "ADD", None, "S"), ("twice", "ADD", None, "S"), ("never", "ADD", None, "S")])
+    formulas = frame("calculation_type formula_expression tolerance rounding", [("ADD", "a + b", "0.1", "none")])
+    mappings = frame("calculation_id variable_alias variable_source_id", [
+        ("sum", "a", "A"), ("sum", "b", "B"), ("twice", "a", "A"), ("twice", "b", "B"), ("twice", "b", "A"),
+        ("never", "a", "A"), ("never", "b", "none")])
+    got = calculation.results(export, instances, formulas, mappings)
+    assert rows(got, "calculation_id", "PID", "expected_value", "status") == [
+        ("sum", "1", 3.0, "pass"), ("sum", "2", 3.0, "violation")]
