@@ -2,7 +2,7 @@
 
 import pytest
 
-from plumbline.operators import calculation
+from plumbline.operators import calculation, completeness
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -49,3 +49,22 @@ def test_inputs_mapped_twice_or_never_recorded_make_no_case(frame, rows):
     got = calculation.results(export, instances, formulas, mappings)
     assert rows(got, "calculation_id", "PID", "expected_value", "status") == [
         ("sum", "1", 3.0, "pass"), ("sum", "2", 3.0, "violation")]
+
+
+@pytest.mark.parametrize("name", ["completeness_rows", "empty_basic_forms"])
+def test_versions_are_not_broadcast_and_become_elements_last(spark, name):
+    joins = [line.split("Join ")[1] for line in run(spark, name).splitlines() if "SortMergeJoin " in line]
+    assert sum("PID#" in j for j in joins) == 2 and not any("source_id#" in j for j in joins)
+
+
+def test_more_elements_than_a_word_of_marks(frame, rows):
+    ids = [f"E{i}" for i in range(150)]
+    expected = frame("PID episode_date form_id form_version form_type source_id", [
+        (p, d, "1", "0", t, e) for p, d, t in ((1, None, "basic"), (1, "d", "longitudinal"), (2, None, "basic"))
+        for e in [*ids, None]])
+    export = frame("PID Episode_Date source_id source_value", [
+        (1, "d", "E70", "x"), (1, "c", "E149", "y"), (1, None, "E3", "z"), (1, "d", "E5", " "), (1, "d", "other", "x")])
+    found = completeness.completeness_rows(expected, export)
+    assert found.count() == 302  # of patient 1, the only one in the export
+    assert rows(found.filter("is_filled"), "form_type", "source_id") == sorted([
+        ("basic", "E70"), ("basic", "E149"), ("basic", "E3"), ("longitudinal", "E70")], key=str)
