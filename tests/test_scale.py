@@ -68,3 +68,8 @@ def test_more_elements_than_a_word_of_marks(frame, rows):
     assert found.count() == 302  # of patient 1, the only one in the export
     assert rows(found.filter("is_filled"), "form_type", "source_id") == sorted([
         ("basic", "E70"), ("basic", "E149"), ("basic", "E3"), ("longitudinal", "E70")], key=str)
+
+
+@pytest.mark.parametrize("name", ["long_numeric", "long_enumerated"])
+def test_kinds_without_an_order_list_nothing(spark, name):
+    assert "ObjectHashAggregate" not in run(spark, name)
