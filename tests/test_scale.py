@@ -1,7 +1,9 @@
 """What keeps work in proportion to the input: seen in plans, with the same results."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from plumbline.functions.text import has_value
 from plumbline.operators import calculation, completeness
 
 FOLDER = "/root/testdata/sf0.001"
@@ -73,3 +75,19 @@ def test_more_elements_than_a_word_of_marks(frame, rows):
 @pytest.mark.parametrize("name", ["long_numeric", "long_enumerated"])
 def test_kinds_without_an_order_list_nothing(spark, name):
     assert "ObjectHashAggregate" not in run(spark, name)
+
+
+@pytest.mark.parametrize("name", ["completeness_rows", "completeness_per_element", "completeness_per_patient",
+                                  "form_presence_summary", "empty_longitudinal_forms"])
+def test_completeness_reads_the_export_once(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # shuffles to reuse are then seen in the plan
+    try:
+        assert run(spark, name).count("lineitem.parquet") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_texts_with_odd_beginnings_have_values(frame):
+    texts = ["a", "~", "~a", "!", " a", "\t", "\u00a0", "\u2003x", "\u00e4", "", " ", "\x1c", "\x7f", None]
+    got = frame("n text", list(enumerate(texts))).select("n", has_value(F.col("text")).alias("v")).collect()
+    assert {int(r.n) for r in got if not r.v} == {5, 6, 9, 10, 11, 13}
