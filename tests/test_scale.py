@@ -91,3 +91,11 @@ def test_texts_with_odd_beginnings_have_values(frame):
     texts = ["a", "~", "~a", "!", " a", "\t", "\u00a0", "\u2003x", "\u00e4", "", " ", "\x1c", "\x7f", None]
     got = frame("n text", list(enumerate(texts))).select("n", has_value(F.col("text")).alias("v")).collect()
     assert {int(r.n) for r in got if not r.v} == {5, 6, 9, 10, 11, 13}
+
+
+@pytest.mark.parametrize("name", ["long_date_increasing", "long_summary", "long_observed_values"])
+def test_increasing_variables_list_nothing_and_dates_are_read_of_ruled_values(spark, name):
+    lines = run(spark, name).splitlines()
+    assert not any("ObjectHashAggregate" in line or "collect_list" in line for line in lines)
+    # Shapes of dates are tried where rules have joined, not by a filter below.
+    assert any("RLIKE" in line for line in lines) and not any("Filter" in line and "RLIKE" in line for line in lines)
