@@ -318,6 +318,17 @@ def test_op7_held_out(shared):
     assert np.mean([r["predicted"] == label[r["doc_id"]] for r in got]) >= 0.9
 
 
+def test_op7_learns_from_every_labelled_row(shared, monkeypatch):
+    monkeypatch.setattr(pairwise_quality, "PAIRS", 1)
+    rows = shared.createDataFrame([(i, int(i % 5 == 0), [float(i)]) for i in range(10_000)], "doc_id long, _label int, x array<double>")
+    pairs = pairwise_quality.paired(rows, {0: 8000, 1: 2000}).collect()
+    assert len(pairs) == 8000 and {r.good[0] for r in pairs} | {r.bad[0] for r in pairs} == set(map(float, range(10_000)))
+    for values, k in (([3.0, 1.0, 2.0, 8.0, 5.0], 3), ([1.0] * 9 + [2.0], 4), ([1.0, 1.0, 4.0], 2), (list(map(float, range(9000))), 7000)):
+        own = shared.createDataFrame([([v],) for v in values], "x array<double>")
+        want = sum(sorted(values)[k - 1:k + 1]) / 2
+        assert pairwise_quality.quantile(own, lambda part: pairwise_quality.matrix(part.column("x"))[:, 0], k) == pytest.approx(want)
+
+
 def test_op10_held_out(shared):
     folder = "/root/testdata/sf0.01"
     label = labelled(shared, folder, "toxic")
