@@ -1,10 +1,12 @@
 """What keeps work in proportion to the input: seen in plans, with the same results."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import has_value
-from plumbline.operators import calculation, completeness
+from plumbline.operators import calculation, completeness, relational
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -99,3 +101,26 @@ def test_increasing_variables_list_nothing_and_dates_are_read_of_ruled_values(sp
     assert not any("ObjectHashAggregate" in line or "collect_list" in line for line in lines)
     # Shapes of dates are tried where rules have joined, not by a filter below.
     assert any("RLIKE" in line for line in lines) and not any("Filter" in line and "RLIKE" in line for line in lines)
+
+
+def test_marks_give_the_relational_summary_of_expected_elements(frame, rows):
+    """Also with more elements than a word of marks, elements that no form has, blank keys and rows without a patient."""
+    rng = random.Random(3)
+    pick = lambda *x: rng.choice([None, *x])
+    ids = [f"E{i}" for i in range(70)]
+    elements = frame("form_id form_version source_id", [(f, v, e) for f, v in (("1", "1"), ("2", "1"), ("2", "2"), ("3", None))
+                                                        for e in [*rng.sample(ids, 40), " E3 ", None]])
+    versions = frame("PID form_id form_version episode_date form_type", [
+        (pick("1", "2 ", "5"), pick("1", "2", "3"), pick("1", "2", "9"), pick("", "d1", "d2 "), pick("basic", "longitudinal", "Basic", "other"))
+        for _ in range(40)])
+    export = frame("PID Episode_Date source_id source_value", [
+        (pick("1", " 2", "3"), pick("", "d1", "d2"), pick("U", "V ", *ids), pick("x", "y", " ")) for _ in range(600)])
+    known = frame("source_id", [("U",), (" E1",), *[(e,) for e in ids[5:]], (None,)])
+    expected = versions.join(elements, ["form_id", "form_version"], "left")
+    want = rows(relational.summary(export, known, expected, elements))
+    assert all(r[3] for r in want) and rows(relational.summary_of_versions(export, known, versions, elements)) == want
+
+
+def test_relational_summary_deals_no_cells(spark):
+    """A row per patient and episode is shuffled: ids of elements are a key only where no form has them."""
+    assert "bit_or" in run(spark, "rel_summary")
