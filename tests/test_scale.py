@@ -5,8 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline import job
 from plumbline.functions.text import has_value
-from plumbline.operators import calculation, completeness, relational
+from plumbline.operators import calculation, completeness, longitudinal, relational
+from plumbline.plans import catalog, driver_registry as registry
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -124,3 +126,43 @@ def test_marks_give_the_relational_summary_of_expected_elements(frame, rows):
 def test_relational_summary_deals_no_cells(spark):
     """A row per patient and episode is shuffled: ids of elements are a key only where no form has them."""
     assert "bit_or" in run(spark, "rel_summary")
+
+
+def test_summaries_of_a_report_are_made_one_after_the_other(spark, monkeypatch):
+    """Only those of the families that are sections, each of which has left the disks before the next begins."""
+    done = []
+    for name in catalog.FAMILIES:
+        def make(spark, folder, name=name):
+            done.append(name)
+            kind = {"import_summary": "rule_id string, assessed_elements bigint, total_violations bigint"}.get(
+                name, "rule_type string, rule_id string, assessed_elements bigint, total_violations bigint")
+            row = ("temporal_plausibility", name, 2, 1)[-3 if name == "import_summary" else -4:]
+            return spark.createDataFrame([row], kind)
+        monkeypatch.setitem(catalog.QUERIES, name, make)
+    monkeypatch.setattr(catalog, "release", lambda spark: done.append("released"))
+    got = {r.section: r.n_checks for r in catalog.report_sections(spark, FOLDER).collect()}
+    assert sum(got.values()) == 4
+    assert done == [x for name in catalog.SECTION_FAMILIES for x in (name, "released")]
+
+
+@pytest.mark.parametrize("names, stored", [(("report_rates",), 0), (("calculation_results", "report_rates"), 1)])
+def test_the_job_stores_cases_only_for_several_results(spark, names, stored):
+    kept = []
+    long = registry.long_export(spark, FOLDER)
+    tables = catalog._job_tables(spark, FOLDER)
+    made = job.results(long, tables, job.expected_of(tables), lambda df: kept.append(df.columns) or df,
+                       catalog.DATE_OPTIONS | {"rules": catalog.ALL_DATE_RULES}, names)
+    for name in names:
+        made[name]()
+    assert sum("stored_value" in columns for columns in kept) == stored
+    assert not any("outcome" in columns for columns in kept)
+
+
+def test_numeric_variables_bring_no_texts_where_none_are_counted(spark):
+    export = spark.createDataFrame([("1", f"0{d}/01/2024", "W", str(d), d) for d in (1, 2, 3)],
+                                   "PID string, Episode_Date string, source_id string, source_value string, row_ord bigint")
+    rules = spark.createDataFrame([("R", "W", "w", "float", "50")], "rule_id string, source_id string, variable_label string, "
+                                                                 "value_type string, allowed_variation_percent string")
+    rows = longitudinal.relevant_rows(export, rules)
+    assert longitudinal.segments(rows).count() == 6 and longitudinal.segments(rows, texts=False).count() == 3
+    assert longitudinal.violations(export, rules).count() == 1
