@@ -4,14 +4,15 @@ A noisy channel has turned what was meant into what is read: letters into look-a
 several, a word into spaced or dotted letters. The readings of a word form a lattice of characters; the Viterbi
 algorithm finds the likeliest path under a character language model (trigrams, counted over all documents) and the
 channel's costs. Spaced letters are read as one word and, in the same lattice, as several: the likeliest row of words
-known from the sample and of unknown ones. Restored words are looked up in a logistic model, whose weights are learned
+known from labelled documents and of unknown ones. Restored words are looked up in a logistic model, whose weights are learned
 from labelled documents.
 
 ``restore`` decodes every word, as learning does. Scoring decodes the words that can matter: it first walks a word's
 lattice along the beginnings of the model's words, and a word none of whose readings is one of them scores alike either
 way. A word with look-alikes at its ends is read with and without these. Words without a letter are not decoded.
 
-Fitted on a bounded sample of labelled rows: at most SAMPLE of each class, at most FEATURES words. Rows: a null text
+Fitted on all labelled rows: words are counted, weights fitted and the cut found over all of them, by Spark; the model has
+at most FEATURES words, and the words that spaced letters may spell are those of a SHARE of the rows. Rows: a null text
 counts as empty; repeated rows get the same score; with no labelled toxic or no labelled clean row all scores are 0; of
 the texts of one labelled id the least is learned from. A very long text is a block of its own, scored as a whole.
 """
@@ -22,16 +23,19 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import pieces_of, remainder, table
-from plumbline.llm.labelled import sample
+from plumbline.llm.common import pieces_of, remainder, running_total, table
+from plumbline.llm.labelled import one_text_each
+from plumbline.session import drop_folder, new_folder, stored
 
-SAMPLE, FEATURES, KEPT = 3000, 1000, 300_000
+FEATURES, KEPT, STEPS = 1000, 300_000, 100
 RIDGE, LEAST, ODD = 0.1, 3, 3.0  # pull of weights to zero; toxic documents that hold a word; deviations from chance
+SHARE = 1 / 2000  # of labelled documents that hold a word of the vocabulary (LEAST of 6000)
 
 # Letters that look-alikes may stand for.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
@@ -283,35 +287,40 @@ def restore(docs: DataFrame, counts: np.ndarray, vocabulary: dict[str, float]) -
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, restored string")
 
 
-def logistic(x: list[np.ndarray], y: np.ndarray, weight: np.ndarray, n: int):
-    """Weights and intercept of a logistic model on sets of words, by gradient steps of adaptive length."""
-    w, b, held = np.zeros(n), 0.0, np.full(n + 1, 1e-6)
-    flat, row = np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64), np.repeat(np.arange(len(x)), list(map(len, x)))
-    for _ in range(300):
-        z = b + np.bincount(row, weights=w[flat], minlength=len(x))
-        gap = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
-        slope = np.r_[np.bincount(flat, weights=gap[row], minlength=n) + RIDGE * w, gap.sum()]
-        held += slope ** 2
-        step = 0.5 * slope / np.sqrt(held)
-        w, b = w - step[:-1], b - step[-1]
-    return w, b
-
-
-def best_cut(sums: np.ndarray, y: np.ndarray, mass: np.ndarray) -> float:
-    """The sum of weights at which fewest labelled documents (by mass) fall on the wrong side: between two sums that
-    occur, and above that of a document without any word."""
-    values = np.unique(np.r_[0.0, sums])
-    at = np.searchsorted(values, sums)
-    clean = np.bincount(at, weights=mass * (y == 0), minlength=len(values))
-    toxic = np.bincount(at, weights=mass * (y == 1), minlength=len(values))
-    wrong = np.cumsum(toxic) + clean.sum() - np.cumsum(clean)  # with the cut right above each value
-    k = int(np.argmin(wrong))
-    return float(values[k] + values[min(k + 1, len(values) - 1)]) / 2 if k + 1 < len(values) else float(values[k] + 1)
-
-
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE) -> dict | None:
-    """Character counts over all documents, and word weights from the labelled sample."""
-    rows, classes = sample(docs, labels, label, bound)
+def logistic(rows: DataFrame, words: list[str]) -> np.ndarray:
+    """Weights of a logistic model on the sets ``words`` of labelled rows, fitted by Spark over all of them; ``RIDGE``
+    counts against the sum over rows."""
+    sets = CountVectorizerModel.from_vocabulary(words, "words", "x").setBinary(True).transform(rows).select(
+        F.col("label").cast("double").alias("label"), "x")
+    model = LogisticRegression(featuresCol="x", labelCol="label", family="binomial", standardization=False,
+                               regParam=RIDGE / max(1, rows.count()), maxIter=STEPS)
+    return model.fit(sets).coefficients.toArray()
+
+
+def best_cut(rows: DataFrame, weights: dict[str, float]) -> float:
+    """The sum of weights at which fewest labelled rows fall on the wrong side: between two sums that occur, and above
+    that of a row without any word. Rows are counted by sum, and counts added up in order of sums, by Spark."""
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            sums = [round(sum(weights.get(w, 0.0) for w in words), 9) for words in part.column("words").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(sums, pa.float64())], ["label", "sum"])
+
+    found = rows.select("label", "words").mapInArrow(weigh, "label int, sum double").groupBy("sum").agg(
+        F.sum(2 * F.col("label") - 1).alias("more"))
+    none = rows.sparkSession.createDataFrame([(0.0, 0)], "sum double, more bigint")
+    found = found.unionByName(none).groupBy("sum").agg(F.sum("more").alias("more"))
+    # With the cut right above a sum, toxic rows up to it are wrong and clean ones are not.
+    ordered, _ = running_total(found, ["sum"], "more", "_before")
+    at = ordered.orderBy(F.col("_before") + F.col("more"), "sum").first()["sum"]
+    following = ordered.where(F.col("sum") > at).agg(F.min("sum")).first()[0]
+    return at + 1 if following is None else (at + following) / 2
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict | None:
+    """Character counts over all documents, and word weights from all labelled ones."""
+    spark = docs.sparkSession
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
+        "doc_id", F.col(label).cast("int").alias("_label")).distinct()
     counts = char_counts(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,8 +329,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
             texts = part.column("text").to_pylist()
             found = [sorted({w for w in own.whole(t) if w}) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("_label"), pa.array(found, pa.list_(pa.string())),
-                 pa.array([runs(t) for t in texts], pa.list_(pa.string()))], ["doc_id", "label", "whole", "runs"])
+                [part.column("_label"), pa.array(found, pa.list_(pa.string())),
+                 pa.array([runs(t) for t in texts], pa.list_(pa.string()))], ["label", "whole", "runs"])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Restorer(CharModel(counts), vocabulary)
@@ -329,47 +338,36 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
             found = [sorted({w for w in [*whole, *(w for r in spaced for w in own.spelled(r))] if len(w) > 2})
                      for whole, spaced in zip(part.column("whole").to_pylist(), part.column("runs").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("label"), pa.array(found, pa.list_(pa.string()))],
-                ["doc_id", "label", "words"])
+                [part.column("label"), pa.array(found, pa.list_(pa.string()))], ["label", "words"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    first = rows.mapInArrow(run, f"doc_id {kind}, label int, whole array<string>, runs array<string>").persist()
-    # The words that spaced letters may spell: those of LEAST documents of the sample.
+    folders = [new_folder(spark) for _ in range(3)]
+    rows = one_text_each(docs.select("doc_id", "text").join(known, "doc_id"), "doc_id", "_label")
+    first = stored(rows.mapInArrow(run, "label int, whole array<string>, runs array<string>"), folders[0])
+    sizes = {r["label"]: r["n"] for r in first.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not sizes.get(0) or not sizes.get(1):
+        drop_folder(spark, folders[0])
+        return None
+    # The words that spaced letters may spell: a share of the rows, so that there are boundedly many at every size.
+    total = sizes[0] + sizes[1]
     often = first.select(F.explode("whole").alias("word")).groupBy("word").count().where(
-        F.col("count") >= LEAST).orderBy("word").toPandas()
+        F.col("count") >= max(LEAST, total * SHARE)).orderBy("word").toPandas()
     vocabulary = dict(zip(often["word"], np.log(often["count"] / max(1, often["count"].sum())).tolist()))
-    read = first.mapInArrow(spell, f"doc_id {kind}, label int, words array<string>").persist()
+    read = stored(first.mapInArrow(spell, "label int, words array<string>"), folders[1])
     seen = read.select("label", F.explode("words").alias("word")).groupBy("word").agg(
         F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
-    sizes = {r["label"]: r["n"] for r in read.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    first.unpersist()
-    if not sizes.get(0) or not sizes.get(1):
-        read.unpersist()
-        return None
     # How much oftener than chance a word is in toxic documents, in standard deviations: the FEATURES largest.
-    share = sizes[1] / (sizes[0] + sizes[1])
-    chance = (F.col("toxic") + F.col("clean")) * share
+    chance = (F.col("toxic") + F.col("clean")) * (sizes[1] / total)
     odd = (F.col("toxic") - chance) / F.sqrt(chance + 1)
-    best = seen.where(F.col("toxic") >= LEAST).withColumn("odd", odd).where(F.col("odd") > ODD).orderBy(
-        F.desc("odd"), "word").limit(FEATURES).toPandas()
-    index = {w: i for i, w in enumerate(best["word"])}
-    chosen = docs.sparkSession.createDataFrame(pd.DataFrame({"word": list(index)}, dtype="object"), "word string")
-    # At most FEATURES words.
-    hits = read.select("doc_id", "label", F.explode("words").alias("word")).join(F.broadcast(chosen), "word")
-    by_doc = read.select("doc_id", "label").distinct().join(
-        hits.groupBy("doc_id", "label").agg(F.sort_array(F.collect_set("word")).alias("words")),
-        ["doc_id", "label"], "left").orderBy("doc_id", "label").toPandas()
-    read.unpersist()
-    y = by_doc["label"].to_numpy().astype(float)
-    x = [np.array([index[w] for w in words], dtype=np.int64) if isinstance(words, (list, np.ndarray)) else
-         np.zeros(0, np.int64) for words in by_doc["words"]]
-    total = classes[0] + classes[1]
-    mass = np.where(y == 1, classes[1] / max(1, (y == 1).sum()), classes[0] / max(1, (y == 0).sum())) / total * len(y)
-    w, b = logistic(x, y, mass, len(index))
-    w = np.maximum(w, 0)
-    b = -best_cut(np.array([w[i].sum() for i in x]), y, mass)
-    words = {word: float(w[i]) for word, i in index.items() if w[i] > 0}
-    return {"counts": counts, "vocabulary": vocabulary, "words": words, "bias": float(b)}
+    best = [r["word"] for r in seen.where(F.col("toxic") >= LEAST).withColumn("odd", odd).where(
+        F.col("odd") > ODD).orderBy(F.desc("odd"), "word").limit(FEATURES).collect()]
+    # Of each row only the chosen words are kept, which are few.
+    chosen = stored(read.select("label", F.array_intersect("words", F.lit(best).cast("array<string>")).alias("words")), folders[2])
+    weights = np.maximum(logistic(chosen, best), 0).tolist() if best else []
+    words = {word: w for word, w in zip(best, weights) if w > 0}
+    bias = -best_cut(chosen, words)
+    for folder in folders:
+        drop_folder(spark, folder)
+    return {"counts": counts, "vocabulary": vocabulary, "words": words, "bias": float(bias)}
 
 
 def scorer(model: dict):

@@ -337,6 +337,25 @@ def test_op10_held_out(shared):
     assert not any(r["predicted"] for r in got if label[r["doc_id"]] == 0)
 
 
+def test_toxicity_is_learned_from_every_labelled_row(shared):
+    """A word of few toxic rows among very many labelled ones gets a weight; half of them would not do."""
+    rows = [(i, f"the day was good {i % 7}" if i % 2 else f"you idiot number {i % 5}") for i in range(12000)]
+    rows += [(12000 + i, "that zorblax again") for i in range(22)]
+    docs = shared.createDataFrame(rows, "doc_id bigint, text string")
+    labels = shared.createDataFrame([(i, 1 - i % 2 if i < 12000 else 1) for i, _ in rows], "doc_id bigint, toxic int")
+    model = noisy_toxicity.learn(docs, labels)
+    assert {"idiot", "zorblax"} <= set(model["words"])
+    score = noisy_toxicity.scorer(model)
+    assert score("that zorblax again") > 0.5 and score("you i d i o t number") > 0.5 and score("the day was good") < 0.5
+
+
+def test_the_cut_leaves_fewest_rows_on_the_wrong_side(shared):
+    rows = shared.createDataFrame([(1, ["a", "b"]), (1, ["b"]), (1, ["a"]), (0, ["a"]), (0, ["a"]), (0, [])],
+                                  "label int, words array<string>")
+    assert noisy_toxicity.best_cut(rows, {"a": 1.0, "b": 2.0}) == 1.5
+    assert noisy_toxicity.best_cut(rows, {}) == 1.0
+
+
 def test_disguised_words_are_restored(odd):
     words = "idiot moron scum clown trash the there that hello letter will".split() * 5
     text = "  " + "  ".join(words) + "  "
