@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import pieces_of, remainder, running_total, table
-from plumbline.llm.labelled import one_text_each
-from plumbline.session import drop_folder, new_folder, stored
+from plumbline.llm.labelled import texts_of
+from plumbline.session import drop_folder, new_folder, release, stored
 
 FEATURES, KEPT, STEPS = 1000, 300_000, 100
 RIDGE, LEAST, ODD = 0.1, 3, 3.0  # pull of weights to zero; toxic documents that hold a word; deviations from chance
@@ -341,8 +341,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict | No
                 [part.column("label"), pa.array(found, pa.list_(pa.string()))], ["label", "words"])
 
     folders = [new_folder(spark) for _ in range(3)]
-    rows = one_text_each(docs.select("doc_id", "text").join(known, "doc_id"), "doc_id", "_label")
+    rows = texts_of(docs, known)
     first = stored(rows.mapInArrow(run, "label int, whole array<string>, runs array<string>"), folders[0])
+    del rows
+    release(spark)  # the shuffle of texts, before words are shuffled
     sizes = {r["label"]: r["n"] for r in first.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         drop_folder(spark, folders[0])

@@ -349,6 +349,19 @@ def test_toxicity_is_learned_from_every_labelled_row(shared):
     assert score("that zorblax again") > 0.5 and score("you i d i o t number") > 0.5 and score("the day was good") < 0.5
 
 
+def test_texts_without_a_label_are_not_shuffled(shared):
+    """A field of bits leaves few others before the join; a crowded one, or ids of unlike types, lose no row."""
+    docs = shared.createDataFrame([(i if i % 9 else None, f"{i % 5} {i}") for i in range(4000)] * 2, "doc_id bigint, text string")
+    known = shared.createDataFrame([(i, i % 2) for i in range(1, 9000, 90)], "doc_id bigint, _label int")
+    want = sorted((i, i % 2, f"{i % 5} {i}") for i in range(1, 4000, 90) if i % 9)
+    assert len(want) <= labelled_sample.maybe(docs, known).count() / 2 <= len(want) + 10
+    assert sorted(map(tuple, labelled_sample.texts_of(docs, known).collect())) == want
+    assert labelled_sample.maybe(docs, known, 1).join(known, "doc_id").count() == 2 * len(want)
+    unlike = known.withColumn("doc_id", F.col("doc_id").cast("int"))
+    assert sorted(map(tuple, labelled_sample.texts_of(docs, unlike).collect())) == want
+    assert labelled_sample.maybe(docs, known.where("false")).count() == 0
+
+
 def test_the_cut_leaves_fewest_rows_on_the_wrong_side(shared):
     rows = shared.createDataFrame([(1, ["a", "b"]), (1, ["b"]), (1, ["a"]), (0, ["a"]), (0, ["a"]), (0, [])],
                                   "label int, words array<string>")
