@@ -1,5 +1,7 @@
 """Completeness: which expected elements have a value, and the roll-ups of that."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import fixed_values as fixed
@@ -83,15 +85,15 @@ def _own_episode() -> Column:
     return F.when(F.col("form_type") == "longitudinal", F.col("episode_date"))
 
 
-def _any_in_form(any_value: str, spread: Column | None = None) -> Column:
+def _any_in_form(any_value: str, spread: Column | None = None, episode: Column | None = None) -> Column:
     """Whether any row of the same form (of that patient and episode) is set; null where its key is incomplete.
 
     Such a window holds a form's elements, or its versions. Rows whose key is incomplete would share windows with others
-    of their kind and are spread over them by ``spread`` instead.
+    of their kind and are spread over them by ``spread`` instead. ``episode``: the form's own, where rows have it.
     """
     known = F.col("PID").isNotNull() & F.col("form_id").isNotNull() & (
         (F.col("form_type") == "basic") | F.col("episode_date").isNotNull())
-    keys = [F.col("form_type"), F.col("PID"), _own_episode(), F.col("form_id")]
+    keys = [F.col("form_type"), F.col("PID"), _own_episode() if episode is None else episode, F.col("form_id")]
     apart = [] if spread is None else [F.when(~known, spread)]
     return F.when(known, F.max(any_value).over(Window.partitionBy(*keys, *apart)))
 
@@ -136,9 +138,7 @@ def form_instances(rows: DataFrame) -> DataFrame:
     if "version_has_any_value" in rows.columns:
         return rows
     filled, core = F.col("is_filled"), F.coalesce("is_core", F.lit(False)) if "is_core" in rows.columns else F.lit(False)
-    mandatory = F.lit(False)
-    if "mandatory" in rows.columns:
-        mandatory = F.coalesce(F.lower(strip(F.col("mandatory"))).isin(list(fixed.MANDATORY_TEXTS)), F.lit(False))
+    mandatory = _is_mandatory(rows)
     sums = (F.count("*"), F.count_if(filled), F.count_if(core), F.count_if(core & filled), F.count_if(mandatory),
             F.count_if(mandatory & filled), F.count("source_id"), F.count(F.when(core, F.col("source_id"))))
     labels = [_first_label(rows).alias("_label")] if "form_label" in rows.columns else []
@@ -147,6 +147,12 @@ def form_instances(rows: DataFrame) -> DataFrame:
     return found.withColumn("form_has_any_value", _any_in_form("version_has_any_value"))
 
 
+def _is_mandatory(rows: DataFrame) -> Column:
+    if "mandatory" not in rows.columns:
+        return F.lit(False)
+    return F.coalesce(F.lower(strip(F.col("mandatory"))).isin(list(fixed.MANDATORY_TEXTS)), F.lit(False))
+
+
 def _first_label(rows: DataFrame) -> Column:
     """First label in file order, with its place, or the smallest where no order is recorded: the least of leasts."""
     place = F.col("row_ord") if "row_ord" in rows.columns else F.lit(None).cast("bigint")
@@ -276,6 +282,49 @@ def empty_forms(rows: DataFrame, form_type: str) -> DataFrame:
         "n_expected_elements", F.col("n_filled").alias("n_filled_elements"))
 
 
+def _form_sums(placed: DataFrame, words: int) -> tuple[DataFrame, int]:
+    """What each form version adds to the sums of a form instance: counts of its elements, and their marks by kind. As long
+    as the elements of the forms. An element that stands in a form more than once has its marks in as many layers, so
+    that no mark stands for two rows; the number of layers comes with the table."""
+    form = ["form_id", "form_version"]
+    core, mandatory = F.col("is_core"), _is_mandatory(placed)
+    rows = placed.withColumns({"_mandatory": mandatory, "_layer": F.row_number().over(
+        Window.partitionBy(*form, "source_id").orderBy(F.desc("is_core"), F.desc(mandatory)))})
+    layers = rows.filter("source_id is not null").agg(F.coalesce(F.max("_layer"), F.lit(1))).first()[0]
+    marked = lambda flag, at: F.bit_or(F.when(flag & (F.col("_layer") == at[0]) & (F.col("_word") == at[1]), F.col("_bit")))
+    flags = {"n_filled": F.lit(True), "c_filled": core, "m_filled": F.col("_mandatory")}
+    counts = {"n": F.count("*"), "c": F.count_if(core), "m": F.count_if("_mandatory"),
+              "n_expected_elements": F.count("source_id"), "n_core_elements": F.count(F.when(core, F.col("source_id")))}
+    labels = [_first_label(rows).alias("_label")] if "form_label" in rows.columns else []
+    return rows.groupBy(*form).agg(
+        *[c.alias(name) for name, c in counts.items()], *labels,
+        *[F.coalesce(marked(flag, (k + 1, w)), F.lit(0)).alias(f"_{name}_{k}_{w}")
+          for name, flag in flags.items() for k in range(layers) for w in range(words)]), layers
+
+
 def instances(versions: DataFrame, elements: DataFrame, export: DataFrame, core_elements: DataFrame) -> DataFrame:
-    """C1-C7 reduced to form instances: the table that all roll-ups but the one per element start from."""
-    return form_instances(_expanded(*_marked_versions(versions, elements, export), core_elements))
+    """C1-C7 reduced to form instances: the table that all roll-ups but the one per element start from.
+
+    As :func:`form_instances` of a row per element, but the elements of a version are counted by their marks. Versions are
+    dealt by form, of which instances and forms in any version are groups, so they are shuffled and sorted once for both.
+    """
+    marks, words = element_marks(elements)
+    placed = add_core_flag(elements.join(F.broadcast(marks), "source_id", "left"), core_elements)
+    sums, layers = _form_sums(placed, words)
+    known = _with_marks(versions, export, marks, words).join(F.broadcast(sums), ["form_id", "form_version"], "left")
+    # A version without elements is a row without an element.
+    counted = {c: F.coalesce(c, F.lit(int(c == "n"))) for c in _SUMS if not c.endswith("filled")}
+    filled = {c: reduce(Column.__add__, [
+        F.coalesce(F.bit_count(F.get("_marks", F.lit(w)).bitwiseAND(F.col(f"_{c}_{k}_{w}"))), F.lit(0)).cast("bigint")
+        for k in range(layers) for w in range(words)]) for c in _SUMS if c.endswith("filled")}
+    labels = ["_label"] if "_label" in sums.columns else []
+    rows = known.withColumns({**counted, **filled, "episode_date": _own_episode()}).select(*INSTANCE_KEYS, *_SUMS, *labels)
+    dealt = rows.repartition("form_type", "PID", "episode_date", "form_id")
+    # Nearly every version is an instance of its own, of which a hash table would hold all. Windows need the one sort that
+    # the forms' window below needs too.
+    first = Window.partitionBy(*INSTANCE_KEYS).orderBy("form_version")
+    every = first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = dealt.withColumns({
+        "version_has_any_value": F.max(F.col("n_filled") > 0).over(every), **{c: F.sum(c).over(every) for c in _SUMS},
+        **{c: F.min(c).over(every) for c in labels}, "_nth": F.row_number().over(first)}).filter("_nth = 1").drop("_nth")
+    return found.withColumn("form_has_any_value", _any_in_form("version_has_any_value", episode=F.col("episode_date")))

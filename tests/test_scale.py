@@ -76,6 +76,39 @@ def test_more_elements_than_a_word_of_marks(frame, rows):
         ("basic", "E70"), ("basic", "E149"), ("basic", "E3"), ("longitudinal", "E70")], key=str)
 
 
+def test_instances_are_counted_by_marks(frame, spark):
+    """As from a row per element, also with elements that stand in a form twice, more than a word of them, or none."""
+    rng = random.Random(4)
+    pick = lambda *x: rng.choice([None, *x])
+    ids = [f"E{i}" for i in range(70)]
+    elements = frame("form_id form_version source_id dataelement_urn mandatory form_label row_ord", [
+        (f, v, e, f"urn:{e}:{rng.randint(1, 2)}", pick("true", " True ", "false"), pick("first", "other"), i)
+        for f, v in (("1", "1"), ("2", "1"), ("2", "2"), ("3", None)) for i, e in enumerate([*rng.choices(ids, k=60), None, None])])
+    core = frame("form_id dataelement_urn", [(f, f"urn:{e}:9") for f in "12" for e in [*ids[::3], None]])
+    versions = frame("PID form_id form_version episode_date form_type", [
+        (pick("1", "2", "5"), pick("1", "2", "3"), pick("1", "2", "9"), pick("d1", "d2"), pick("basic", "longitudinal", "other"))
+        for _ in range(120)])
+    export = frame("PID Episode_Date source_id source_value", [
+        (pick("1", "2", "3"), pick("d1", "d2"), pick("U", *ids), pick("x", "y", " ")) for _ in range(150)])
+    inputs = versions, elements, export, core
+    want = completeness.form_instances(completeness._expanded(*completeness._marked_versions(*inputs[:3]), core))
+    got = completeness.instances(*inputs)
+    assert dict(got.dtypes) == dict(want.dtypes)
+    columns = sorted(want.columns)
+    listed = lambda df: sorted(map(str, df.select(columns).collect()))
+    assert len(listed(want)) > 20 and listed(got) == listed(want)
+    sums = want.agg(*[F.sum(c) for c in ("n", "c", "m", "n_filled", "c_filled", "m_filled")]).first()
+    assert all(sums) and want.filter("form_has_any_value and not version_has_any_value").count()
+
+
+@pytest.mark.parametrize("name", ["completeness_per_patient", "empty_longitudinal_forms", "form_presence_summary"])
+def test_form_instances_are_dealt_once_and_have_no_row_per_element(large, name):
+    lines = run(large, name).splitlines()
+    assert sum("Exchange hashpartitioning(form_type" in x and "spark_grouping_id" not in x and "episode_date" in x for x in lines) == 1
+    assert not any("Exchange" in x and "form_type" in x and "form_version" in x and "episode_date" in x for x in lines)
+    assert any("bit_count" in x for x in lines)
+
+
 @pytest.mark.parametrize("name", ["long_numeric", "long_enumerated"])
 def test_kinds_without_an_order_list_nothing(spark, name):
     assert "ObjectHashAggregate" not in run(spark, name)
