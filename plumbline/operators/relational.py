@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import fixed_values as fixed
 from plumbline.functions.marks import element_marks
-from plumbline.functions.text import has_value, strip
+from plumbline.functions.text import has_value, strip_plain
 from plumbline.operators.contract import make_summary, make_violation
 
 VIOLATION_COLUMNS = (
@@ -23,7 +23,7 @@ SOURCE_ID, PID_MAPPING, ELEMENT, FORM_VERSION = [r[0] for r in fixed.RELATIONAL_
 def clean(df: DataFrame, columns) -> DataFrame:
     """Trimmed texts, empty episode date as null, lower-case form type."""
     df = df.withColumnsRenamed({"episode_date": "Episode_Date"})
-    out = df.withColumns({c: strip(F.col(c)) for c in columns if c in df.columns})
+    out = df.withColumns({c: strip_plain(F.col(c)) for c in columns if c in df.columns})
     if "Episode_Date" in out.columns:
         out = out.withColumn("Episode_Date", F.nullif("Episode_Date", F.lit("")))
     return out.withColumn("form_type", F.lower("form_type")) if "form_type" in out.columns else out
@@ -84,6 +84,35 @@ def element_units(export: DataFrame, expected: DataFrame) -> DataFrame:
         (~F.col("in_valid")).alias("violated"))
 
 
+def element_units_of_versions(export: DataFrame, versions: DataFrame, form_elements: DataFrame,
+                              violated_only: bool = False) -> DataFrame:
+    """X3 from form versions and the elements of forms: as :func:`element_units` of the expected elements, or the violated
+    ones of these, but what is shuffled is a row per patient and episode with marks. Marks become a row per element last.
+    """
+    marks, words = element_marks(clean(form_elements, ["source_id"]))
+    per_episode = _marked_units(export, versions, form_elements, marks, words, of_forms=False)
+    has, valid = [lambda w, s=s: F.col(f"{s}{w}") for s in ("_has", "_valid")]
+    asked = (lambda w: has(w).bitwiseAND(F.bitwise_not(valid(w)))) if violated_only else has
+    units = per_episode.filter(F.col("PID").isNotNull() & reduce(Column.__or__, [asked(w) != 0 for w in range(words)],
+                                                                 F.col("_own")))
+    # Ids are trimmed like those of the units, and patients are as many as the registry has, so both sides are shuffled.
+    known = clean_expected(versions).filter("PID is not null").select("PID").distinct()
+    units = units.join(known.hint("merge"), "PID", "left_semi")
+    in_set = lambda bits, m: F.get(F.array(*[bits(w) for w in range(words)]), m["word"]).bitwiseAND(m["bit"]) != 0
+    failed = lambda source, violated: F.struct(source.alias("source_id"), violated.alias("violated"))
+    named = F.transform(F.filter(_places(marks), lambda m: in_set(asked, m)), lambda m: failed(m["id"], ~in_set(valid, m)))
+    return units.select("PID", "Episode_Date", F.inline(F.when(
+        F.col("_own"), F.array(failed(F.col("source_id"), F.lit(True)))).otherwise(named)))
+
+
+def _places(marks: DataFrame) -> Column:
+    """All marked elements, which are rule rows, as an array of their ids and the places of their marks."""
+    nothing = F.array().cast("array<struct<id: string, word: int, bit: bigint>>")
+    places = [F.struct(F.lit(m["source_id"]).alias("id"), F.lit(m["_word"]).alias("word"), F.lit(m["_bit"]).alias("bit"))
+              for m in marks.collect()]
+    return F.array(*places) if places else nothing
+
+
 def form_version_units(expected: DataFrame, form_elements: DataFrame) -> DataFrame:
     """Distinct form versions of the expected elements; violated where the form metadata lacks them."""
     elements = clean(form_elements, ["form_id", "form_version"])
@@ -216,8 +245,9 @@ def summary(export, dictionary, expected, form_elements) -> DataFrame:
 MARKED_KEYS = ("PID", "Episode_Date", "source_id", "form_id", "form_version")
 
 
-def _marked_units(export: DataFrame, versions: DataFrame, form_elements: DataFrame, marks: DataFrame, words: int) -> DataFrame:
-    """X1-X4 as in :func:`units`, but a row per patient and episode with marks of its elements: those the export names
+def _marked_units(export: DataFrame, versions: DataFrame, form_elements: DataFrame, marks: DataFrame, words: int,
+                  of_forms: bool = True) -> DataFrame:
+    """X1-X4, without ``of_forms`` X1-X3, as in :func:`units`, but a row per patient and episode with marks of its elements: those the export names
     (``_seen``), those it has a value of (``_has``) and those its form versions ask for (``_valid``).
 
     Elements that no form has are rows of their own, and so are form versions. A date tells longitudinal from basic.
@@ -247,7 +277,8 @@ def _marked_units(export: DataFrame, versions: DataFrame, form_elements: DataFra
     basic, date = F.col("form_type") == "basic", F.col("Episode_Date")
     usable = F.col("form_type").isin("basic", "longitudinal") & (basic | date.isNotNull())
     # Of a version, once for its patient and once for itself: the second is what is observed, and the metadata valid.
-    wanted = wanted.withColumn("_of_form", F.explode(F.array(F.lit(False), F.lit(True)))).filter(
+    of_what = [F.lit(False), F.lit(True)] if of_forms else [F.lit(False)]
+    wanted = wanted.withColumn("_of_form", F.explode(F.array(*of_what))).filter(
         F.when(F.col("_of_form"), F.col("form_id").isNotNull() & F.col("form_version").isNotNull()).otherwise(
             F.col("PID").isNotNull()))
     of_patient = lambda c: F.when(~F.col("_of_form"), c)
@@ -257,7 +288,7 @@ def _marked_units(export: DataFrame, versions: DataFrame, form_elements: DataFra
         {"_valid": lambda w: of_patient(F.when(usable, F.col(f"_own{w}")))}).withColumns({
             "in_observed": F.col("form_id").isNotNull(), "in_valid": F.col("form_id").isNull()})
     metadata = side(whole(clean(form_elements, list(form))), False, form, {})
-    return reduce(DataFrame.unionByName, [observed, valid, metadata]).groupBy(*MARKED_KEYS).agg(
+    return reduce(DataFrame.unionByName, [observed, valid, *([metadata] if of_forms else [])]).groupBy(*MARKED_KEYS).agg(
         *[F.max(c).alias(c) for c in ("in_observed", "in_valid", "_own")],
         *[F.coalesce(F.bit_or(f"{s}{w}"), F.lit(0)).alias(f"{s}{w}") for s in sets for w in range(words)])
 

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import job
-from plumbline.functions.text import has_value
+from plumbline import fixed_values as fixed
+from plumbline.functions.text import has_value, strip, strip_plain
 from plumbline.operators import calculation, completeness, longitudinal, relational
 from plumbline.plans import catalog, driver_registry as registry
 
@@ -199,3 +200,40 @@ def test_numeric_variables_bring_no_texts_where_none_are_counted(spark):
     rows = longitudinal.relevant_rows(export, rules)
     assert longitudinal.segments(rows).count() == 6 and longitudinal.segments(rows, texts=False).count() == 3
     assert longitudinal.violations(export, rules).count() == 1
+
+
+def test_marks_give_the_units_of_elements(frame, rows):
+    """Also with more elements than a word of marks, elements that no form has, blank keys and rows without a patient."""
+    rng = random.Random(8)
+    pick = lambda *x: rng.choice([None, *x])
+    ids = [f"E{i}" for i in range(70)]
+    elements = frame("form_id form_version source_id", [(f, v, e) for f, v in (("1", "1"), ("2", "1"), ("2", "2"), ("3", None))
+                                                        for e in [*rng.sample(ids, 40), " E3 ", None]])
+    versions = frame("PID form_id form_version episode_date form_type", [
+        (pick("1", "2 ", "5"), pick("1", "2", "3"), pick("1", "2", "9"), pick("", "d1", "d2 "), pick("basic", "longitudinal", "Basic", "other"))
+        for _ in range(30)])
+    export = frame("PID Episode_Date source_id source_value", [
+        (pick("1", " 2", "3"), pick("", "d1", "d2"), pick("U", "V ", *ids), pick("x", "y", " ")) for _ in range(500)])
+    expected = versions.join(elements, ["form_id", "form_version"], "left")
+    want = relational.element_units(relational.clean_export(export), relational.clean_expected(expected))
+    columns = ("PID", "Episode_Date", "source_id", "violated")
+    bad = rows(want.filter("violated"), *columns)
+    assert len(bad) > 50 and want.count() > len(bad) + 5
+    assert rows(relational.element_units_of_versions(export, versions, elements), *columns) == rows(want, *columns)
+    assert rows(relational.element_units_of_versions(export, versions, elements, violated_only=True), *columns) == bad
+
+
+def test_unexpected_elements_are_told_from_a_row_per_episode(spark):
+    lines = run(spark, "rel_element_expected").splitlines()
+    assert any("bit_or" in x for x in lines)
+    # Ids of elements are a key only where no form has them: none of the cells is dealt by its own.
+    assert not any("Exchange" in x and "in_observed" in x and "_date" in x for x in lines)
+
+
+def test_texts_are_stripped_of_white_space_of_any_kind(frame):
+    edges = ["", " ", "\t", " ", " ", "\x1c", "\n "]
+    texts = [f"{a}{t}{b}" for t in ("", "a", "~", "~a", "a b", "!", "ä", "aä", "\x7f") for a in edges for b in edges]
+    got = {r.n: r.s for r in frame("n text", list(enumerate(texts)) + [(len(texts), None)]).select(
+        "n", F.array(strip(F.col("text")), strip_plain(F.col("text"))).alias("s")).collect()}
+    white = fixed.WHITE_SPACE
+    assert got == {**{str(i): [t.strip(white)] * 2 for i, t in enumerate(texts)}, str(len(texts)): [None, None]}
