@@ -230,6 +230,21 @@ def test_unexpected_elements_are_told_from_a_row_per_episode(spark):
     assert not any("Exchange" in x and "in_observed" in x and "_date" in x for x in lines)
 
 
+def test_violating_groups_are_kept_before_their_values_are_listed(spark, frame, rows):
+    export = spark.createDataFrame(
+        [(p, f"0{d}/01/2024", "W", str(v), i) for i, (p, d, v) in enumerate([("1", 1, 1), ("1", 2, 9), ("2", 1, 1), ("2", 2, 1)])],
+        "PID string, Episode_Date string, source_id string, source_value string, row_ord bigint")
+    rules = frame("rule_id source_id variable_label value_type allowed_variation_percent", [("R", "W", "w", "float", "50")])
+    kept = []
+    got = longitudinal.observed_values(export, rules, keep=lambda df: kept.append(rows(df)) or df)
+    assert kept == [[("1", "W", "R")]] and rows(got, "PID", "value") == [("1", "1"), ("1", "9")]
+
+
+def test_a_query_lists_values_with_the_violating_groups_stored(spark):
+    plan_text = run(spark, "long_observed_values")
+    assert "Window" not in plan_text and "plumbline-" in plan_text
+
+
 def test_texts_are_stripped_of_white_space_of_any_kind(frame):
     edges = ["", " ", "\t", " ", " ", "\x1c", "\n "]
     texts = [f"{a}{t}{b}" for t in ("", "a", "~", "~a", "a b", "!", "ä", "aä", "\x7f") for a in edges for b in edges]
