@@ -252,3 +252,34 @@ def test_texts_are_stripped_of_white_space_of_any_kind(frame):
         "n", F.array(strip(F.col("text")), strip_plain(F.col("text"))).alias("s")).collect()}
     white = fixed.WHITE_SPACE
     assert got == {**{str(i): [t.strip(white)] * 2 for i, t in enumerate(texts)}, str(len(texts)): [None, None]}
+
+
+def test_the_stored_export_is_made_of_rows_dealt_before(spark, tmp_path, monkeypatch):
+    """Its rows are not shuffled: order lines are, before each becomes a row per element. Nothing is sorted by bucket."""
+    shuffled = plan(registry.long_export(spark, FOLDER, 4))
+    assert shuffled.count("Expand") == 3
+    for part in shuffled.split("Expand")[1:]:  # below each
+        assert "Exchange hashpartitioning(" in part and "REPARTITION_BY_NUM" in part
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    long = catalog._stored_export(spark, FOLDER, f"file://{tmp_path}/long")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    listed = lambda df: sorted(map(str, df.collect()))
+    whole = listed(registry.long_export(spark, FOLDER))
+    assert listed(long) == whole
+    assert len(list((tmp_path / "long").glob("part-*"))) <= 3 * 4
+    counts = long.groupBy("PID").agg(F.count("*").alias("n"))
+    assert "Exchange" not in plan(counts)
+    assert listed(counts) == listed(registry.long_export(spark, FOLDER).groupBy("PID").agg(F.count("*").alias("n")))
+    # A patient with very many rows: buckets go by element too, which rows dealt by patient alone do not.
+    monkeypatch.setattr(catalog.clustered, "bucket_keys", lambda rows, buckets: catalog.clustered.CELL)
+    assert listed(catalog._stored_export(spark, FOLDER, f"file://{tmp_path}/cells")) == whole
+
+
+def test_the_job_drops_its_stored_export(spark, monkeypatch):
+    stored_at = []
+    write = catalog.clustered.write_clustered
+    monkeypatch.setattr(catalog.clustered, "write_clustered", lambda long, path, *a, **k: stored_at.append(path) or write(long, path, *a, **k))
+    monkeypatch.setattr(catalog.job, "assess", lambda *a, **k: [])
+    catalog._job(spark, FOLDER, ())
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stored_at[0])
+    assert not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
