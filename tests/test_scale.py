@@ -275,6 +275,24 @@ def test_the_stored_export_is_made_of_rows_dealt_before(spark, tmp_path, monkeyp
     assert listed(catalog._stored_export(spark, FOLDER, f"file://{tmp_path}/cells")) == whole
 
 
+def test_reports_derive_the_export_once_and_drop_it(spark, monkeypatch):
+    seen = []
+
+    def make(spark, folder):
+        read = registry.long_export(spark, folder)
+        seen.append((plan(read), read.inputFiles()))
+        return spark.createDataFrame([("temporal_plausibility", "r", 2, 1)], "rule_type string, rule_id string, "
+                                     "assessed_elements bigint, total_violations bigint")
+    for name in catalog.FAMILIES:
+        monkeypatch.setitem(catalog.QUERIES, name, make)
+    catalog.report_rates(spark, FOLDER).collect()
+    assert len(seen) == 7 and not any("lineitem.parquet" in text for text, _ in seen)
+    assert len({tuple(sorted(files)) for _, files in seen}) == 1
+    assert "lineitem.parquet" in plan(registry.long_export(spark, FOLDER))
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(seen[0][1][0])
+    assert not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def test_the_job_drops_its_stored_export(spark, monkeypatch):
     stored_at = []
     write = catalog.clustered.write_clustered
